@@ -344,6 +344,25 @@ SELECT constructor_id, constructor_name, 'Nation ' || CAST(CAST(substr(construct
 FROM fx_constructors
 """)
 
+_add("fx_sample_races", ["fx_sample_sessions"], """
+SELECT year AS season, CAST(session_key - 8999 AS INT) AS round, 'Week ' || CAST(session_key - 8999 AS STRING) AS race_name,
+       'k' || CAST(session_key - 8999 AS STRING) AS circuit_id, CAST(date_start AS DATE) AS race_date
+FROM fx_sample_sessions WHERE session_type = 'Race'
+""")
+
+_add("fx_sample_drivers", ["fx_samples"], """
+SELECT DISTINCT session_key, driver_number, 'S' || lpad(CAST(driver_number AS STRING), 3, '0') AS name_acronym,
+       'Team ' || CAST(driver_number % 10 AS STRING) AS team_name,
+       CASE WHEN driver_number % 4 = 0 THEN '' ELSE 'B' || lpad(CAST(driver_number AS STRING), 5, '0') END AS team_colour,
+       CAST(TIMESTAMP '2024-02-01 00:00:00' AS TIMESTAMP) AS _ingested_at
+FROM fx_samples
+""")
+
+_add("fx_sample_driver_map", ["fx_samples"], """
+SELECT DISTINCT 'u' || CAST(driver_number AS STRING) AS jolpica_driver_id, driver_number AS openf1_driver_number, CAST(2024 AS INT) AS season
+FROM fx_samples WHERE driver_number % 6 <> 0
+""")
+
 def _order(names: list[str]) -> list[str]:
     """Adapters needed for ``names`` in dependency order."""
     out: list[str] = []

@@ -32,6 +32,8 @@ _T = "__asof_t"
 _SIDE = "__asof_side"
 _B = "__asof_b"
 _L = "__asof_left"
+_SALT = "__asof_salt"
+_NULL_SPREAD = 4096
 
 
 @dataclass
@@ -86,6 +88,13 @@ def asof_join_many(
         F.lit(None).cast(_payload_type(r)) for r in rights
     ]
 
+    # Left rows with a NULL key or time can never match.  They get a spread
+    # salt instead of all landing in one (NULL-key) window partition; every
+    # matchable row has salt 0, so its partition is exactly its key.
+    valid = F.col(left_ts).isNotNull()
+    for k in by:
+        valid = valid & F.col(k).isNotNull()
+    salt = F.when(valid, F.lit(0)).otherwise(F.pmod(F.xxhash64(left_payload), F.lit(_NULL_SPREAD)) + 1)
     parts = [
         left.select(
             *[F.col(k) for k in by],
@@ -93,6 +102,7 @@ def asof_join_many(
             F.lit(left_side).alias(_SIDE),
             left_payload.alias(_L),
             *[ns.alias(f"__r{i}") for i, ns in enumerate(null_structs)],
+            salt.cast("long").alias(_SALT),
         )
     ]
     left_null = F.lit(None).cast(left.select(left_payload.alias("x")).schema["x"].dataType)
@@ -104,13 +114,17 @@ def asof_join_many(
                 structs.append(F.struct(*[F.col(c) for c in r.cols]).alias(f"__r{j}"))
             else:
                 structs.append(ns.alias(f"__r{j}"))
+        rvalid = F.col(r.ts).isNotNull()
+        for rk in rby:
+            rvalid = rvalid & F.col(rk).isNotNull()
         parts.append(
-            r.df.select(
+            r.df.filter(rvalid).select(
                 *[F.col(rk).alias(k) for rk, k in zip(rby, by)],
                 F.col(r.ts).alias(_T),
                 F.lit(right_side).alias(_SIDE),
                 left_null.alias(_L),
                 *structs,
+                F.lit(0).cast("long").alias(_SALT),
             )
         )
     u = parts[0]
@@ -121,7 +135,7 @@ def asof_join_many(
     order = [F.col(_T), F.col(_SIDE)] + [F.col(c) for c in rcols]
 
     if bucket_us is None:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*by, _SALT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         got = u.select(
             F.col(_SIDE), F.col(_L),
             *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) for c in rcols],
@@ -143,7 +157,7 @@ def _payload_type(r: AsofRight):
 def _bucketed(u, by, rights, rcols, order, bucket_us, left_side):
     """Two-level as-of: inside (key, bucket) by window, across buckets by a carry table."""
     u = u.withColumn(_B, _bucket_expr(F.col(_T), bucket_us))
-    w = Window.partitionBy(*by, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*by, _B, _SALT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inner = u.select(
         *[F.col(k) for k in by], F.col(_B), F.col(_SIDE), F.col(_L),
         *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) for c in rcols],
