@@ -12,6 +12,9 @@ def oracle(body: str) -> str:
     names = [n for n in names if n in fx.ADAPTERS]
     if not names:
         return body
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return f"WITH {fx.cte_sql(names)},\n{stripped[5:]}"
     return fx.oracle_with(names, body)
 
 
