@@ -18,10 +18,12 @@ def after_watermark(source: DataFrame, target: DataFrame | None, col: str = "_in
     """
     if target is None:
         return source
-    wm = target.agg(F.max(col).alias("wm")).first()["wm"]
+    # carried as text so the literal keeps the column's exact type and
+    # microseconds whatever the driver's local time zone is
+    wm = target.agg(F.max(col).cast("string").alias("wm")).first()["wm"]
     if wm is None:
         return source
-    return source.filter(F.col(col) > F.lit(wm))
+    return source.filter(F.col(col) > F.lit(wm).cast(source.schema[col].dataType))
 
 
 def unseen_keys(source: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
