@@ -521,9 +521,9 @@ def q_filter_compound(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
-@query("filter_like", oracle("SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%green%'"))
+@query("filter_like", oracle("SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%red%'"))
 def q_filter_like(spark, sf):
-    return fx.table(spark, sf, "part").filter(F.col("p_name").like("%green%")).select("p_partkey", "p_name")
+    return fx.table(spark, sf, "part").filter(F.col("p_name").like("%red%")).select("p_partkey", "p_name")
 
 
 @query("string_fns", oracle("""

@@ -1 +1,74 @@
-"""Contract queries."""
+"""Contract queries for the data-quality checks D1-D7 (failing rows)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from racelake import fixtures as fx
+from racelake.contract.inputs import Inputs
+from racelake.contract.q_models import FACT_QUALI_SQL
+from racelake.contract.registry import query
+from racelake.contract.sqlgen import oracle
+from racelake.plans import models as M
+from racelake.plans import quality as Q
+
+# Accepted timing-feed session types.
+SESSION_TYPES = ["Race", "Qualifying", "Sprint", "Sprint Qualifying",
+                 "Practice", "Practice 1", "Practice 2", "Practice 3"]
+
+
+@query("dq_not_null", oracle(f"""
+SELECT season, round, driver_id, best_lap_number FROM {FACT_QUALI_SQL} f WHERE best_lap_number IS NULL"""))
+def q_not_null(spark, sf):
+    """Qualifying rows without a matched timing lap."""
+    i = Inputs(spark, sf)
+    fq = M.fact_qualifying(i.quali(), i.driver_map(), M.session_map(i.sessions(), i.races()), i.of1_laps())
+    return Q.not_null(fq, "best_lap_number").select("season", "round", "driver_id", "best_lap_number")
+
+
+@query("dq_unique", oracle("""
+SELECT session_key, driver_number, count(*) AS n FROM fx_timing_drivers
+GROUP BY session_key, driver_number HAVING count(*) > 1"""))
+def q_unique(spark, sf):
+    """Re-ingested timing-driver rows."""
+    return Q.unique(Inputs(spark, sf).of1_drivers(), ["session_key", "driver_number"])
+
+
+@query("dq_relationships", oracle("""
+SELECT r.season, r.round, r.driver_id, r.constructor_id FROM fx_results r
+WHERE r.constructor_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM fx_constructors c WHERE c.constructor_id = r.constructor_id)"""))
+def q_relationships(spark, sf):
+    """D3: results whose constructor is missing from the constructor table."""
+    i = Inputs(spark, sf)
+    r = i._l("fx_results").select("season", "round", "driver_id", "constructor_id")
+    return Q.relationships(r, "constructor_id", i._l("fx_constructors"), "constructor_id")
+
+
+@query("dq_accepted_values", oracle("""
+SELECT DISTINCT event_type FROM events WHERE event_type NOT IN ('view', 'click', 'purchase', 'signup') OR event_type IS NULL"""))
+def q_accepted_values(spark, sf):
+    """D4 on the event stream (sample kinds the telemetry views consume)."""
+    return Q.accepted_values(fx.table(spark, sf, "events"), "event_type", ["view", "click", "purchase", "signup"])
+
+
+@query("dq_accepted_session_types", oracle(f"""
+SELECT DISTINCT session_type FROM fx_stg_sessions
+WHERE session_type NOT IN ({", ".join(repr(t) for t in SESSION_TYPES)}) OR session_type IS NULL"""))
+def q_accepted_session_types(spark, sf):
+    """D4 as declared on the sessions source (passes: empty result)."""
+    return Q.accepted_values(Inputs(spark, sf).sessions(), "session_type", SESSION_TYPES)
+
+
+@query("dq_no_future", oracle("""
+SELECT season, round, race_date FROM fx_races WHERE race_date > DATE '2001-06-01'"""))
+def q_no_future(spark, sf):
+    """D5 with an explicit ``as_of``."""
+    return Q.no_future(Inputs(spark, sf).races(), "race_date", "2001-06-01").select("season", "round", "race_date")
+
+
+@query("dq_row_parity", oracle("""
+SELECT * FROM (SELECT (SELECT count(*) FROM lineitem) AS raw, (SELECT count(*) FROM fx_lap_times) AS staged) t
+WHERE raw <> staged"""))
+def q_row_parity(spark, sf):
+    """Raw line items vs the lap rows staged from them (laps past 60 are cut)."""
+    return Q.row_parity(fx.table(spark, sf, "lineitem"), Inputs(spark, sf)._l("fx_lap_times"))

@@ -1 +1,444 @@
-"""Contract queries."""
+"""Contract queries for the landing-page parsers.
+
+Each query first renders landing pages from the fixture tables with Spark
+(``to_json`` over ``collect_list`` per page: one page per season, race or
+session, as the feeds serve them), then parses them with the library
+parser.  The oracle computes the expected flat rows straight from the same
+fixture rows, so the round trip checks every parse rule on data that grows
+with the tables.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from racelake import fixtures as fx
+from racelake.contract.inputs import Inputs
+from racelake.contract.q_models import parse_ms_sql
+from racelake.contract.registry import query
+from racelake.contract.sqlgen import oracle
+from racelake.session import scratch_path
+from racelake.sources import jolpica as J
+from racelake.sources import openf1 as O
+from racelake.sources.bridge import driver_number_bridge
+from racelake.sources.distance import clean_distance
+
+
+def _s(c):
+    return F.col(c).cast("string")
+
+
+def _envelope(df, keys, table, lst, item, extra=None):
+    """One JSON page per ``keys`` group: ``MRData.<table>.<lst>[]``."""
+    g = df.groupBy(*keys).agg(F.collect_list(item).alias("items"), F.count(F.lit(1)).alias("n"))
+    tbl = F.struct(*([extra] if extra is not None else []), F.col("items").alias(lst))
+    return g.select(F.to_json(F.struct(F.struct(_s("n").alias("total"), tbl.alias(table)).alias("MRData"))).alias("json"))
+
+
+def _flat_pages(df, keys, item):
+    """Timing-feed page: a JSON array of objects per ``keys`` group."""
+    return df.groupBy(*keys).agg(F.to_json(F.collect_list(item)).alias("json")).select("json")
+
+
+# ---------------------------------------------------------------- results feed
+
+@query("src_json_explode", oracle("""
+SELECT season, round, race_name, circuit_id, strftime(race_date, '%Y-%m-%d') AS date,
+       CASE WHEN round % 2 = 0 THEN '14:00:00Z' END AS time, 'https://races.example/' || circuit_id AS url
+FROM fx_races"""))
+def q_src_races(spark, sf):
+    """S5 (explode of the season calendar)."""
+    r = Inputs(spark, sf).races()
+    item = F.struct(_s("season").alias("season"), _s("round").alias("round"),
+                    F.concat(F.lit("https://races.example/"), "circuit_id").alias("url"),
+                    F.col("race_name").alias("raceName"), F.struct(F.col("circuit_id").alias("circuitId")).alias("Circuit"),
+                    F.date_format("race_date", "yyyy-MM-dd").alias("date"),
+                    F.when(F.col("round") % 2 == 0, F.lit("14:00:00Z")).alias("time"))
+    pages = _envelope(r, ["season"], "RaceTable", "Races", item, _s("season").alias("season"))
+    return J.parse_races(pages).select("season", "round", "race_name", "circuit_id", "date", "time", "url")
+
+
+@query("src_seasons", oracle("SELECT DISTINCT season AS year, 'https://seasons.example/' || CAST(season AS VARCHAR) AS url FROM fx_races"))
+def q_src_seasons(spark, sf):
+    """S1."""
+    s = Inputs(spark, sf).races().select("season").distinct().withColumn("page", F.lit(1))
+    item = F.struct(_s("season").alias("season"), F.concat(F.lit("https://seasons.example/"), _s("season")).alias("url"))
+    return J.parse_seasons(_envelope(s, ["page"], "SeasonTable", "Seasons", item)).select("year", "url")
+
+
+@query("src_constructors", oracle("SELECT constructor_id, url, constructor_name AS name, nationality FROM fx_stg_constructors"))
+def q_src_constructors(spark, sf):
+    """S3."""
+    c = Inputs(spark, sf).constructors().withColumn("page", F.lit(1))
+    item = F.struct(F.col("constructor_id").alias("constructorId"), "url",
+                    F.col("constructor_name").alias("name"), "nationality")
+    return J.parse_constructors(_envelope(c, ["page"], "ConstructorTable", "Constructors", item)).select(
+        "constructor_id", "url", "name", "nationality")
+
+
+@query("src_nested_optional", oracle("""
+SELECT circuit_id, url, circuit_name, locality, country, lat, lng,
+       CASE WHEN CAST(substr(circuit_id, 2) AS INTEGER) % 3 = 0 THEN NULL ELSE alt END AS alt, length_km, corners
+FROM fx_circuits"""))
+def q_src_circuits(spark, sf):
+    """Nested Location, optional altitude / length / turns."""
+    c = Inputs(spark, sf).circuits_raw().withColumn("page", F.lit(1))
+    n = F.substring("circuit_id", 2, 10).cast("int")
+    item = F.struct(F.col("circuit_id").alias("circuitId"), "url", F.col("circuit_name").alias("circuitName"),
+                    F.struct(_s("lat").alias("lat"), _s("lng").alias("long"), "locality", "country",
+                             F.when(n % 3 != 0, _s("alt")).alias("alt")).alias("Location"),
+                    _s("length_km").alias("length"), _s("corners").alias("turns"))
+    return J.parse_circuits(_envelope(c, ["page"], "CircuitTable", "Circuits", item)).select(
+        "circuit_id", "url", "circuit_name", "locality", "country", "lat", "lng", "alt", "length_km", "corners")
+
+
+@query("src_defaults", oracle("""
+SELECT driver_id,
+       CASE WHEN CAST(substr(driver_id, 2) AS INTEGER) % 5 = 0 THEN '' ELSE url END AS url,
+       given_name, family_name, strftime(date_of_birth, '%Y-%m-%d') AS date_of_birth,
+       CASE WHEN CAST(substr(driver_id, 2) AS INTEGER) % 4 = 1 THEN '' ELSE nationality END AS nationality,
+       permanent_number,
+       CASE WHEN CAST(substr(driver_id, 2) AS INTEGER) % 7 = 0 THEN NULL ELSE driver_code END AS code
+FROM fx_stg_drivers"""))
+def q_src_drivers(spark, sf):
+    """Absent texts default to '' (code and dob stay NULL), absent
+    permanent number -> NULL."""
+    d = Inputs(spark, sf).drivers().withColumn("page", F.lit(1))
+    n = F.substring("driver_id", 2, 10).cast("int")
+    item = F.struct(F.col("driver_id").alias("driverId"), F.when(n % 5 != 0, F.col("url")).alias("url"),
+                    F.col("given_name").alias("givenName"), F.col("family_name").alias("familyName"),
+                    F.date_format("date_of_birth", "yyyy-MM-dd").alias("dateOfBirth"),
+                    F.when(n % 4 != 1, F.col("nationality")).alias("nationality"),
+                    _s("permanent_number").alias("permanentNumber"),
+                    F.when(n % 7 != 0, F.col("driver_code")).alias("code"))
+    return J.parse_drivers(_envelope(d, ["page"], "DriverTable", "Drivers", item)).select(
+        "driver_id", "url", "given_name", "family_name", "date_of_birth", "nationality", "permanent_number", "code")
+
+
+def _result_item(fastest: bool):
+    fields = [
+        (F.col("driver_no") + 1).cast("string").alias("number"),
+        F.when(F.col("finish_position").isNull(), F.lit("R")).otherwise(_s("finish_position")).alias("position"),
+        F.col("position_text").alias("positionText"), _s("position_order").alias("positionOrder"),
+        _s("points").alias("points"), F.struct(F.col("driver_id").alias("driverId")).alias("Driver"),
+        F.struct(F.col("constructor_id").alias("constructorId")).alias("Constructor"),
+        _s("grid_position").alias("grid"), _s("laps_completed").alias("laps"), F.col("status").alias("status"),
+        F.when(F.col("time_millis").isNotNull(), F.struct(_s("time_millis").alias("millis"))).alias("Time"),
+    ]
+    if fastest:
+        fields.append(F.when(F.col("fastest_lap_rank").isNotNull(), F.struct(
+            _s("fastest_lap_rank").alias("rank"), F.struct(F.col("fastest_lap_time").alias("time")).alias("Time"),
+            F.when(F.col("grid_position") % 4 != 0, F.struct(_s("fastest_lap_speed").alias("speed")))
+            .alias("AverageSpeed"))).alias("FastestLap"))
+    return fields
+
+
+def _race_pages(df, list_name, item):
+    race = F.struct(_s("season").alias("season"), _s("round").alias("round"), F.col("items").alias(list_name))
+    g = df.groupBy("season", "round").agg(F.collect_list(item).alias("items"))
+    return g.select(F.to_json(F.struct(F.struct(F.lit("1").alias("total"), F.struct(
+        F.array(race).alias("Races")).alias("RaceTable")).alias("MRData"))).alias("json"))
+
+
+@query("src_numeric_or_null", oracle("""
+SELECT season, round, driver_id, constructor_id, grid_position AS grid, finish_position AS position, position_text,
+       position_order, points, laps_completed AS laps, status, time_millis, fastest_lap_rank, fastest_lap_time,
+       CASE WHEN grid_position % 4 = 0 THEN NULL ELSE fastest_lap_speed END AS fastest_lap_speed
+FROM fx_results_full"""))
+def q_src_results(spark, sf):
+    """Two-level explode; 'R' position -> NULL; order falls back to
+    positionOrder; optional Time / FastestLap / AverageSpeed."""
+    r = Inputs(spark, sf)._l("fx_results_full")
+    pages = _race_pages(r, "Results", F.struct(*_result_item(True)))
+    return J.parse_results(pages).select(
+        "season", "round", "driver_id", "constructor_id", "grid", "position", "position_text", "position_order",
+        "points", "laps", "status", "time_millis", "fastest_lap_rank", "fastest_lap_time", "fastest_lap_speed")
+
+
+@query("src_sprint", oracle("""
+SELECT season, round, driver_id, constructor_id, grid_position AS grid, finish_position AS position, position_text,
+       position_order, points, laps_completed AS laps, status, time_millis
+FROM fx_sprint_results"""))
+def q_src_sprint(spark, sf):
+    """S8."""
+    r = Inputs(spark, sf)._l("fx_sprint_results")
+    pages = _race_pages(r, "SprintResults", F.struct(*_result_item(False)))
+    return J.parse_sprint(pages).select("season", "round", "driver_id", "constructor_id", "grid", "position",
+                                        "position_text", "position_order", "points", "laps", "status", "time_millis")
+
+
+@query("src_qualifying", oracle("""
+SELECT season, round, driver_id, constructor_id, qualifying_position AS position, q1, q2, q3 FROM fx_qualifying"""))
+def q_src_qualifying(spark, sf):
+    """S7."""
+    q = Inputs(spark, sf)._l("fx_qualifying")
+    item = F.struct(_s("qualifying_position").alias("position"), F.struct(F.col("driver_id").alias("driverId")).alias("Driver"),
+                    F.struct(F.col("constructor_id").alias("constructorId")).alias("Constructor"),
+                    F.col("q1").alias("Q1"), F.col("q2").alias("Q2"), F.col("q3").alias("Q3"))
+    return J.parse_qualifying(_race_pages(q, "QualifyingResults", item)).select(
+        "season", "round", "driver_id", "constructor_id", "position", "q1", "q2", "q3")
+
+
+LAP_TEXT = "CASE WHEN (lap_number + lap_position) % 50 = 0 THEN '1:2x.3' ELSE lap_time END"
+
+
+@query("src_triple_explode", oracle(f"""
+SELECT season, round, driver_id, lap_number AS lap, lap_position AS position, t AS time, {parse_ms_sql('t')} AS time_millis
+FROM (SELECT *, {LAP_TEXT} AS t FROM fx_stg_jolpica_laps) x"""))
+def q_src_laps(spark, sf):
+    """Races -> Laps -> Timings, lap text -> ms (bad text -> NULL)."""
+    laps = Inputs(spark, sf).jlaps().withColumn("t", F.expr(LAP_TEXT))
+    per_lap = laps.groupBy("season", "round", "lap_number").agg(F.collect_list(F.struct(
+        F.col("driver_id").alias("driverId"), _s("lap_position").alias("position"), F.col("t").alias("time"))).alias("Timings"))
+    item = F.struct(_s("lap_number").alias("number"), F.col("Timings"))
+    pages = _race_pages(per_lap, "Laps", item)
+    return J.parse_lap_times(pages).select("season", "round", "driver_id", "lap", "position", "time", "time_millis")
+
+
+DUR_TEXT = ("CASE stop_number * 10 + (round % 5) WHEN 11 THEN '17:03.456' WHEN 12 THEN '1:02:03.456' "
+            "WHEN 13 THEN '' ELSE pit_duration END")
+
+
+@query("src_pit_stops", oracle(f"""
+SELECT season, round, driver_id, stop_number AS stop, lap_number AS lap, d AS duration, {parse_ms_sql('d')} AS duration_millis
+FROM (SELECT *, {DUR_TEXT} AS d FROM fx_pit_stops) x"""))
+def q_src_pit_stops(spark, sf):
+    """Duration text -> ms; minute form, hour form (NULL), empty (NULL)."""
+    p = Inputs(spark, sf).pit_stops().withColumn("d", F.expr(DUR_TEXT))
+    item = F.struct(F.col("driver_id").alias("driverId"), _s("lap_number").alias("lap"),
+                    _s("stop_number").alias("stop"), F.lit("14:05:00").alias("time"), F.col("d").alias("duration"))
+    return J.parse_pit_stops(_race_pages(p, "PitStops", item)).select(
+        "season", "round", "driver_id", "stop", "lap", "duration", "duration_millis")
+
+
+@query("src_first_array_elem", oracle("""
+SELECT season, round, driver_id, CASE WHEN driver_id IN ('d05', 'd10') THEN '' ELSE constructor_id END AS constructor_id,
+       standing_position AS position, points, wins
+FROM fx_driver_standings WHERE updated_at = TIMESTAMP '2024-01-03 00:00:00'"""))
+def q_src_driver_standings(spark, sf):
+    """constructor = first element of ``Constructors[]`` ('' when empty)."""
+    ds = Inputs(spark, sf).driver_standings().filter(F.col("updated_at") == F.lit("2024-01-03 00:00:00").cast("timestamp"))
+    cons = F.when(F.col("driver_id").isin("d05", "d10"), F.array().cast("array<struct<constructorId:string>>")) \
+        .otherwise(F.array(F.struct(F.col("constructor_id").alias("constructorId"))))
+    item = F.struct(_s("standing_position").alias("position"), _s("standing_position").alias("positionText"),
+                    _s("points").alias("points"), _s("wins").alias("wins"),
+                    F.struct(F.col("driver_id").alias("driverId")).alias("Driver"), cons.alias("Constructors"))
+    g = ds.groupBy("season", "round").agg(F.collect_list(item).alias("items"))
+    sl = F.struct(_s("season").alias("season"), _s("round").alias("round"), F.col("items").alias("DriverStandings"))
+    pages = g.select(F.to_json(F.struct(F.struct(F.lit("1").alias("total"), F.struct(
+        F.array(sl).alias("StandingsLists")).alias("StandingsTable")).alias("MRData"))).alias("json"))
+    return J.parse_driver_standings(pages).select("season", "round", "driver_id", "constructor_id", "position",
+                                                  "points", "wins")
+
+
+@query("src_constructor_standings", oracle("""
+SELECT season, round, constructor_id, standing_position AS position, points, wins
+FROM fx_constructor_standings WHERE updated_at = TIMESTAMP '2024-01-03 00:00:00'"""))
+def q_src_constructor_standings(spark, sf):
+    """S12."""
+    cs = Inputs(spark, sf).constructor_standings().filter(
+        F.col("updated_at") == F.lit("2024-01-03 00:00:00").cast("timestamp"))
+    item = F.struct(_s("standing_position").alias("position"), _s("points").alias("points"), _s("wins").alias("wins"),
+                    F.struct(F.col("constructor_id").alias("constructorId")).alias("Constructor"))
+    g = cs.groupBy("season", "round").agg(F.collect_list(item).alias("items"))
+    sl = F.struct(_s("season").alias("season"), _s("round").alias("round"), F.col("items").alias("ConstructorStandings"))
+    pages = g.select(F.to_json(F.struct(F.struct(F.lit("1").alias("total"), F.struct(
+        F.array(sl).alias("StandingsLists")).alias("StandingsTable")).alias("MRData"))).alias("json"))
+    return J.parse_constructor_standings(pages).select("season", "round", "constructor_id", "position", "points", "wins")
+
+
+# ---------------------------------------------------------------- timing feed
+
+def _iso(c):
+    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
+
+
+@query("src_sessions", oracle("""
+SELECT session_key, session_name, session_type, '' AS status, year, meeting_key, location, country_name
+FROM fx_stg_sessions"""))
+def q_src_sessions(spark, sf):
+    """Flat array page per year; absent status -> ''."""
+    s = Inputs(spark, sf).sessions()
+    item = F.struct("session_key", "session_name", "session_type", _iso(F.col("date_start")).alias("date_start"),
+                    _iso(F.col("date_end")).alias("date_end"), "year", "meeting_key", "location", "country_name",
+                    "country_code", "circuit_short_name")
+    return O.parse_sessions(_flat_pages(s, ["year"], item)).select(
+        "session_key", "session_name", "session_type", "status", "year", "meeting_key", "location", "country_name")
+
+
+@query("src_timing_drivers", oracle("""
+SELECT session_key, driver_number, name_acronym, team_name, team_colour, headshot_url, '' AS full_name
+FROM fx_timing_drivers"""))
+def q_src_timing_drivers(spark, sf):
+    """``or ''`` defaults (absent full name -> ''), nullable headshot."""
+    d = Inputs(spark, sf).of1_drivers()
+    item = F.struct("session_key", "driver_number", "name_acronym", "team_name", "team_colour", "headshot_url")
+    return O.parse_drivers(_flat_pages(d, ["session_key"], item)).select(
+        "session_key", "driver_number", "name_acronym", "team_name", "team_colour", "headshot_url", "full_name")
+
+
+@query("src_array_compact", oracle("""
+SELECT session_key, driver_number, lap_number, lap_duration, is_pit_out_lap,
+       CASE WHEN lap_number % 3 = 0 THEN 2 ELSE 3 END AS n_seg1,
+       CASE WHEN lap_number % 4 = 0 THEN 0 ELSE 2 END AS n_seg2, 1 AS n_seg3
+FROM fx_stg_laps WHERE lap_number % 13 <> 0"""))
+def q_src_laps_of1(spark, sf):
+    """Laps without a start time dropped; NULLs removed from the
+    segment arrays; a missing array becomes empty; pit-out flag 0/1."""
+    laps = Inputs(spark, sf).of1_laps()
+    seg1 = F.when(F.col("lap_number") % 3 == 0, F.array(F.lit(2048), F.lit(None).cast("int"), F.lit(2051))) \
+        .otherwise(F.array(F.lit(2049), F.lit(2049), F.lit(2064)))
+    seg2 = F.when(F.col("lap_number") % 4 != 0, F.array(F.lit(2048), F.lit(2051)))
+    item = F.struct("session_key", "driver_number", "lap_number",
+                    F.when(F.col("lap_number") % 13 != 0, _iso(F.col("lap_start"))).alias("date_start"),
+                    "lap_duration", (F.col("is_pit_out_lap") == 1).alias("is_pit_out_lap"),
+                    "duration_sector_1", "duration_sector_2", "duration_sector_3", "i1_speed", "i2_speed", "st_speed",
+                    seg1.alias("segments_sector_1"), seg2.alias("segments_sector_2"),
+                    F.array(F.lit(None).cast("int"), F.lit(2049)).alias("segments_sector_3"))
+    p = O.parse_laps(_flat_pages(laps, ["session_key"], item))
+    return p.select("session_key", "driver_number", "lap_number", "lap_duration", "is_pit_out_lap",
+                    F.size("segments_sector_1").alias("n_seg1"), F.size("segments_sector_2").alias("n_seg2"),
+                    F.size("segments_sector_3").alias("n_seg3"))
+
+
+@query("src_stints", oracle("""
+SELECT session_key, driver_number, stint_number, lap_start, lap_end, compound, tyre_age_at_start
+FROM fx_stints WHERE NOT (stint_number = 2 AND driver_number % 5 = 0)"""))
+def q_src_stints(spark, sf):
+    """Stints without a starting lap are dropped."""
+    st = Inputs(spark, sf).stints()
+    item = F.struct("session_key", "driver_number", "stint_number",
+                    F.when(~((F.col("stint_number") == 2) & (F.col("driver_number") % 5 == 0)), F.col("lap_start"))
+                    .alias("lap_start"), "lap_end", "compound", "tyre_age_at_start")
+    return O.parse_stints(_flat_pages(st, ["session_key"], item)).select(
+        "session_key", "driver_number", "stint_number", "lap_start", "lap_end", "compound", "tyre_age_at_start")
+
+
+@query("src_lapped_to_null", oracle("""
+SELECT session_key, driver_number, event_id,
+       CASE WHEN speed % 10 = 0 THEN NULL ELSE CAST(speed AS DOUBLE) / 4 END AS gap_to_leader,
+       CASE WHEN speed % 7 = 0 THEN NULL ELSE CAST(speed % 7 AS DOUBLE) / 4 END AS interval
+FROM fx_car"""))
+def q_src_intervals(spark, sf):
+    """Gap text such as ``+1 LAP`` -> NULL, numbers kept."""
+    car = Inputs(spark, sf).car()
+    gap = F.when(F.col("speed") % 10 == 0, F.lit("+1 LAP")).otherwise((F.col("speed") / 4).cast("string"))
+    itv = F.when(F.col("speed") % 7 == 0, F.lit("+2 LAPS")).otherwise(((F.col("speed") % 7) / 4).cast("string"))
+    item = F.struct("session_key", "driver_number", _s("event_id").alias("date"), gap.alias("gap_to_leader"),
+                    itv.alias("interval"))
+    p = O.parse_intervals(_flat_pages(car, ["session_key", "driver_number"], item))
+    return p.select("session_key", "driver_number", F.col("date").cast("long").alias("event_id"),
+                    "gap_to_leader", "interval")
+
+
+@query("src_weather", oracle("""
+SELECT session_key, event_id, CASE WHEN v % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(v AS DOUBLE) END AS air_temperature,
+       CAST(0 AS DOUBLE) AS humidity, CASE WHEN v % 3 = 0 THEN 1 ELSE 0 END AS rainfall, 0 AS wind_direction
+FROM fx_samples WHERE event_type = 'error'"""))
+def q_src_weather(spark, sf):
+    """Absent numbers default to 0, rainfall bool -> 0/1."""
+    s = Inputs(spark, sf)._l("fx_samples").filter(F.col("event_type") == "error")
+    item = F.struct("session_key", _s("event_id").alias("date"),
+                    F.when(F.col("v") % 4 != 0, F.col("v").cast("double")).alias("air_temperature"),
+                    (F.col("v") % 3 == 0).alias("rainfall"))
+    p = O.parse_weather(_flat_pages(s, ["session_key"], item))
+    return p.select("session_key", F.col("date").cast("long").alias("event_id"), "air_temperature", "humidity",
+                    "rainfall", "wind_direction")
+
+
+@query("src_race_control", oracle("""
+SELECT session_key, event_id, CASE WHEN v % 2 = 0 THEN driver_number END AS driver_number,
+       CASE WHEN v % 3 = 0 THEN 'Flag' ELSE '' END AS category, CASE WHEN v % 3 = 0 THEN 'YELLOW' END AS flag,
+       'msg ' || CAST(v AS VARCHAR) AS message
+FROM fx_samples WHERE event_type = 'error'"""))
+def q_src_race_control(spark, sf):
+    """Five nullable columns, absent category -> ''."""
+    s = Inputs(spark, sf)._l("fx_samples").filter(F.col("event_type") == "error")
+    item = F.struct("session_key", _s("event_id").alias("date"),
+                    F.when(F.col("v") % 2 == 0, F.col("driver_number")).alias("driver_number"),
+                    F.when(F.col("v") % 3 == 0, F.lit("Flag")).alias("category"),
+                    F.when(F.col("v") % 3 == 0, F.lit("YELLOW")).alias("flag"),
+                    F.concat(F.lit("msg "), _s("v")).alias("message"))
+    p = O.parse_race_control(_flat_pages(s, ["session_key"], item))
+    return p.select("session_key", F.col("date").cast("long").alias("event_id"), "driver_number", "category",
+                    "flag", "message")
+
+
+@query("src_partitioned_telemetry", oracle("""
+SELECT session_key, driver_number, date_trunc('millisecond', date) AS date, speed, rpm, brake,
+       CAST(year(date) AS INTEGER) AS year
+FROM fx_car"""))
+def q_src_telemetry(spark, sf):
+    """S21 + I6: car pages -> typed rows -> written partitioned by
+    (year, session) and sorted by (session, driver, time) -> read back."""
+    car = Inputs(spark, sf).car()
+    item = F.struct("session_key", "driver_number", _iso(F.col("date")).alias("date"), "rpm", "speed", "n_gear",
+                    "throttle", "brake", "drs")
+    parsed = O.parse_car_data(_flat_pages(car, ["session_key", "driver_number"], item))
+    path = scratch_path(spark, f"telemetry-{uuid.uuid4().hex}")
+    O.write_telemetry(parsed, path)
+    back = spark.read.parquet(path)
+    return back.select(F.col("session_key").cast("long"), "driver_number", "date", "speed", "rpm", "brake",
+                       F.col("year").cast("int"))
+
+
+@query("src_location", oracle("""
+SELECT session_key, driver_number, date_trunc('millisecond', date) AS date, x, y, 0 AS z FROM fx_location"""))
+def q_src_location(spark, sf):
+    """Absent coordinates default to 0."""
+    loc = Inputs(spark, sf).location()
+    item = F.struct("session_key", "driver_number", _iso(F.col("date")).alias("date"), "x", "y")
+    p = O.parse_location(_flat_pages(loc, ["session_key", "driver_number"], item))
+    return p.select("session_key", "driver_number", "date", "x", "y", "z")
+
+
+DIST_SQL = """(SELECT session_key, driver_number, date,
+       CASE WHEN CAST(distance_m AS BIGINT) % 11 = 0 THEN CAST('NaN' AS DOUBLE)
+            WHEN CAST(distance_m AS BIGINT) % 13 = 0 THEN -distance_m - 1
+            ELSE distance_m END AS d
+FROM fx_distance)"""
+
+
+@query("src_distance_clean", oracle(f"""
+SELECT session_key, driver_number, date_trunc('millisecond', date) AS date, d AS distance_m
+FROM {DIST_SQL} x WHERE NOT isnan(d) AND d >= 0"""))
+def q_src_distance(spark, sf):
+    """NaN and negative samples dropped, keys stamped, ms time."""
+    d = Inputs(spark, sf).distance()
+    v = F.col("distance_m").cast("long")
+    dist = (F.when(v % 11 == 0, F.lit(float("nan"))).when(v % 13 == 0, -F.col("distance_m") - 1)
+            .otherwise(F.col("distance_m")))
+    frame = d.select("session_key", "driver_number", F.col("date").cast("timestamp").alias("Date"), dist.alias("Distance"))
+    return clean_distance(frame).select("session_key", "driver_number", "date", "distance_m")
+
+
+@query("bridge_priority_fill", oracle("""
+WITH rn AS (SELECT season, round, driver_id,
+                   CASE WHEN driver_no IN (0, 1) AND round > 6 THEN 2 - driver_no ELSE driver_no + 1 END AS number
+            FROM fx_results WHERE driver_no <> 13),
+raced AS (SELECT season, number AS openf1_driver_number, driver_id AS jolpica_driver_id, round AS rk FROM (
+            SELECT *, row_number() OVER (PARTITION BY season, number ORDER BY round DESC, driver_id DESC) AS r FROM rn) z
+          WHERE r = 1),
+perm AS (SELECT DISTINCT r.season, d.permanent_number AS openf1_driver_number, d.driver_id AS jolpica_driver_id, -1 AS rk
+         FROM fx_results r JOIN fx_stg_drivers d ON d.driver_id = r.driver_id WHERE d.permanent_number IS NOT NULL),
+fill AS (SELECT season, openf1_driver_number, jolpica_driver_id, rk FROM (
+           SELECT p.*, row_number() OVER (PARTITION BY season, openf1_driver_number ORDER BY jolpica_driver_id DESC) AS r
+           FROM perm p WHERE NOT EXISTS (SELECT 1 FROM raced x WHERE x.season = p.season
+                                         AND x.openf1_driver_number = p.openf1_driver_number)) z WHERE r = 1),
+allrows AS (SELECT * FROM raced UNION ALL SELECT * FROM fill)
+SELECT jolpica_driver_id, openf1_driver_number, season FROM (
+  SELECT *, row_number() OVER (PARTITION BY season, jolpica_driver_id ORDER BY rk DESC, openf1_driver_number DESC) AS r
+  FROM allrows) z WHERE r = 1"""))
+def q_bridge(spark, sf):
+    """Race numbers first (last race wins), permanent numbers fill gaps."""
+    i = Inputs(spark, sf)
+    r = i._l("fx_results")
+    nums = r.filter(F.col("driver_no") != 13).select(
+        "season", "round", "driver_id",
+        F.when(F.col("driver_no").isin(0, 1) & (F.col("round") > 6), 2 - F.col("driver_no"))
+        .otherwise(F.col("driver_no") + 1).alias("number"))
+    drivers = (r.select("season", "driver_id").distinct()
+               .join(i.drivers().select("driver_id", "permanent_number"), "driver_id"))
+    return driver_number_bridge(nums, drivers)
