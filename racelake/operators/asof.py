@@ -14,6 +14,12 @@ Rules
     are all NULL still counts as a match.
   * ties on the right (same key and time) resolve deterministically: the
     largest payload struct wins (same rule in the bucketed path).
+  * the output keeps the ``by`` keys and the left time as the very columns
+    the exchange and sort ran on, so a following window over the same keys
+    ordered by the same time (e.g. a change flag) needs no new shuffle or sort.
+  * left rows whose key or time is NULL can never match; they bypass the
+    window (no hot NULL partition) and come back with NULL right columns,
+    or are dropped when ``keep_unmatchable=False``.
   * ``bucket``: optional time-bucket width.  Partitions become
     ``(by, bucket)`` so a single hot key is spread over many tasks; the latest
     right row of earlier buckets is carried over exactly by a small
@@ -32,8 +38,6 @@ _T = "__asof_t"
 _SIDE = "__asof_side"
 _B = "__asof_b"
 _L = "__asof_left"
-_SALT = "__asof_salt"
-_NULL_SPREAD = 4096
 
 
 @dataclass
@@ -65,6 +69,10 @@ def parse_bucket(bucket: str | int | None) -> int | None:
     return int(n) * mult * 1_000_000
 
 
+def _payload_type(df: DataFrame, cols: Sequence[str]):
+    return df.select(F.struct(*[F.col(c) for c in cols]).alias("x")).schema["x"].dataType
+
+
 def asof_join_many(
     left: DataFrame,
     by: Sequence[str],
@@ -72,6 +80,7 @@ def asof_join_many(
     rights: Sequence[AsofRight],
     inclusive: bool = True,
     bucket: str | int | None = None,
+    keep_unmatchable: bool = True,
 ) -> DataFrame:
     """Attach to every left row the latest row of each right input.
 
@@ -81,95 +90,81 @@ def asof_join_many(
     by = list(by)
     bucket_us = parse_bucket(bucket)
     left_side, right_side = (1, 0) if inclusive else (0, 1)
-
     left_cols = left.columns
-    left_payload = F.struct(*[F.col(c) for c in left_cols])
-    null_structs = [
-        F.lit(None).cast(_payload_type(r)) for r in rights
-    ]
+    rest = [c for c in left_cols if c not in by and c != left_ts]
+    rtypes = [_payload_type(r.df, r.cols) for r in rights]
+    rcols = [f"__r{i}" for i in range(len(rights))]
 
-    # Left rows with a NULL key or time can never match.  They get a spread
-    # salt instead of all landing in one (NULL-key) window partition; every
-    # matchable row has salt 0, so its partition is exactly its key.
     valid = F.col(left_ts).isNotNull()
     for k in by:
         valid = valid & F.col(k).isNotNull()
-    salt = F.when(valid, F.lit(0)).otherwise(F.pmod(F.xxhash64(left_payload), F.lit(_NULL_SPREAD)) + 1)
+
+    left_payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(None).alias("__none"))
+    ltype = left.select(left_payload.alias("x")).schema["x"].dataType
     parts = [
-        left.select(
-            *[F.col(k) for k in by],
-            F.col(left_ts).alias(_T),
-            F.lit(left_side).alias(_SIDE),
-            left_payload.alias(_L),
-            *[ns.alias(f"__r{i}") for i, ns in enumerate(null_structs)],
-            salt.cast("long").alias(_SALT),
-        )
+        left.filter(valid).select(
+            *[F.col(k) for k in by], F.col(left_ts).alias(_T), F.lit(left_side).alias(_SIDE),
+            left_payload.alias(_L), *[F.lit(None).cast(t).alias(c) for t, c in zip(rtypes, rcols)])
     ]
-    left_null = F.lit(None).cast(left.select(left_payload.alias("x")).schema["x"].dataType)
     for i, r in enumerate(rights):
         rby = list(r.by) if r.by else by
-        structs = []
-        for j, ns in enumerate(null_structs):
-            if j == i:
-                structs.append(F.struct(*[F.col(c) for c in r.cols]).alias(f"__r{j}"))
-            else:
-                structs.append(ns.alias(f"__r{j}"))
         rvalid = F.col(r.ts).isNotNull()
         for rk in rby:
             rvalid = rvalid & F.col(rk).isNotNull()
-        parts.append(
-            r.df.filter(rvalid).select(
-                *[F.col(rk).alias(k) for rk, k in zip(rby, by)],
-                F.col(r.ts).alias(_T),
-                F.lit(right_side).alias(_SIDE),
-                left_null.alias(_L),
-                *structs,
-                F.lit(0).cast("long").alias(_SALT),
-            )
-        )
+        structs = [F.struct(*[F.col(c) for c in r.cols]).alias(c) if j == i else F.lit(None).cast(t).alias(c)
+                   for j, (t, c) in enumerate(zip(rtypes, rcols))]
+        parts.append(r.df.filter(rvalid).select(
+            *[F.col(rk).alias(k) for rk, k in zip(rby, by)], F.col(r.ts).alias(_T),
+            F.lit(right_side).alias(_SIDE), F.lit(None).cast(ltype).alias(_L), *structs))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
 
-    rcols = [f"__r{i}" for i in range(len(rights))]
     order = [F.col(_T), F.col(_SIDE)] + [F.col(c) for c in rcols]
-
     if bucket_us is None:
-        w = Window.partitionBy(*by, _SALT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         got = u.select(
-            F.col(_SIDE), F.col(_L),
+            *[F.col(k) for k in by], F.col(_T), F.col(_SIDE), F.col(_L),
             *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) for c in rcols],
         ).filter(F.col(_SIDE) == left_side)
     else:
-        got = _bucketed(u, by, rights, rcols, order, bucket_us, left_side)
-
-    out = [F.col(f"{_L}.{c}").alias(c) for c in left_cols]
+        got = _bucketed(u, by, rcols, order, bucket_us, left_side)
+
+    # keys and time stay the exchanged / sorted columns; everything else
+    # is unpacked from the carried structs
+    out = []
+    for c in left_cols:
+        if c in by:
+            out.append(F.col(c))
+        elif c == left_ts:
+            out.append(F.col(_T).alias(c))
+        else:
+            out.append(F.col(f"{_L}.{c}").alias(c))
     for i, r in enumerate(rights):
-        for c in r.cols:
-            out.append(F.col(f"__r{i}.{c}").alias(r.rename.get(c, c)))
-    return got.select(*out)
+        out += [F.col(f"__r{i}.{c}").alias(r.rename.get(c, c)) for c in r.cols]
+    res = got.select(*out)
 
+    if keep_unmatchable:
+        rest_right = [F.lit(None).cast(rtypes[i][c].dataType).alias(r.rename.get(c, c))
+                      for i, r in enumerate(rights) for c in r.cols]
+        res = res.unionByName(left.filter(~valid).select(*left_cols, *rest_right))
+    return res
 
-def _payload_type(r: AsofRight):
-    return r.df.select(F.struct(*[F.col(c) for c in r.cols]).alias("x")).schema["x"].dataType
 
-
-def _bucketed(u, by, rights, rcols, order, bucket_us, left_side):
+def _bucketed(u, by, rcols, order, bucket_us, left_side):
     """Two-level as-of: inside (key, bucket) by window, across buckets by a carry table."""
     u = u.withColumn(_B, _bucket_expr(F.col(_T), bucket_us))
-    w = Window.partitionBy(*by, _B, _SALT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*by, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inner = u.select(
-        *[F.col(k) for k in by], F.col(_B), F.col(_SIDE), F.col(_L),
+        *[F.col(k) for k in by], F.col(_B), F.col(_T), F.col(_SIDE), F.col(_L),
         *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) for c in rcols],
     ).filter(F.col(_SIDE) == left_side)
 
     # latest right row per (key, bucket): a map-side-combined aggregate whose
     # size is (#keys x #buckets), independent of the rows per key.
-    per_bucket = (
-        u.groupBy(*by, _B)
-        .agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(_T).alias("t"), F.col(c).alias("v"))))
-               .alias(c) for c in rcols])
-    )
+    per_bucket = u.groupBy(*by, _B).agg(*[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(_T).alias("t"), F.col(c).alias("v")))).alias(c)
+        for c in rcols])
     wb = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
         *[F.col(k) for k in by], F.col(_B),
@@ -177,7 +172,7 @@ def _bucketed(u, by, rights, rcols, order, bucket_us, left_side):
     )
     j = inner.join(carry, on=[*by, _B], how="left")
     return j.select(
-        F.col(_SIDE), F.col(_L),
+        *[F.col(k) for k in by], F.col(_T), F.col(_SIDE), F.col(_L),
         *[F.coalesce(F.col(c), F.col(c + "_carry")).alias(c) for c in rcols],
     )
 
@@ -192,10 +187,11 @@ def asof_join(
     rename: dict | None = None,
     inclusive: bool = True,
     bucket: str | int | None = None,
+    keep_unmatchable: bool = True,
 ) -> DataFrame:
     """Single-input convenience wrapper of :func:`asof_join_many`."""
     return asof_join_many(
         left, by, left_ts,
         [AsofRight(right, right_ts, list(right_cols), rename or {})],
-        inclusive=inclusive, bucket=bucket,
+        inclusive=inclusive, bucket=bucket, keep_unmatchable=keep_unmatchable,
     )
