@@ -442,3 +442,19 @@ def q_bridge(spark, sf):
     drivers = (r.select("season", "driver_id").distinct()
                .join(i.drivers().select("driver_id", "permanent_number"), "driver_id"))
     return driver_number_bridge(nums, drivers)
+
+
+@query("stream_available_now", oracle("""
+SELECT session_key, driver_number, date_trunc('millisecond', date) AS date, speed, rpm FROM fx_car"""))
+def q_stream(spark, sf):
+    """Car pages land as files; an availableNow file stream parses them
+    into the raw table (checkpointed, idempotent per micro-batch)."""
+    from racelake.streaming.ingest import run_available_now
+    car = Inputs(spark, sf).car()
+    item = F.struct("session_key", "driver_number", _iso(F.col("date")).alias("date"), "rpm", "speed", "n_gear",
+                    "throttle", "brake", "drs")
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    _flat_pages(car, ["session_key", "driver_number"], item).write.text(f"{run}/landing")
+    run_available_now(spark, f"{run}/landing", O.parse_car_data, f"{run}/raw", f"{run}/_checkpoint",
+                      max_files_per_trigger=4)
+    return spark.read.parquet(f"{run}/raw").select("session_key", "driver_number", "date", "speed", "rpm")
