@@ -111,12 +111,12 @@ def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, locat
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, stg: dict[str, DataFrame], circuit_stats: DataFrame | None = None,
-              min_headshot_season: int = 2023) -> None:
+              min_headshot_season: int = 2023, bucket=None) -> None:
     """Build every intermediate model, dimension, fact and mart from staged inputs."""
     smap = M.session_map(stg["sessions"], stg["races"])
     materialise(smap, wh.path("intermediate", "session_map"))
     smap = spark.read.parquet(wh.path("intermediate", "session_map"))
-    materialise(M.lap_boundaries(stg["laps"]), wh.path("intermediate", "lap_boundaries"),
+    materialise(M.lap_boundaries(stg.get("telemetry_laps", stg["laps"])), wh.path("intermediate", "lap_boundaries"),
                 sort_by=["session_key", "driver_number", "lap_start"])
     materialise(M.sprint_weekends(stg["sprint_results"]), wh.path("intermediate", "sprint_weekends"))
 
@@ -149,7 +149,7 @@ def run_marts(spark: SparkSession, wh: Warehouse, stg: dict[str, DataFrame], cir
     materialise(M.qualifying_summary(fq, spark.read.parquet(wh.path("marts", "dim_sessions")), d,
                                      stg["of1_drivers"], c), wh.path("marts", "qualifying_summary"))
     rebuild_telemetry(spark, wh, stg["car_data"], spark.read.parquet(wh.path("intermediate", "lap_boundaries")),
-                      stg["location"], stg["distances"], smap, stg["of1_drivers"], stg["driver_map"])
+                      stg["location"], stg["distances"], smap, stg["of1_drivers"], stg["driver_map"], bucket=bucket)
 
 
 def load_weekend(tables: dict[str, DataFrame], season: int, rnd: int) -> dict[str, DataFrame]:
@@ -168,3 +168,18 @@ def load_weekend_status(spark: SparkSession, wh: Warehouse, tables: dict[str, Da
         except Exception as e:  # noqa: BLE001 - reported, not raised
             rows.append((name, "failed", str(e)[:500]))
     return spark.createDataFrame(rows, "table string, status string, error string")
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """I8: read a table whose files gained nullable columns over time
+    (older files yield NULL for the new columns)."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def ensure_columns(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> DataFrame:
+    """I8: add missing columns with a typed default (``DEFAULT 0`` columns),
+    and fill NULLs of present ones that came from older files."""
+    for name, (type_, value) in defaults.items():
+        lit = F.lit(value).cast(type_)
+        df = df.withColumn(name, F.coalesce(F.col(name), lit) if name in df.columns else lit)
+    return df
