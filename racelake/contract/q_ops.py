@@ -18,7 +18,7 @@ from racelake.operators.incremental import after_watermark, unseen_keys
 from racelake.operators.intervals import interval_bounds, slice_intervals
 from racelake.operators.lookups import segment_label_map
 from racelake.operators.match import tolerance_match
-from racelake.operators.windows import change_flag, delta_to_best, group_mean, ordinal
+from racelake.operators.windows import change_flag, delta_to_best, group_mean, ordinal, rows_at_group_min
 from racelake.plans import models as M
 
 KEYS = ["session_key", "driver_number"]
@@ -358,12 +358,10 @@ def q_dedup_any(spark, sf):
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem l
 WHERE l_extendedprice = (SELECT min(l_extendedprice) FROM lineitem l2 WHERE l2.l_orderkey = l.l_orderkey)"""))
 def q_group_best_row(spark, sf):
-    """Correlated ``x = (SELECT min ...)`` as a partition min + filter
-    (one shuffle, ties all kept like the SQL form)."""
+    """Correlated ``x = (SELECT min ...)`` decorrelated as a per-key
+    ``min`` aggregate + semi join (ties all kept like the SQL form)."""
     li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    w = Window.partitionBy("l_orderkey")
-    return li.withColumn("__m", F.min("l_extendedprice").over(w)).filter(
-        F.col("l_extendedprice") == F.col("__m")).drop("__m")
+    return rows_at_group_min(li, ["l_orderkey"], "l_extendedprice")
 
 
 @query("latest_round", oracle("""

@@ -447,13 +447,25 @@ def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
+_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """Reuse one DataFrame per (session, path): the file listing and footer
+    schema are resolved once, later queries start from the same relation."""
+    key = (id(spark), path)
+    if key not in _FRAMES:
+        _FRAMES[key] = spark.read.parquet(path)
+    return _FRAMES[key]
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One adapter as a DataFrame (materialised on first use)."""
     if name in BASE_TABLES:
         return table(spark, sf_dir, name)
-    return spark.read.parquet(materialise(spark, sf_dir, name))
+    return _read(spark, materialise(spark, sf_dir, name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a DataFrame."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return _read(spark, os.path.join(sf_dir, f"{name}.parquet"))

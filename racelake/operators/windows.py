@@ -1,4 +1,11 @@
-"""Window operators: change flags, deltas to the best, ordinals."""
+"""Window operators: change flags, deltas to the best, ordinals.
+
+Group statistics (min / mean of a group attached to each row) are computed
+as an aggregate joined back on the group keys rather than as a window:
+the aggregate combines map-side, is small (one row per group) and AQE
+broadcasts it after measuring its size, so the wide side is not shuffled at
+all and a hot group is never sorted inside one task.
+"""
 
 from __future__ import annotations
 
@@ -7,32 +14,70 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from racelake.operators.asof import _bucket_expr, parse_bucket
+
 
-def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], name: str) -> DataFrame:
+def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], name: str,
+                bucket: str | int | None = None) -> DataFrame:
     """1 when any of ``cols`` differs from the previous row in the group,
-    else 0.  Missing values and the first row's predecessor count as 0."""
-    w = Window.partitionBy(*by).orderBy(order)
+    else 0.  Missing values and the first row's predecessor count as 0.
+
+    ``bucket`` (time width, for a time ``order``): the lag runs inside
+    ``(by, bucket)`` partitions; the first row of a bucket compares with the
+    last row of the nearest earlier bucket, found from a one-row-per-bucket
+    aggregate, so a single huge group is spread over many tasks exactly."""
+    vals = [F.coalesce(F.col(c), F.lit(0)) for c in cols]
+    bucket_us = parse_bucket(bucket)
+    if bucket_us is None:
+        w = Window.partitionBy(*by).orderBy(order)
+        prevs = [F.lag(v, 1, 0).over(w) for v in vals]
+        return df.withColumn(name, _any_diff(vals, prevs))
+
+    b = "__cf_b"
+    d = df.withColumn(b, _bucket_expr(F.col(order), bucket_us))
+    last = (d.groupBy(*by, b)
+            .agg(F.max_by(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(vals)]), F.col(order)).alias("__last")))
+    wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*by, b, F.last("__last", ignorenulls=True).over(wb).alias("__carry"))
+    w = Window.partitionBy(*by, b).orderBy(order)
+    d = d.join(carry, [*by, b], "left")
+    prevs = [F.coalesce(F.lag(v, 1).over(w), F.col(f"__carry.v{i}"), F.lit(0)) for i, v in enumerate(vals)]
+    return d.withColumn(name, _any_diff(vals, prevs)).drop(b, "__carry")
+
+
+def _any_diff(vals, prevs):
     changed = None
-    for c in cols:
-        cur = F.coalesce(F.col(c), F.lit(0))
-        prev = F.lag(cur, 1, 0).over(w)
-        e = cur != prev
+    for v, p in zip(vals, prevs):
+        e = v != p
         changed = e if changed is None else (changed | e)
-    return df.withColumn(name, changed.cast("int"))
+    return changed.cast("int")
+
+
+def _group_stat(df: DataFrame, group: Sequence[str], agg, name: str) -> DataFrame:
+    stat = df.groupBy(*group).agg(agg.alias(name))
+    # NULL group keys form a group of their own, as in a window
+    cond = [df[g].eqNullSafe(stat[g]) for g in group]
+    return df.join(stat, cond, "left").select(df["*"], stat[name])
 
 
 def delta_to_best(df: DataFrame, group: Sequence[str], value: str, best: str, delta: str) -> DataFrame:
-    """Group minimum and the difference to it (one window, no self join)."""
-    w = Window.partitionBy(*group)
-    return df.withColumn(best, F.min(value).over(w)).withColumn(delta, F.col(value) - F.col(best))
+    """Group minimum and the difference to it."""
+    return _group_stat(df, group, F.min(value), best).withColumn(delta, F.col(value) - F.col(best))
 
 
 def group_mean(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
-    """Partition average."""
-    return df.withColumn(name, F.avg(value).over(Window.partitionBy(*group)))
+    """Group average."""
+    return _group_stat(df, group, F.avg(value), name)
+
+
+def rows_at_group_min(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Rows whose ``value`` equals their group's minimum (all ties kept),
+    i.e. ``x = (SELECT min(x) ... same group)``."""
+    stat = df.groupBy(*group).agg(F.min(value).alias("__min"))
+    return df.join(stat, [df[g] == stat[g] for g in group] + [df[value] == stat["__min"]], "left_semi")
 
 
 def ordinal(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """1..n within ``by`` after sorting by ``order``."""
-    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w).cast("int"))
