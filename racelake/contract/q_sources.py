@@ -458,3 +458,19 @@ def q_stream(spark, sf):
     run_available_now(spark, f"{run}/landing", O.parse_car_data, f"{run}/raw", f"{run}/_checkpoint",
                       max_files_per_trigger=4)
     return spark.read.parquet(f"{run}/raw").select("session_key", "driver_number", "date", "speed", "rpm")
+
+
+@query("layout_partition_prune", oracle("""
+SELECT session_key, driver_number, date_trunc('millisecond', date) AS date, speed
+FROM fx_car WHERE session_key = 9002"""))
+def q_layout_prune(spark, sf):
+    """Telemetry written partitioned by (year, session) and sorted by
+    (session, driver, time); an app read of one session (the mart's access
+    pattern) scans only that session's folder (``PartitionFilters``)."""
+    car = Inputs(spark, sf).car()
+    item = F.struct("session_key", "driver_number", _iso(F.col("date")).alias("date"), "speed")
+    parsed = O.parse_car_data(_flat_pages(car, ["session_key", "driver_number"], item))
+    path = scratch_path(spark, f"layout-{uuid.uuid4().hex}")
+    O.write_telemetry(parsed, path)
+    return (spark.read.parquet(path).filter(F.col("session_key") == 9002)
+            .select(F.col("session_key").cast("long"), "driver_number", "date", "speed"))

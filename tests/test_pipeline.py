@@ -132,3 +132,15 @@ def test_load_weekend_status(spark):
     st = {r.table: r.status for r in P.load_weekend_status(spark, wh, {"results": good, "laps": bad}, 2024, 1).collect()}
     assert st == {"results": "ok", "laps": "failed"}
     assert spark.read.parquet(wh.path("raw", "results")).count() == 1
+
+
+def test_reingest_overwrites_only_chosen_sessions(spark):
+    """I4: re-ingesting chosen sessions replaces just their partitions."""
+    from racelake.operators.incremental import overwrite_partitions, write_append
+    path = tempfile.mkdtemp(prefix="racelake-i4-") + "/t"
+    write_append(spark.createDataFrame([(1, "a"), (2, "b")], "session_key int, v string"), path, ["session_key"])
+    overwrite_partitions(spark.createDataFrame([(2, "b2")], "session_key int, v string"), path, ["session_key"])
+    assert sorted((r.session_key, r.v) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b2")]
+    # An empty batch appends nothing
+    write_append(spark.createDataFrame([], "session_key int, v string"), path, ["session_key"])
+    assert spark.read.parquet(path).count() == 2
