@@ -402,7 +402,8 @@ FROM fx_distance)"""
 
 
 @query("src_distance_clean", oracle(f"""
-SELECT session_key, driver_number, date_trunc('millisecond', date) AS date, d AS distance_m
+SELECT CAST(session_key AS INTEGER) AS session_key, driver_number, date_trunc('millisecond', date) AS date,
+       d AS distance_m
 FROM {DIST_SQL} x WHERE NOT isnan(d) AND d >= 0"""))
 def q_src_distance(spark, sf):
     """NaN and negative samples dropped, keys stamped, ms time."""
