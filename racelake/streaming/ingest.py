@@ -49,3 +49,35 @@ def run_available_now(
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def stream_telemetry(
+    spark: SparkSession,
+    landing_dir: str,
+    warehouse,
+    checkpoint_dir: str,
+    boundaries: DataFrame,
+    location: DataFrame,
+    distance: DataFrame,
+    smap: DataFrame,
+    of1_drivers: DataFrame,
+    driver_map: DataFrame,
+    bucket=None,
+    max_files_per_trigger: int | None = None,
+) -> None:
+    """Car-sample pages -> raw car table (availableNow stream); after each
+    micro-batch the lap-telemetry mart is rebuilt for exactly the sessions
+    with new rows (whole sessions, dynamic partition overwrite)."""
+    from racelake.plans.pipeline import rebuild_telemetry
+    from racelake.plans.staging import stg_car_data
+    from racelake.sources.openf1 import parse_car_data
+
+    raw = warehouse.path("raw", "car_data")
+
+    def rebuild(_batch: DataFrame, _batch_id: int) -> None:
+        car = stg_car_data(spark.read.parquet(raw))
+        rebuild_telemetry(spark, warehouse, car, boundaries, location, distance, smap, of1_drivers,
+                          driver_map, bucket=bucket)
+
+    run_available_now(spark, landing_dir, parse_car_data, raw, checkpoint_dir,
+                      on_batch=rebuild, max_files_per_trigger=max_files_per_trigger)
