@@ -1,11 +1,10 @@
-"""Contract queries for the landing-page parsers.
+"""Contract queries for the landing-page parsers.
 
 Each query first renders landing pages from the fixture tables with Spark
-(``to_json`` over ``collect_list`` per page: one page per season, race or
-session, as the feeds serve them), then parses them with the library
-parser.  The oracle computes the expected flat rows straight from the same
-fixture rows, so the round trip checks every parse rule on data that grows
-with the tables.
+(``to_json`` over ``collect_list`` per page of at most 100 records, as the
+paginated feeds serve them), then parses them with the library parser.  The
+oracle computes the expected flat rows straight from the same fixture rows,
+so the round trip checks every parse rule on data that grows with the tables.
 """
 
 from __future__ import annotations
@@ -30,16 +29,30 @@ def _s(c):
     return F.col(c).cast("string")
 
 
+PAGE_SIZE = 100
+
+
+def _paged(df, keys=()):
+    """Assign page numbers of at most ``PAGE_SIZE`` records inside each input
+    partition (no shuffle, no global order), like a paginated feed; pages are
+    then grouped by ``keys`` + page, so no page, and no task building one,
+    ever holds an unbounded group."""
+    mid = F.monotonically_increasing_id()
+    return df.withColumn("__page", F.floor(mid / PAGE_SIZE)), [*keys, "__page"]
+
+
 def _envelope(df, keys, table, lst, item, extra=None):
-    """One JSON page per ``keys`` group: ``MRData.<table>.<lst>[]``."""
-    g = df.groupBy(*keys).agg(F.collect_list(item).alias("items"), F.count(F.lit(1)).alias("n"))
+    """Landing pages ``MRData.<table>.<lst>[]`` of at most PAGE_SIZE records."""
+    df, pk = _paged(df, keys)
+    g = df.groupBy(*pk).agg(F.collect_list(item).alias("items"), F.count(F.lit(1)).alias("n"))
     tbl = F.struct(*([extra] if extra is not None else []), F.col("items").alias(lst))
     return g.select(F.to_json(F.struct(F.struct(_s("n").alias("total"), tbl.alias(table)).alias("MRData"))).alias("json"))
 
 
 def _flat_pages(df, keys, item):
-    """Timing-feed page: a JSON array of objects per ``keys`` group."""
-    return df.groupBy(*keys).agg(F.to_json(F.collect_list(item)).alias("json")).select("json")
+    """Timing-feed pages: JSON arrays of at most PAGE_SIZE objects per ``keys``."""
+    df, pk = _paged(df, keys)
+    return df.groupBy(*pk).agg(F.to_json(F.collect_list(item)).alias("json")).select("json")
 
 
 # ---------------------------------------------------------------- results feed
@@ -63,18 +76,18 @@ def q_src_races(spark, sf):
 @query("src_seasons", oracle("SELECT DISTINCT season AS year, 'https://seasons.example/' || CAST(season AS VARCHAR) AS url FROM fx_races"))
 def q_src_seasons(spark, sf):
     """S1."""
-    s = Inputs(spark, sf).races().select("season").distinct().withColumn("page", F.lit(1))
+    s = Inputs(spark, sf).races().select("season").distinct()
     item = F.struct(_s("season").alias("season"), F.concat(F.lit("https://seasons.example/"), _s("season")).alias("url"))
-    return J.parse_seasons(_envelope(s, ["page"], "SeasonTable", "Seasons", item)).select("year", "url")
+    return J.parse_seasons(_envelope(s, [], "SeasonTable", "Seasons", item)).select("year", "url")
 
 
 @query("src_constructors", oracle("SELECT constructor_id, url, constructor_name AS name, nationality FROM fx_stg_constructors"))
 def q_src_constructors(spark, sf):
     """S3."""
-    c = Inputs(spark, sf).constructors().withColumn("page", F.lit(1))
+    c = Inputs(spark, sf).constructors()
     item = F.struct(F.col("constructor_id").alias("constructorId"), "url",
                     F.col("constructor_name").alias("name"), "nationality")
-    return J.parse_constructors(_envelope(c, ["page"], "ConstructorTable", "Constructors", item)).select(
+    return J.parse_constructors(_envelope(c, [], "ConstructorTable", "Constructors", item)).select(
         "constructor_id", "url", "name", "nationality")
 
 
@@ -84,13 +97,13 @@ SELECT circuit_id, url, circuit_name, locality, country, lat, lng,
 FROM fx_circuits"""))
 def q_src_circuits(spark, sf):
     """Nested Location, optional altitude / length / turns."""
-    c = Inputs(spark, sf).circuits_raw().withColumn("page", F.lit(1))
+    c = Inputs(spark, sf).circuits_raw()
     n = F.substring("circuit_id", 2, 10).cast("int")
     item = F.struct(F.col("circuit_id").alias("circuitId"), "url", F.col("circuit_name").alias("circuitName"),
                     F.struct(_s("lat").alias("lat"), _s("lng").alias("long"), "locality", "country",
                              F.when(n % 3 != 0, _s("alt")).alias("alt")).alias("Location"),
                     _s("length_km").alias("length"), _s("corners").alias("turns"))
-    return J.parse_circuits(_envelope(c, ["page"], "CircuitTable", "Circuits", item)).select(
+    return J.parse_circuits(_envelope(c, [], "CircuitTable", "Circuits", item)).select(
         "circuit_id", "url", "circuit_name", "locality", "country", "lat", "lng", "alt", "length_km", "corners")
 
 
@@ -105,7 +118,7 @@ FROM fx_stg_drivers"""))
 def q_src_drivers(spark, sf):
     """Absent texts default to '' (code and dob stay NULL), absent
     permanent number -> NULL."""
-    d = Inputs(spark, sf).drivers().withColumn("page", F.lit(1))
+    d = Inputs(spark, sf).drivers()
     n = F.substring("driver_id", 2, 10).cast("int")
     item = F.struct(F.col("driver_id").alias("driverId"), F.when(n % 5 != 0, F.col("url")).alias("url"),
                     F.col("given_name").alias("givenName"), F.col("family_name").alias("familyName"),
@@ -113,7 +126,7 @@ def q_src_drivers(spark, sf):
                     F.when(n % 4 != 1, F.col("nationality")).alias("nationality"),
                     _s("permanent_number").alias("permanentNumber"),
                     F.when(n % 7 != 0, F.col("driver_code")).alias("code"))
-    return J.parse_drivers(_envelope(d, ["page"], "DriverTable", "Drivers", item)).select(
+    return J.parse_drivers(_envelope(d, [], "DriverTable", "Drivers", item)).select(
         "driver_id", "url", "given_name", "family_name", "date_of_birth", "nationality", "permanent_number", "code")
 
 
@@ -136,8 +149,10 @@ def _result_item(fastest: bool):
 
 
 def _race_pages(df, list_name, item):
+    """Race pages ``Races[{season, round, <list_name>[]}]`` of at most PAGE_SIZE entries."""
+    df, pk = _paged(df, ["season", "round"])
     race = F.struct(_s("season").alias("season"), _s("round").alias("round"), F.col("items").alias(list_name))
-    g = df.groupBy("season", "round").agg(F.collect_list(item).alias("items"))
+    g = df.groupBy(*pk).agg(F.collect_list(item).alias("items"))
     return g.select(F.to_json(F.struct(F.struct(F.lit("1").alias("total"), F.struct(
         F.array(race).alias("Races")).alias("RaceTable")).alias("MRData"))).alias("json"))
 
@@ -190,7 +205,8 @@ FROM (SELECT *, {LAP_TEXT} AS t FROM fx_stg_jolpica_laps) x"""))
 def q_src_laps(spark, sf):
     """Races -> Laps -> Timings, lap text -> ms (bad text -> NULL)."""
     laps = Inputs(spark, sf).jlaps().withColumn("t", F.expr(LAP_TEXT))
-    per_lap = laps.groupBy("season", "round", "lap_number").agg(F.collect_list(F.struct(
+    laps, pk = _paged(laps, ["season", "round", "lap_number"])
+    per_lap = laps.groupBy(*pk).agg(F.collect_list(F.struct(
         F.col("driver_id").alias("driverId"), _s("lap_position").alias("position"), F.col("t").alias("time"))).alias("Timings"))
     item = F.struct(_s("lap_number").alias("number"), F.col("Timings"))
     pages = _race_pages(per_lap, "Laps", item)
@@ -225,7 +241,8 @@ def q_src_driver_standings(spark, sf):
     item = F.struct(_s("standing_position").alias("position"), _s("standing_position").alias("positionText"),
                     _s("points").alias("points"), _s("wins").alias("wins"),
                     F.struct(F.col("driver_id").alias("driverId")).alias("Driver"), cons.alias("Constructors"))
-    g = ds.groupBy("season", "round").agg(F.collect_list(item).alias("items"))
+    ds, pk = _paged(ds, ["season", "round"])
+    g = ds.groupBy(*pk).agg(F.collect_list(item).alias("items"))
     sl = F.struct(_s("season").alias("season"), _s("round").alias("round"), F.col("items").alias("DriverStandings"))
     pages = g.select(F.to_json(F.struct(F.struct(F.lit("1").alias("total"), F.struct(
         F.array(sl).alias("StandingsLists")).alias("StandingsTable")).alias("MRData"))).alias("json"))
@@ -242,7 +259,8 @@ def q_src_constructor_standings(spark, sf):
         F.col("updated_at") == F.lit("2024-01-03 00:00:00").cast("timestamp"))
     item = F.struct(_s("standing_position").alias("position"), _s("points").alias("points"), _s("wins").alias("wins"),
                     F.struct(F.col("constructor_id").alias("constructorId")).alias("Constructor"))
-    g = cs.groupBy("season", "round").agg(F.collect_list(item).alias("items"))
+    cs, pk = _paged(cs, ["season", "round"])
+    g = cs.groupBy(*pk).agg(F.collect_list(item).alias("items"))
     sl = F.struct(_s("season").alias("season"), _s("round").alias("round"), F.col("items").alias("ConstructorStandings"))
     pages = g.select(F.to_json(F.struct(F.struct(F.lit("1").alias("total"), F.struct(
         F.array(sl).alias("StandingsLists")).alias("StandingsTable")).alias("MRData"))).alias("json"))
