@@ -257,14 +257,14 @@ IDENTIFIER_SESSION_TYPES = [
 ]
 
 
-_OPTIONS_VALUES = ", ".join(f"('{i}', '{o}', {p})" for i, opts in IDENTIFIER_SESSION_TYPES for p, o in enumerate(opts))
+_OPTIONS_LIST = ", ".join("{" + f"'identifier': '{i}', 'option': '{o}', 'priority': {p}" + "}"
+                          for i, opts in IDENTIFIER_SESSION_TYPES for p, o in enumerate(opts))
 
 
 @query("priority_lookup", oracle(f"""
-WITH opts(identifier, option, priority) AS (VALUES {_OPTIONS_VALUES}),
-rounds AS (SELECT DISTINCT season, round FROM {SMAP} x WHERE round IS NOT NULL),
+WITH rounds AS (SELECT DISTINCT season, round FROM {SMAP} x WHERE round IS NOT NULL),
 idx AS (SELECT season, round, canonical_type AS option, session_key FROM {SMAP} y WHERE round IS NOT NULL),
-cand AS (SELECT r.season, r.round, o.identifier, o.option, o.priority FROM rounds r JOIN opts o ON TRUE)
+cand AS (SELECT season, round, o.identifier, o.option, o.priority FROM (SELECT season, round, unnest([{_OPTIONS_LIST}]) AS o FROM rounds) u)
 SELECT season, round, identifier, session_key FROM (
   SELECT c.season, c.round, c.identifier, i.session_key,
          row_number() OVER (PARTITION BY c.season, c.round, c.identifier
@@ -623,8 +623,9 @@ def q_math_fns(spark, sf):
 
 @query("segment_decode", oracle("""
 WITH codes AS (
-  SELECT CASE (lap_number + k) % 4 WHEN 0 THEN 2048 WHEN 1 THEN 2049 WHEN 2 THEN 2051 ELSE 2064 END AS code
-  FROM fx_stg_laps l JOIN (VALUES (0), (1), (2), (1), (3), (2)) v(k) ON TRUE)
+  SELECT CASE x % 4 WHEN 0 THEN 2048 WHEN 1 THEN 2049 WHEN 2 THEN 2051 ELSE 2064 END AS code
+  FROM (SELECT unnest([lap_number, lap_number + 1, lap_number + 2, lap_number + 1, lap_number + 3, lap_number + 2]) AS x
+        FROM fx_stg_laps) l)
 SELECT CASE code WHEN 2048 THEN 'yellow' WHEN 2049 THEN 'green' WHEN 2051 THEN 'purple' WHEN 2064 THEN 'pit'
                  WHEN 0 THEN 'none' END AS label, count(*) AS n
 FROM codes GROUP BY 1"""))

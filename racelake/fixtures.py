@@ -447,13 +447,13 @@ def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
-_FRAMES: dict[tuple[int, str], DataFrame] = {}
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
     """Reuse one DataFrame per (session, path): the file listing and footer
     schema are resolved once, later queries start from the same relation."""
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _FRAMES:
         _FRAMES[key] = spark.read.parquet(path)
     return _FRAMES[key]
