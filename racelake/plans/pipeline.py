@@ -183,3 +183,84 @@ def ensure_columns(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> Da
         lit = F.lit(value).cast(type_)
         df = df.withColumn(name, F.coalesce(F.col(name), lit) if name in df.columns else lit)
     return df
+
+
+# --------------------------------------------------------------------------
+# landing -> raw -> staging (batch path of the ingest; the stream path is
+# racelake.streaming.ingest)
+
+def _parsers():
+    from racelake.sources import jolpica as J
+    from racelake.sources import openf1 as O
+    return {
+        # raw table: (landing folder, parser)
+        "seasons": ("results/seasons", J.parse_seasons),
+        "circuits": ("results/circuits", J.parse_circuits),
+        "constructors": ("results/constructors", J.parse_constructors),
+        "drivers": ("results/drivers", J.parse_drivers),
+        "races": ("results/races", J.parse_races),
+        "results": ("results/results", J.parse_results),
+        "qualifying": ("results/qualifying", J.parse_qualifying),
+        "sprint_results": ("results/sprint", J.parse_sprint),
+        "lap_times": ("results/laps", J.parse_lap_times),
+        "pit_stops": ("results/pitstops", J.parse_pit_stops),
+        "driver_standings": ("results/driverstandings", J.parse_driver_standings),
+        "constructor_standings": ("results/constructorstandings", J.parse_constructor_standings),
+        "sessions": ("timing/sessions", O.parse_sessions),
+        "of1_drivers": ("timing/drivers", O.parse_drivers),
+        "of1_laps": ("timing/laps", O.parse_laps),
+        "pit": ("timing/pit", O.parse_pit),
+        "stints": ("timing/stints", O.parse_stints),
+        "intervals": ("timing/intervals", O.parse_intervals),
+        "weather": ("timing/weather", O.parse_weather),
+        "race_control": ("timing/race_control", O.parse_race_control),
+        "car_data": ("timing/car_data", O.parse_car_data),
+        "location": ("timing/location", O.parse_location),
+    }
+
+
+def ingest_landing(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at: str | None = None,
+                   tables: Sequence[str] | None = None) -> list[str]:
+    """Parse every landing folder present (one JSON page per line) and append
+    it to its raw table; telemetry tables get the (year, session) layout.
+    Returns the raw tables written."""
+    done = []
+    for name, (folder, parse) in _parsers().items():
+        if tables is not None and name not in tables:
+            continue
+        src = os.path.join(landing_root, folder)
+        if not os.path.exists(src):
+            continue
+        raw = parse(spark.read.text(src).withColumnRenamed("value", "json"), ingested_at)
+        if name in ("car_data", "location"):
+            write_telemetry(raw, wh.path("raw", name))
+        else:
+            raw.write.mode("append").parquet(wh.path("raw", name))
+        done.append(name)
+    return done
+
+
+def stage_all(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
+    """P1 staging views over whatever raw tables exist (lazy)."""
+    def raw(n):
+        return wh.read(spark, "raw", n)
+
+    views = {
+        "races": ("races", STG.stg_races), "results": ("results", STG.stg_results),
+        "sprint_results": ("sprint_results", STG.stg_sprint_results), "qualifying": ("qualifying", STG.stg_qualifying),
+        "jolpica_laps": ("lap_times", STG.stg_jolpica_laps), "pit_stops": ("pit_stops", STG.stg_pit_stops),
+        "drivers": ("drivers", STG.stg_drivers), "constructors": ("constructors", STG.stg_constructors),
+        "driver_standings": ("driver_standings", STG.stg_driver_standings),
+        "constructor_standings": ("constructor_standings", STG.stg_constructor_standings),
+        "sessions": ("sessions", STG.stg_sessions), "laps": ("of1_laps", STG.stg_of1_laps),
+        "stints": ("stints", STG.stg_stints), "of1_drivers": ("of1_drivers", STG.stg_of1_drivers),
+        "car_data": ("car_data", STG.stg_car_data), "location": ("location", STG.stg_location),
+        "distances": ("car_telemetry", STG.stg_distances), "circuits_raw": ("circuits", lambda d: d),
+        "driver_map": ("driver_id_map", lambda d: d),
+    }
+    out = {}
+    for view, (table, fn) in views.items():
+        df = raw(table)
+        if df is not None:
+            out[view] = fn(df)
+    return out

@@ -174,3 +174,33 @@ def test_stream_telemetry_matches_batch(spark):
     key = lambda r: r.date
     assert [(r.date, r.lap_number, r.gps_updated, r.driver_id) for r in sorted(got.collect(), key=key)] == \
            [(r.date, r.lap_number, r.gps_updated, r.driver_id) for r in sorted(want.collect(), key=key)]
+
+
+def test_landing_to_staging(spark):
+    """Landing pages (one JSON page per line) -> raw tables -> staging views."""
+    root = tempfile.mkdtemp(prefix="racelake-land-")
+    res = {"MRData": {"total": "2", "RaceTable": {"season": "2024", "Races": [{
+        "season": "2024", "round": "1", "raceName": "GP", "Circuit": {"circuitId": "bahrain"}, "date": "2024-03-02",
+        "url": "u", "Results": [
+            {"number": "1", "position": "1", "positionText": "1", "points": "25", "grid": "1", "laps": "57",
+             "status": "Finished", "Driver": {"driverId": "max"}, "Constructor": {"constructorId": "rb"}},
+            {"number": "2", "position": "R", "positionText": "R", "positionOrder": "20", "points": "0", "grid": "2",
+             "laps": "3", "status": "Accident", "Driver": {"driverId": "bob"}, "Constructor": {"constructorId": "x"}}]}]}}}
+    sess = [{"session_key": 9, "session_name": "Race", "session_type": "Race", "date_start": "2024-03-02T15:00:00+00:00",
+             "date_end": "2024-03-02T17:00:00+00:00", "year": 2024, "meeting_key": 1}]
+    car = [{"session_key": 9, "driver_number": 1, "date": "2024-03-02T15:00:00.270Z", "speed": 200}]
+    for folder, obj in [("results/results", res), ("results/races", res), ("timing/sessions", sess),
+                        ("timing/car_data", car)]:
+        os.makedirs(f"{root}/{folder}")
+        with open(f"{root}/{folder}/page-0.json", "w") as f:
+            f.write(json.dumps(obj) + "\n")
+    wh = P.Warehouse(f"{root}/wh")
+    assert sorted(P.ingest_landing(spark, root, wh, "2024-03-04 06:00:00")) == ["car_data", "races", "results", "sessions"]
+    stg = P.stage_all(spark, wh)
+    r = {x.driver_id: x for x in stg["results"].collect()}
+    assert r["max"].finish_position == 1 and r["bob"].finish_position is None and r["bob"].position_order == 20
+    assert stg["races"].first().race_date == dt.date(2024, 3, 2)
+    s = stg["sessions"].first()
+    assert s.date_start == dt.datetime(2024, 3, 2, 15, 0) and s._source == "openf1"
+    assert stg["car_data"].first().speed == 200
+    assert any(d.startswith("year=2024") for d in os.listdir(wh.path("raw", "car_data")))
