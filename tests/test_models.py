@@ -125,3 +125,17 @@ def test_strategy_pairs_stop_with_next_stint(spark):
                                    "compound string, tyre_age_at_start int")
     got = rows(M.strategy(fr, pits, stints).select("driver_id", "stop_number", "stint_number", "compound"))
     assert got == [("max", 1, 2, "HARD"), ("max", 2, 3, "SOFT"), ("old", None, None, None)]
+
+
+def test_dim_circuits_constants_and_json_fallback(spark):
+    """J14 + F5: the fixed constants update listed circuits; unlisted ones keep
+    their values, falling back to the raw JSON when the columns are empty."""
+    from racelake.operators.lookups import circuit_stats
+    raw = spark.createDataFrame([
+        ("bahrain", "u", "Bahrain", "Sakhir", "BH", 26.0, 50.5, None, None, None, '{"length": "1"}'),
+        ("old_ring", "u", "Old", "X", "Y", 1.0, 2.0, 100.0, None, None, '{"length": "4.1", "turns": "12"}'),
+        ("plain", "u", "P", "X", "Y", 1.0, 2.0, None, 3.0, 9, "{}"),
+    ], "circuit_id string, url string, circuit_name string, locality string, country string, lat double, lng double, "
+       "alt double, length_km double, corners int, _raw_json string")
+    got = {r.circuit_id: (r.length_km, r.corners) for r in M.dim_circuits(raw, circuit_stats(spark)).collect()}
+    assert got == {"bahrain": (5.412, 15), "old_ring": (4.1, 12), "plain": (3.0, 9)}
