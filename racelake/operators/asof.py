@@ -33,6 +33,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _T = "__asof_t"
 _SIDE = "__asof_side"
@@ -69,8 +70,11 @@ def parse_bucket(bucket: str | int | None) -> int | None:
     return int(n) * mult * 1_000_000
 
 
-def _payload_type(df: DataFrame, cols: Sequence[str]):
-    return df.select(F.struct(*[F.col(c) for c in cols]).alias("x")).schema["x"].dataType
+def _payload_type(df: DataFrame, cols: Sequence[str]) -> T.StructType:
+    """Struct type of ``cols`` from the input's (cached) schema, without
+    analysing a derived plan."""
+    sch = df.schema
+    return T.StructType([T.StructField(c, sch[c].dataType, True) for c in cols])
 
 
 def asof_join_many(
@@ -99,8 +103,8 @@ def asof_join_many(
     for k in by:
         valid = valid & F.col(k).isNotNull()
 
-    left_payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(None).alias("__none"))
-    ltype = left.select(left_payload.alias("x")).schema["x"].dataType
+    left_payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(None).cast("int").alias("__none"))
+    ltype = _payload_type(left, rest) if rest else T.StructType([T.StructField("__none", T.IntegerType(), True)])
     parts = [
         left.filter(valid).select(
             *[F.col(k) for k in by], F.col(left_ts).alias(_T), F.lit(left_side).alias(_SIDE),

@@ -40,6 +40,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture for error messages costs several JVM round trips
+        # per column expression while plans are built
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in REQUIRED.items():
         builder = builder.config(k, v)
@@ -49,17 +52,24 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+_CKPT: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     Only when the session has none (local tests) a scratch folder is created.
     On a cluster the setting points at shared storage and is left alone.
     """
+    app = spark.sparkContext.applicationId
+    if app in _CKPT:
+        return _CKPT[app]
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="racelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
+    _CKPT[app] = d
     return d
 
 
