@@ -85,11 +85,14 @@ def asof_join_many(
     inclusive: bool = True,
     bucket: str | int | None = None,
     keep_unmatchable: bool = True,
+    emit_bucket: str | None = None,
 ) -> DataFrame:
     """Attach to every left row the latest row of each right input.
 
     Returns all left columns plus the (renamed) right columns; left rows with
-    no preceding right row get NULLs (left-outer semantics).
+    no preceding right row get NULLs (left-outer semantics).  In bucketed mode
+    ``emit_bucket`` names an output column carrying the time bucket the rows
+    are partitioned on, so a following bucketed window can reuse it.
     """
     by = list(by)
     bucket_us = parse_bucket(bucket)
@@ -146,6 +149,8 @@ def asof_join_many(
             out.append(F.col(f"{_L}.{c}").alias(c))
     for i, r in enumerate(rights):
         out += [F.col(f"__r{i}.{c}").alias(r.rename.get(c, c)) for c in r.cols]
+    if emit_bucket and bucket_us is not None:
+        out.append(F.col(_B).alias(emit_bucket))
     res = got.select(*out)
 
     if keep_unmatchable:
@@ -176,7 +181,7 @@ def _bucketed(u, by, rcols, order, bucket_us, left_side):
     )
     j = inner.join(carry, on=[*by, _B], how="left")
     return j.select(
-        *[F.col(k) for k in by], F.col(_T), F.col(_SIDE), F.col(_L),
+        *[F.col(k) for k in by], F.col(_B), F.col(_T), F.col(_SIDE), F.col(_L),
         *[F.coalesce(F.col(c), F.col(c + "_carry")).alias(c) for c in rcols],
     )
 

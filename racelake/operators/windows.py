@@ -18,14 +18,16 @@ from racelake.operators.asof import _bucket_expr, parse_bucket
 
 
 def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], name: str,
-                bucket: str | int | None = None) -> DataFrame:
+                bucket: str | int | None = None, bucket_col: str | None = None) -> DataFrame:
     """1 when any of ``cols`` differs from the previous row in the group,
     else 0.  Missing values and the first row's predecessor count as 0.
 
     ``bucket`` (time width, for a time ``order``): the lag runs inside
     ``(by, bucket)`` partitions; the first row of a bucket compares with the
     last row of the nearest earlier bucket, found from a one-row-per-bucket
-    aggregate, so a single huge group is spread over many tasks exactly."""
+    aggregate, so a single huge group is spread over many tasks exactly.
+    ``bucket_col`` reuses a bucket column already present (e.g. emitted by a
+    bucketed as-of join), keeping its partitioning and sort order."""
     vals = [F.coalesce(F.col(c), F.lit(0)) for c in cols]
     bucket_us = parse_bucket(bucket)
     if bucket_us is None:
@@ -33,8 +35,11 @@ def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str
         prevs = [F.lag(v, 1, 0).over(w) for v in vals]
         return df.withColumn(name, _any_diff(vals, prevs))
 
-    b = "__cf_b"
-    d = df.withColumn(b, _bucket_expr(F.col(order), bucket_us))
+    if bucket_col:
+        b, d = bucket_col, df
+    else:
+        b = "__cf_b"
+        d = df.withColumn(b, _bucket_expr(F.col(order), bucket_us))
     last = (d.groupBy(*by, b)
             .agg(F.max_by(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(vals)]), F.col(order)).alias("__last")))
     wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
@@ -42,7 +47,8 @@ def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str
     w = Window.partitionBy(*by, b).orderBy(order)
     d = d.join(carry, [*by, b], "left")
     prevs = [F.coalesce(F.lag(v, 1).over(w), F.col(f"__carry.v{i}"), F.lit(0)) for i, v in enumerate(vals)]
-    return d.withColumn(name, _any_diff(vals, prevs)).drop(b, "__carry")
+    out = d.withColumn(name, _any_diff(vals, prevs)).drop("__carry")
+    return out if bucket_col else out.drop(b)
 
 
 def _any_diff(vals, prevs):
