@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from racelake import fixtures as fx
 from racelake.contract.inputs import Inputs
 from racelake.contract.q_models import FACT_QUALI_SQL

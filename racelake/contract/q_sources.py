@@ -13,7 +13,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from racelake import fixtures as fx
 from racelake.contract.inputs import Inputs
 from racelake.contract.q_models import parse_ms_sql
 from racelake.contract.registry import query

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from racelake.operators.incremental import after_watermark
 from racelake.plans import models as M
 from racelake.plans import staging as STG
-from racelake.sources.openf1 import TELEMETRY_PARTITIONS, write_telemetry
+from racelake.sources.openf1 import write_telemetry
 
 TELEMETRY_TYPES = ("Race", "Qualifying")
 

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from racelake.plans import models as M
 from racelake.plans import quality as Q
 from tests.conftest import rows
