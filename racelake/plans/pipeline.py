@@ -96,22 +96,38 @@ def affected_sessions(inputs: Sequence[DataFrame], target: DataFrame | None, col
     return keys.distinct()
 
 
+def choose_bucket(car: DataFrame, keys: Sequence[str] = ("session_key", "driver_number"),
+                  max_rows_per_key: int = 5_000_000, bucket: str = "15 minutes") -> str | None:
+    """Pick the skew-safe bucketed plan only when some key is large.
+
+    One aggregate (per-key counts combined map-side, then a global max) is
+    measured before the telemetry job; a race session is ~100 k samples per
+    driver, so the plain one-shuffle plan is used unless a key holds millions
+    of rows (e.g. a mis-keyed or very long feed)."""
+    biggest = (car.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.max("n").alias("m")).first()["m"])
+    return bucket if biggest is not None and biggest > max_rows_per_key else None
+
+
 def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, location, distance, smap,
                       of1_drivers, driver_map, bucket=None) -> None:
     """M17 incremental: recompute whole affected sessions (so the lap slice
     and the change flag never restart mid-session) and overwrite just their
-    partitions."""
+    partitions.  ``bucket="auto"`` measures the largest (session, driver)
+    first (:func:`choose_bucket`)."""
     path = wh.path("marts", "lap_telemetry")
     target = spark.read.parquet(path) if _exists(spark, path) else None
     todo = affected_sessions([car, location, distance], target)
     pick = lambda df: df.join(todo, "session_key", "left_semi")
+    if bucket == "auto":
+        bucket = choose_bucket(pick(car))
     out = M.lap_telemetry(pick(car), pick(boundaries), pick(location), pick(distance), smap,
                           of1_drivers, driver_map, bucket=bucket)
     write_telemetry(out, path, mode="overwrite" if target is not None else "append")
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, stg: dict[str, DataFrame], circuit_stats: DataFrame | None = None,
-              min_headshot_season: int = 2023, bucket=None) -> None:
+              min_headshot_season: int = 2023, bucket="auto") -> None:
     """Build every intermediate model, dimension, fact and mart from staged inputs."""
     smap = M.session_map(stg["sessions"], stg["races"])
     materialise(smap, wh.path("intermediate", "session_map"))

@@ -24,9 +24,26 @@ REQUIRED = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Sizing for large inputs, applied only where the cluster left them unset:
+# start with many shuffle partitions and let AQE coalesce them towards the
+# advisory size, so partitions fit executor memory whatever the scale.
+SIZING = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
+def configure(spark: SparkSession, sizing: bool = False) -> SparkSession:
+    """Set the settings results depend on; with ``sizing`` also the large-input
+    sizing defaults (never overriding values the cluster already set)."""
     for k, v in REQUIRED.items():
         spark.conf.set(k, v)
+    if sizing:
+        for k, v in SIZING.items():
+            if spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
     return spark
 
 

@@ -204,3 +204,9 @@ def test_landing_to_staging(spark):
     assert s.date_start == dt.datetime(2024, 3, 2, 15, 0) and s._source == "openf1"
     assert stg["car_data"].first().speed == 200
     assert any(d.startswith("year=2024") for d in os.listdir(wh.path("raw", "car_data")))
+
+
+def test_choose_bucket(spark):
+    car = spark.createDataFrame([(1, 1)] * 5 + [(1, 2)] * 2, "session_key int, driver_number int")
+    assert P.choose_bucket(car, max_rows_per_key=10) is None
+    assert P.choose_bucket(car, max_rows_per_key=3) == "15 minutes"
