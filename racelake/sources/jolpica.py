@@ -38,7 +38,7 @@ def parse_circuits(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
         F.col("r.circuitId").alias("circuit_id"), F.col("r.url").alias("url"),
         F.col("r.circuitName").alias("circuit_name"), F.col("r.Location.locality").alias("locality"),
         F.col("r.Location.country").alias("country"),
-        F.col("r.Location.lat").cast("double").alias("lat"), F.col("r.Location.long").cast("double").alias("lng"),
+        num(F.col("r.Location.lat"), "double").alias("lat"), num(F.col("r.Location.long"), "double").alias("lng"),
         num(F.col("r.Location.alt"), "double").alias("alt"),
         num(F.col("r.length"), "double").alias("length_km"), num(F.col("r.turns"), "int").alias("corners"),
         F.to_json("r").alias("j"))
