@@ -423,12 +423,26 @@ def _root(spark: SparkSession, sf_dir: str) -> str:
     return scratch_path(spark, f"fixtures-{key}")
 
 
+def _version(sf_dir: str, name: str) -> str:
+    """Content key of a written adapter: its SQL and its dependencies' SQL,
+    plus size and mtime of the base files it reads, so a table written by
+    other code or from other data is never reused."""
+    h = hashlib.sha1()
+    for n in _order([name]):
+        h.update(n.encode())
+        h.update(ADAPTERS[n][1].encode())
+    for b in _bases([name]):
+        st = os.stat(os.path.join(sf_dir, f"{b}.parquet"))
+        h.update(f"{b}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
 def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Write an adapter once as a Parquet table under the session's shared
     checkpoint folder (its direct inputs read from their own written
     tables) and return its path.  Later reads are plain scans with column
     pruning and filter pushdown, and lineage stops at the written table."""
-    path = os.path.join(_root(spark, sf_dir), name)
+    path = os.path.join(_root(spark, sf_dir), f"{name}-{_version(sf_dir, name)}")
     if path in _READY:
         return path
     try:
