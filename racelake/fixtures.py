@@ -432,8 +432,11 @@ def _version(sf_dir: str, name: str) -> str:
         h.update(n.encode())
         h.update(ADAPTERS[n][1].encode())
     for b in _bases([name]):
-        st = os.stat(os.path.join(sf_dir, f"{b}.parquet"))
-        h.update(f"{b}:{st.st_size}:{int(st.st_mtime)}".encode())
+        try:
+            st = os.stat(os.path.join(sf_dir, f"{b}.parquet"))
+            h.update(f"{b}:{st.st_size}:{int(st.st_mtime)}".encode())
+        except OSError:  # not a local path (object store): key by name only
+            h.update(b.encode())
     return h.hexdigest()[:16]
 
 
