@@ -273,6 +273,9 @@ def stage_all(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
         "car_data": ("car_data", STG.stg_car_data), "location": ("location", STG.stg_location),
         "distances": ("car_telemetry", STG.stg_distances), "circuits_raw": ("circuits", lambda d: d),
         "driver_map": ("driver_id_map", lambda d: d),
+        "seasons": ("seasons", STG.stg_seasons), "of1_pit": ("pit", STG.stg_of1_pit),
+        "intervals": ("intervals", STG.stg_intervals), "weather": ("weather", STG.stg_weather),
+        "race_control": ("race_control", STG.stg_race_control),
     }
     out = {}
     for view, (table, fn) in views.items():

@@ -114,3 +114,33 @@ def stg_of1_drivers(raw: DataFrame) -> DataFrame:
 def stg_distances(raw: DataFrame) -> DataFrame:
     return raw.select("session_key", "driver_number", F.date_trunc("MILLISECOND", "date").alias("date"),
                       "distance_m", "_ingested_at")
+
+
+def stg_seasons(raw: DataFrame) -> DataFrame:
+    return _src(raw.select("year", "url", "_ingested_at"), "jolpica")
+
+
+def _ts_s(c: str):
+    """Second-precision timestamp from feed text (``toDateTime``)."""
+    return parse_ts(c, "SECOND")
+
+
+def stg_of1_pit(raw: DataFrame) -> DataFrame:
+    return _src(raw.select("session_key", "driver_number", "lap_number", _ts_s("date").alias("pit_date"),
+                           "pit_duration", "_ingested_at"), "openf1")
+
+
+def stg_intervals(raw: DataFrame) -> DataFrame:
+    return _src(raw.select("session_key", "driver_number", _ts_s("date").alias("interval_date"),
+                           "gap_to_leader", "interval", "_ingested_at"), "openf1")
+
+
+def stg_weather(raw: DataFrame) -> DataFrame:
+    return _src(raw.select("session_key", _ts_s("date").alias("weather_date"), "air_temperature",
+                           "track_temperature", "humidity", "pressure", "wind_direction", "wind_speed", "rainfall",
+                           "_ingested_at"), "openf1")
+
+
+def stg_race_control(raw: DataFrame) -> DataFrame:
+    return _src(raw.select("session_key", _ts_s("date").alias("message_date"), "driver_number", "lap_number",
+                           "category", "flag", "scope", "sector", "message", "_ingested_at"), "openf1")

@@ -210,3 +210,12 @@ def test_choose_bucket(spark):
     car = spark.createDataFrame([(1, 1)] * 5 + [(1, 2)] * 2, "session_key int, driver_number int")
     assert P.choose_bucket(car, max_rows_per_key=10) is None
     assert P.choose_bucket(car, max_rows_per_key=3) == "15 minutes"
+
+
+def test_staging_timing_views(spark):
+    from racelake.plans import staging as STG
+    raw = O.parse_intervals(spark.createDataFrame(
+        [(json.dumps([{"session_key": 9, "driver_number": 1, "date": "2024-03-02T15:00:01.750+00:00",
+                       "gap_to_leader": "+1 LAP", "interval": 0.5}]),)], "json string"), "2024-03-04 00:00:00")
+    r = STG.stg_intervals(raw).first()
+    assert r.interval_date == dt.datetime(2024, 3, 2, 15, 0, 1) and r.gap_to_leader is None and r._source == "openf1"
