@@ -137,3 +137,16 @@ def test_dim_circuits_constants_and_json_fallback(spark):
        "alt double, length_km double, corners int, _raw_json string")
     got = {r.circuit_id: (r.length_km, r.corners) for r in M.dim_circuits(raw, circuit_stats(spark)).collect()}
     assert got == {"bahrain": (5.412, 15), "old_ring": (4.1, 12), "plain": (3.0, 9)}
+
+
+def test_bucketed_lap_bounds_equal_plain(spark):
+    import random
+    rnd = random.Random(5)
+    rows_ = []
+    for d in range(3):
+        starts = sorted(rnd.sample(range(0, 40000), 40))
+        rows_ += [(9, d, n + 1, ts(s)) for n, s in enumerate(starts)]
+    laps = spark.createDataFrame(rows_, "session_key int, driver_number int, lap_number int, lap_start timestamp")
+    plain = rows(M.lap_boundaries(laps))
+    for bucket in ("1 hour", 600, "3 hours"):
+        assert rows(M.lap_boundaries(laps, bucket=bucket)) == plain
