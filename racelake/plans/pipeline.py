@@ -238,8 +238,9 @@ def _parsers():
 def ingest_landing(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at: str | None = None,
                    tables: Sequence[str] | None = None) -> list[str]:
     """Parse every landing folder present (one JSON page per line) and append
-    it to its raw table; telemetry tables get the (year, session) layout.
-    Returns the raw tables written."""
+    it to its raw table (staging keeps the latest ingest per key);
+    telemetry tables get the (year, session) layout and are replaced per
+    session.  Returns the raw tables written."""
     done = []
     for name, (folder, parse) in _parsers().items():
         if tables is not None and name not in tables:
@@ -249,7 +250,9 @@ def ingest_landing(spark: SparkSession, landing_root: str, wh: Warehouse, ingest
             continue
         raw = parse(spark.read.text(src).withColumnRenamed("value", "json"), ingested_at)
         if name in ("car_data", "location"):
-            write_telemetry(raw, wh.path("raw", name))
+            # whole sessions land together: re-ingesting one replaces its
+            # (year, session) partitions instead of appending duplicates
+            write_telemetry(raw, wh.path("raw", name), mode="overwrite")
         else:
             raw.write.mode("append").parquet(wh.path("raw", name))
         done.append(name)

@@ -1,8 +1,11 @@
 """Staging views, 1:1 with raw tables: renames, casts, literal source tag.
 
 Staging stays lazy (a function, not a table); latest-version reads (K1) are
-applied here for every keyed table so re-ingested duplicates never fan out
-joins downstream (N9).
+applied here for every keyed results/timing table so re-ingested duplicates
+never fan out joins downstream (N9).  The timing-feed driver table keeps its
+copies (models reduce them per session with the latest ingest, N5); telemetry
+is kept idempotent at ingest instead (whole-session partition replacement),
+so the largest tables are never re-shuffled just to de-duplicate.
 """
 
 from __future__ import annotations
@@ -18,37 +21,44 @@ def _src(df: DataFrame, tag: str) -> DataFrame:
     return df.withColumn("_source", F.lit(tag))
 
 
+def _latest(raw: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per natural key, the latest ingest wins (re-ingested
+    batches never fan out joins).  ``row_number() = 1`` plans with a
+    map-side WindowGroupLimit."""
+    return latest_by_key(raw, keys, "_ingested_at") if "_ingested_at" in raw.columns else raw
+
+
 def stg_races(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("season", "round", "race_name", "circuit_id", F.to_date("date").alias("race_date"),
+    return _src(_latest(raw, ["season", "round"]).select("season", "round", "race_name", "circuit_id", F.to_date("date").alias("race_date"),
                            F.col("time").alias("race_time_utc"), "url", "_ingested_at"), "jolpica")
 
 
 def stg_results(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("season", "round", "driver_id", "constructor_id", F.col("grid").alias("grid_position"),
+    return _src(_latest(raw, ["season", "round", "driver_id"]).select("season", "round", "driver_id", "constructor_id", F.col("grid").alias("grid_position"),
                            F.col("position").alias("finish_position"), "position_text", "position_order", "points",
                            F.col("laps").alias("laps_completed"), "status", "time_millis", "fastest_lap_rank",
                            "fastest_lap_time", "fastest_lap_speed", "_ingested_at"), "jolpica")
 
 
 def stg_sprint_results(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("season", "round", "driver_id", "constructor_id", F.col("grid").alias("grid_position"),
+    return _src(_latest(raw, ["season", "round", "driver_id"]).select("season", "round", "driver_id", "constructor_id", F.col("grid").alias("grid_position"),
                            F.col("position").alias("finish_position"), "position_text", "position_order", "points",
                            F.col("laps").alias("laps_completed"), "status", "time_millis", "_ingested_at"), "jolpica")
 
 
 def stg_qualifying(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("season", "round", "driver_id", "constructor_id",
+    return _src(_latest(raw, ["season", "round", "driver_id"]).select("season", "round", "driver_id", "constructor_id",
                            F.col("position").alias("qualifying_position"), "q1", "q2", "q3", "_ingested_at"), "jolpica")
 
 
 def stg_jolpica_laps(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("season", "round", "driver_id", F.col("lap").alias("lap_number"),
+    return _src(_latest(raw, ["season", "round", "driver_id", "lap"]).select("season", "round", "driver_id", F.col("lap").alias("lap_number"),
                            F.col("position").alias("lap_position"), F.col("time").alias("lap_time"),
                            F.col("time_millis").alias("lap_time_ms"), "_ingested_at"), "jolpica")
 
 
 def stg_pit_stops(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("season", "round", "driver_id", F.col("stop").alias("stop_number"),
+    return _src(_latest(raw, ["season", "round", "driver_id", "stop"]).select("season", "round", "driver_id", F.col("stop").alias("stop_number"),
                            F.col("lap").alias("lap_number"), F.col("time").alias("pit_time_of_day"),
                            F.col("duration").alias("pit_duration"), F.col("duration_millis").alias("pit_duration_ms"),
                            "_ingested_at"), "jolpica")
@@ -63,7 +73,7 @@ def stg_drivers(raw: DataFrame) -> DataFrame:
 
 
 def stg_constructors(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("constructor_id", F.col("name").alias("constructor_name"), "nationality", "url",
+    return _src(_latest(raw, ["constructor_id"]).select("constructor_id", F.col("name").alias("constructor_name"), "nationality", "url",
                            "_ingested_at"), "jolpica")
 
 
@@ -104,7 +114,7 @@ def stg_location(raw: DataFrame) -> DataFrame:
 
 
 def stg_stints(raw: DataFrame) -> DataFrame:
-    return _src(raw.drop("_raw_json"), "openf1")
+    return _src(_latest(raw, ["session_key", "driver_number", "stint_number"]).drop("_raw_json"), "openf1")
 
 
 def stg_of1_drivers(raw: DataFrame) -> DataFrame:
@@ -117,7 +127,7 @@ def stg_distances(raw: DataFrame) -> DataFrame:
 
 
 def stg_seasons(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("year", "url", "_ingested_at"), "jolpica")
+    return _src(_latest(raw, ["year"]).select("year", "url", "_ingested_at"), "jolpica")
 
 
 def _ts_s(c: str):
@@ -126,7 +136,7 @@ def _ts_s(c: str):
 
 
 def stg_of1_pit(raw: DataFrame) -> DataFrame:
-    return _src(raw.select("session_key", "driver_number", "lap_number", _ts_s("date").alias("pit_date"),
+    return _src(_latest(raw, ["session_key", "driver_number", "lap_number"]).select("session_key", "driver_number", "lap_number", _ts_s("date").alias("pit_date"),
                            "pit_duration", "_ingested_at"), "openf1")
 
 
