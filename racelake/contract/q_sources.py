@@ -492,3 +492,16 @@ def q_layout_prune(spark, sf):
     O.write_telemetry(parsed, path)
     return (spark.read.parquet(path).filter(F.col("session_key") == 9002)
             .select(F.col("session_key").cast("long"), "driver_number", "date", "speed"))
+
+
+@query("src_timing_pit", oracle("""
+SELECT session_key, driver_number, lap_number, strftime(lap_start, '%Y-%m-%dT%H:%M:%S.%g+00:00') AS date,
+       CASE WHEN lap_number % 20 = 0 THEN NULL ELSE lap_duration / 4 END AS pit_duration
+FROM fx_stg_laps WHERE is_pit_out_lap = 1"""))
+def q_src_timing_pit(spark, sf):
+    """Timing-feed pit rows (one per pit-out lap; missing duration -> NULL)."""
+    laps = Inputs(spark, sf).of1_laps().filter(F.col("is_pit_out_lap") == 1)
+    item = F.struct("session_key", "driver_number", "lap_number", _iso(F.col("lap_start")).alias("date"),
+                    F.when(F.col("lap_number") % 20 != 0, F.col("lap_duration") / 4).alias("pit_duration"))
+    return O.parse_pit(_flat_pages(laps, ["session_key"], item)).select(
+        "session_key", "driver_number", "lap_number", "date", "pit_duration")
