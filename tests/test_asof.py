@@ -95,3 +95,10 @@ def test_many_rights_one_pass(spark):
     assert rows(got) == [(1, ts(10), 1, None), (1, ts(30), 2, 7)]
     plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_right_keys_and_rename(spark):
+    left = spark.createDataFrame([(1, ts(10))], "car int, t timestamp")
+    right = spark.createDataFrame([(1, ts(5), 7)], "driver int, at timestamp, v int")
+    got = asof_join_many(left, ["car"], "t", [AsofRight(right, "at", ["v"], {"v": "value"}, by=["driver"])])
+    assert got.columns == ["car", "t", "value"] and got.first().value == 7
