@@ -286,3 +286,28 @@ def stage_all(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
         if df is not None:
             out[view] = fn(df)
     return out
+
+
+MART_TABLES = {
+    "intermediate": ["session_map", "lap_boundaries", "sprint_weekends"],
+    "marts": ["dim_circuits", "dim_drivers", "dim_constructors", "dim_sessions", "fact_race_results",
+              "fact_sprint_results", "fact_laps", "fact_qualifying", "standings", "strategy", "lap_analysis",
+              "qualifying_summary", "lap_telemetry"],
+}
+
+
+def register_marts(spark: SparkSession, wh: Warehouse) -> list[str]:
+    """Expose the written marts as temporary views under their model names
+    (analytics marts with a ``mart_`` prefix), so existing dashboard / app SQL
+    runs through ``spark.sql`` against the same tables; reads of the
+    telemetry mart keep partition pruning on ``session_key``."""
+    names = []
+    for layer, tables in MART_TABLES.items():
+        for t in tables:
+            df = wh.read(spark, layer, t)
+            if df is None:
+                continue
+            view = t if t.startswith(("dim_", "fact_")) else (f"int_{t}" if layer == "intermediate" else f"mart_{t}")
+            df.createOrReplaceTempView(view)
+            names.append(view)
+    return names

@@ -239,3 +239,21 @@ def test_reingest_is_idempotent(spark):
     stg = P.stage_all(spark, wh)
     assert stg["results"].count() == 1 and spark.read.parquet(wh.path("raw", "results")).count() == 2
     assert stg["car_data"].count() == 1
+
+
+def test_dashboard_sql_on_registered_marts(spark, warehouse):
+    """The dashboard cards run as SQL over the registered marts."""
+    views = P.register_marts(spark, warehouse)
+    assert {"mart_standings", "fact_race_results", "mart_lap_telemetry", "dim_sessions"} <= set(views)
+    final = spark.sql("""
+        SELECT standing_position, driver_id, points FROM mart_standings
+        WHERE season = 1999 AND round = (SELECT max(round) FROM mart_standings WHERE season = 1999)
+        ORDER BY standing_position""").collect()
+    assert final and final[0].standing_position == 1
+    pod = spark.sql("""
+        SELECT jolpica_driver_id AS driver, count_if(finish_position = 1) AS wins,
+               count_if(finish_position <= 3) AS podiums
+        FROM fact_race_results WHERE season = 1999 GROUP BY jolpica_driver_id""").collect()
+    assert sum(r.wins for r in pod) > 0
+    trace = spark.sql("SELECT date, speed FROM mart_lap_telemetry WHERE session_key = 9000 ORDER BY date")
+    assert "PartitionFilters: [isnotnull(session_key" in trace._jdf.queryExecution().executedPlan().toString()
