@@ -117,7 +117,8 @@ def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, locat
     first (:func:`choose_bucket`)."""
     path = wh.path("marts", "lap_telemetry")
     target = spark.read.parquet(path) if _exists(spark, path) else None
-    todo = affected_sessions([car, location, distance], target)
+    inputs = [car, location, distance] + ([boundaries] if "_ingested_at" in boundaries.columns else [])
+    todo = affected_sessions(inputs, target)
     pick = lambda df: df.join(todo, "session_key", "left_semi")
     if bucket == "auto":
         bucket = choose_bucket(pick(car))

@@ -257,3 +257,24 @@ def test_dashboard_sql_on_registered_marts(spark, warehouse):
     assert sum(r.wins for r in pod) > 0
     trace = spark.sql("SELECT date, speed FROM mart_lap_telemetry WHERE session_key = 9000 ORDER BY date")
     assert "PartitionFilters: [isnotnull(session_key" in trace._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_laps_rebuild_their_session(spark):
+    """Lap data landing after the samples still re-slices that session."""
+    from tests.test_models import _telemetry_inputs
+    car, laps, loc, dist = _telemetry_inputs(spark)
+    at = lambda df, t: df.withColumn("_ingested_at", F.lit(t).cast("timestamp"))
+    smap = spark.createDataFrame([(9, 2024, 1, "Race")], "session_key int, season int, round int, session_type string")
+    od = spark.createDataFrame([], "session_key int, driver_number int, name_acronym string, team_name string, "
+                                   "team_colour string")
+    dm = spark.createDataFrame([], "jolpica_driver_id string, openf1_driver_number int, season int")
+    wh = P.Warehouse(tempfile.mkdtemp(prefix="racelake-late-"))
+    first_laps = at(laps.filter(F.col("lap_number") == 1), "2024-01-01 00:00:00")
+    P.rebuild_telemetry(spark, wh, at(car, "2024-01-01 00:00:00"), M.lap_boundaries(first_laps),
+                        at(loc, "2024-01-01 00:00:00"), at(dist, "2024-01-01 00:00:00"), smap, od, dm)
+    read = lambda: {r.date: r.lap_number for r in spark.read.parquet(wh.path("marts", "lap_telemetry")).collect()}
+    assert set(read().values()) == {1}
+    all_laps = first_laps.unionByName(at(laps.filter(F.col("lap_number") == 2), "2024-01-02 00:00:00"))
+    P.rebuild_telemetry(spark, wh, at(car, "2024-01-01 00:00:00"), M.lap_boundaries(all_laps),
+                        at(loc, "2024-01-01 00:00:00"), at(dist, "2024-01-01 00:00:00"), smap, od, dm)
+    assert set(read().values()) == {1, 2}
