@@ -312,3 +312,33 @@ def register_marts(spark: SparkSession, wh: Warehouse) -> list[str]:
             df.createOrReplaceTempView(view)
             names.append(view)
     return names
+
+
+def build_driver_map(spark: SparkSession, wh: Warehouse, updated_at: str | None = None) -> DataFrame | None:
+    """S24 over the raw tables: race numbers per (season, driver) from the
+    results, permanent numbers of that season's drivers as fill-ins; written
+    as the bridge table (full refresh, one row per season and driver)."""
+    from racelake.sources.bridge import driver_number_bridge
+    res, drv = wh.read(spark, "raw", "results"), wh.read(spark, "raw", "drivers")
+    if res is None:
+        return None
+    nums = res.select("season", "round", "driver_id", "number")
+    season_drivers = res.select("season", "driver_id").distinct()
+    perm = (season_drivers.join(STG.stg_drivers(drv).select("driver_id", "permanent_number"), "driver_id")
+            if drv is not None else season_drivers.withColumn("permanent_number", F.lit(None).cast("int")))
+    ts = F.lit(updated_at).cast("timestamp") if updated_at else F.current_timestamp()
+    bridge = driver_number_bridge(nums, perm).withColumn("updated_at", ts)
+    materialise(bridge, wh.path("raw", "driver_id_map"))
+    return wh.read(spark, "raw", "driver_id_map")
+
+
+def run_all(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at: str | None = None,
+            circuit_stats: DataFrame | None = None) -> None:
+    """Landing pages -> raw tables -> bridge -> staging -> marts."""
+    from racelake.operators.lookups import circuit_stats as constants
+    ingest_landing(spark, landing_root, wh, ingested_at)
+    build_driver_map(spark, wh, ingested_at)
+    stg = stage_all(spark, wh)
+    stg.setdefault("distances", spark.createDataFrame(
+        [], "session_key int, driver_number int, date timestamp, distance_m double, _ingested_at timestamp"))
+    run_marts(spark, wh, stg, circuit_stats if circuit_stats is not None else constants(spark))

@@ -106,9 +106,10 @@ def _race_keys():
 
 def parse_results(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """Two-level explode; position numeric-or-NULL; position order falls
-    back to ``positionOrder`` then 0; optional time and fastest lap."""
+    back to ``positionOrder`` then 0; optional time and fastest lap.  The car
+    ``number`` is kept for the driver-number bridge (S24)."""
     r = _races(df).select("r", F.explode("r.Results").alias("x"))
-    out = r.select(*_race_keys(), *_result_cols("x", True))
+    out = r.select(*_race_keys(), *_result_cols("x", True), num(F.col("x.number"), "int").alias("number"))
     return stamp(out, ingested_at, F.col("j")).drop("j")
 
 

@@ -278,3 +278,87 @@ def test_late_laps_rebuild_their_session(spark):
     P.rebuild_telemetry(spark, wh, at(car, "2024-01-01 00:00:00"), M.lap_boundaries(all_laps),
                         at(loc, "2024-01-01 00:00:00"), at(dist, "2024-01-01 00:00:00"), smap, od, dm)
     assert set(read().values()) == {1, 2}
+
+
+def _landing_weekend(root):
+    """One small race weekend as landing pages for every endpoint."""
+    drv = lambda d: {"driverId": d}
+    con = lambda c: {"constructorId": c}
+    race = {"season": "2024", "round": "1", "raceName": "Bahrain GP", "Circuit": {"circuitId": "bahrain"},
+            "date": "2024-03-02", "url": "u"}
+    results = [{"number": "1", "position": "1", "positionText": "1", "points": "25", "grid": "1", "laps": "3",
+                "status": "Finished", "Driver": drv("max"), "Constructor": con("rb"), "Time": {"millis": "5400000"}},
+               {"number": "44", "position": "2", "positionText": "2", "points": "18", "grid": "2", "laps": "3",
+                "status": "Finished", "Driver": drv("ham"), "Constructor": con("merc")}]
+    quali = [{"position": "1", "Driver": drv("max"), "Constructor": con("rb"), "Q1": "1:30.100", "Q3": "1:29.500"},
+             {"position": "2", "Driver": drv("ham"), "Constructor": con("merc"), "Q1": "1:30.300"}]
+    laps = [{"number": str(n), "Timings": [{"driverId": "max", "position": "1", "time": "1:35.000"},
+                                          {"driverId": "ham", "position": "2", "time": "1:35.500"}]} for n in (1, 2, 3)]
+    stops = [{"driverId": "max", "lap": "2", "stop": "1", "time": "15:10:00", "duration": "22.5"}]
+    mr = lambda extra: {"MRData": {"total": "1", "RaceTable": {"season": "2024", "Races": [{**race, **extra}]}}}
+    standings = {"MRData": {"total": "2", "StandingsTable": {"season": "2024", "StandingsLists": [{
+        "season": "2024", "round": "1",
+        "DriverStandings": [{"position": "1", "points": "25", "wins": "1", "Driver": drv("max"), "Constructors": [con("rb")]},
+                            {"position": "2", "points": "18", "wins": "0", "Driver": drv("ham"), "Constructors": [con("merc")]}],
+        "ConstructorStandings": [{"position": "1", "points": "25", "wins": "1", "Constructor": con("rb")},
+                                 {"position": "2", "points": "18", "wins": "0", "Constructor": con("merc")}]}]}}}
+    pages = {
+        "results/races": mr({}), "results/results": mr({"Results": results}),
+        "results/qualifying": mr({"QualifyingResults": quali}), "results/laps": mr({"Laps": laps}),
+        "results/pitstops": mr({"PitStops": stops}), "results/sprint": mr({"SprintResults": []}),
+        "results/driverstandings": standings, "results/constructorstandings": standings,
+        "results/drivers": {"MRData": {"total": "2", "DriverTable": {"Drivers": [
+            {"driverId": "max", "givenName": "Max", "familyName": "V", "permanentNumber": "33", "code": "VER"},
+            {"driverId": "ham", "givenName": "Lewis", "familyName": "H", "permanentNumber": "44", "code": "HAM"}]}}},
+        "results/constructors": {"MRData": {"total": "2", "ConstructorTable": {"Constructors": [
+            {"constructorId": "rb", "name": "RB", "nationality": "AT", "url": "u"},
+            {"constructorId": "merc", "name": "Merc", "nationality": "DE", "url": "u"}]}}},
+        "results/circuits": {"MRData": {"total": "1", "CircuitTable": {"Circuits": [
+            {"circuitId": "bahrain", "url": "u", "circuitName": "Bahrain", "Location": {
+                "lat": "26.0", "long": "50.5", "locality": "Sakhir", "country": "Bahrain"}}]}}},
+        "timing/sessions": [
+            {"session_key": 91, "session_name": "Qualifying", "session_type": "Qualifying", "year": 2024, "meeting_key": 1,
+             "date_start": "2024-03-01T16:00:00+00:00", "date_end": "2024-03-01T17:00:00+00:00", "location": "Sakhir"},
+            {"session_key": 92, "session_name": "Race", "session_type": "Race", "year": 2024, "meeting_key": 1,
+             "date_start": "2024-03-02T15:00:00+00:00", "date_end": "2024-03-02T17:00:00+00:00", "location": "Sakhir"}],
+        "timing/drivers": [{"session_key": s, "driver_number": n, "name_acronym": a, "team_name": t, "team_colour": c,
+                            "headshot_url": f"https://img/{a}.png"}
+                           for s in (91, 92) for n, a, t, c in ((1, "VER", "RB", "3671C6"), (44, "HAM", "Merc", ""))],
+        "timing/laps": [{"session_key": s, "driver_number": n, "lap_number": l,
+                         "date_start": f"2024-03-0{1 if s == 91 else 2}T{16 if s == 91 else 15}:0{l}:00+00:00",
+                         "lap_duration": d + l / 100, "is_pit_out_lap": l == 1, "duration_sector_1": 30.0}
+                        for s in (91, 92) for n, d in ((1, 89.5), (44, 95.0)) for l in (1, 2, 3)],
+        "timing/stints": [{"session_key": 92, "driver_number": n, "stint_number": 1, "lap_start": 1, "lap_end": 3,
+                           "compound": "SOFT", "tyre_age_at_start": 0} for n in (1, 44)],
+        "timing/car_data": [{"session_key": 92, "driver_number": 1, "date": f"2024-03-02T15:0{m}:{s:02d}.000Z",
+                             "speed": 200 + s} for m in (0, 1, 2, 3) for s in (10, 40)],
+        "timing/location": [{"session_key": 92, "driver_number": 1, "date": f"2024-03-02T15:0{m}:05.000Z",
+                             "x": m, "y": 0, "z": 0} for m in (0, 1, 2, 3)],
+    }
+    for folder, obj in pages.items():
+        os.makedirs(f"{root}/{folder}")
+        with open(f"{root}/{folder}/p.json", "w") as f:
+            f.write(json.dumps(obj) + "\n")
+
+
+def test_run_all_from_landing(spark):
+    root = tempfile.mkdtemp(prefix="racelake-all-")
+    _landing_weekend(f"{root}/landing")
+    wh = P.Warehouse(f"{root}/wh")
+    P.run_all(spark, f"{root}/landing", wh, "2024-03-04 06:00:00")
+    read = lambda n: spark.read.parquet(wh.path("marts", n))
+    bridge = {r.jolpica_driver_id: r.openf1_driver_number for r in spark.read.parquet(wh.path("raw", "driver_id_map")).collect()}
+    assert bridge == {"max": 1, "ham": 44}
+    fr = {r.jolpica_driver_id: r for r in read("fact_race_results").collect()}
+    assert fr["max"].session_key == 92 and fr["max"].of1_fastest_lap_duration == 89.53
+    fq = {r.driver_id: r for r in read("fact_qualifying").collect()}
+    assert fq["max"].best_source_match == "matched" and fq["max"].best_lap_number == 2
+    assert fq["ham"].best_source_match == "mismatch"
+    qs = {r.driver_id: r for r in read("qualifying_summary").collect()}
+    assert qs["max"].team_colour == "#3671C6" and qs["ham"].team_colour is None and qs["max"].race_name == "Bahrain GP"
+    tel = read("lap_telemetry").orderBy("date").collect()
+    # samples before the first lap start (15:00:xx) are sliced away
+    assert [r.lap_number for r in tel] == [1, 1, 2, 2, 3, 3] and tel[0].driver_id == "max"
+    assert read("standings").count() == 2 and read("strategy").count() == 2
+    dims = {r.circuit_id: (r.length_km, r.corners) for r in read("dim_circuits").collect()}
+    assert dims == {"bahrain": (5.412, 15)}
