@@ -150,3 +150,18 @@ def test_bucketed_lap_bounds_equal_plain(spark):
     plain = rows(M.lap_boundaries(laps))
     for bucket in ("1 hour", 600, "3 hours"):
         assert rows(M.lap_boundaries(laps, bucket=bucket)) == plain
+
+
+def test_telemetry_core_plan_shape(spark):
+    """The M17 core plans as 2 hash exchanges and 2 sorts (lap bounds; the
+    union of all inputs); the lap slice and the change flag reuse them."""
+    car, laps, loc, dist = _telemetry_inputs(spark)
+    core = M.lap_telemetry_core(car, M.lap_boundaries(laps), loc, dist)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = core._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Sort [") == 2
