@@ -73,14 +73,17 @@ def materialise(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 def append_unseen(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = ("season", "round"),
                   repair: DataFrame | None = None) -> int:
     """Append rows whose ``keys`` are not in the table yet.  ``repair``
-    (rows of keys to reload) replaces those keys via dynamic partition
-    overwrite instead.  Returns nothing heavier than the appended count."""
+    (a frame of keys to reload) replaces those keys' partitions first via
+    dynamic partition overwrite; other rounds are untouched."""
+    # facts are partitioned by the load unit itself, so a repair replaces
+    # exactly the chosen (season, round) folders (dynamic overwrite)
     if repair is not None:
-        materialise(df.join(repair.select(*keys).distinct(), list(keys), "left_semi"), path, "overwrite",
-                    partition_by=["season"])
+        fixed = df.join(repair.select(*keys).distinct(), list(keys), "left_semi")
+        (fixed.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(*keys).parquet(path))
     existing = spark.read.parquet(path) if _exists(spark, path) else None
     new = df if existing is None else df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-    materialise(new, path, "append", partition_by=["season"])
+    materialise(new, path, "append", partition_by=list(keys))
     return 0
 
 

@@ -362,3 +362,15 @@ def test_run_all_from_landing(spark):
     assert read("standings").count() == 2 and read("strategy").count() == 2
     dims = {r.circuit_id: (r.length_km, r.corners) for r in read("dim_circuits").collect()}
     assert dims == {"bahrain": (5.412, 15)}
+
+
+def test_append_unseen_repair_replaces_only_chosen_rounds(spark):
+    path = tempfile.mkdtemp(prefix="racelake-fact-") + "/fact"
+    v1 = spark.createDataFrame([(2024, 1, "a", 1.0), (2024, 2, "a", 2.0)], "season int, round int, d string, p double")
+    P.append_unseen(spark, v1, path)
+    P.append_unseen(spark, v1, path)                                   # re-run: nothing appended
+    v2 = spark.createDataFrame([(2024, 1, "a", 1.0), (2024, 2, "a", 9.0), (2024, 3, "a", 3.0)],
+                               "season int, round int, d string, p double")
+    P.append_unseen(spark, v2, path, repair=spark.createDataFrame([(2024, 2)], "season int, round int"))
+    got = sorted((r.round, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1.0), (2, 9.0), (3, 3.0)]
