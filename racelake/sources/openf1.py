@@ -132,9 +132,12 @@ def write_telemetry(df: DataFrame, path: str, mode: str = "append") -> None:
     """Partition by (year, session) and sort each file by (session,
     driver, time) so a ``session_key = ?`` read prunes to its folder and the
     per-driver as-of reads sorted row groups.  Rows are clustered by the
-    partition keys first so each task writes few files."""
-    out = (df.withColumn("year", F.year("date"))
-           .repartition(*TELEMETRY_PARTITIONS, "driver_number")
-           .sortWithinPartitions(*TELEMETRY_SORT))
+    partition keys, the driver and a 15-minute time bucket, so each task
+    writes few files and one very long (session, driver) is written by many
+    tasks, not one."""
+    from racelake.operators.incremental import layout
+    out = df.withColumn("year", F.year("date")).withColumn(
+        "__wb", F.floor(F.unix_seconds(F.col("date").cast("timestamp")) / 900))
+    out = layout(out, [*TELEMETRY_PARTITIONS, "driver_number", "__wb"], TELEMETRY_SORT).drop("__wb")
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(*TELEMETRY_PARTITIONS).parquet(path))
