@@ -1,0 +1 @@
+"""Staging views, models, reports, data-quality checks and the batch pipeline."""

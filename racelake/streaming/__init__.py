@@ -1,0 +1 @@
+"""Structured Streaming ingest (availableNow file streams, idempotent micro-batches)."""
