@@ -102,3 +102,17 @@ def test_right_keys_and_rename(spark):
     right = spark.createDataFrame([(1, ts(5), 7)], "driver int, at timestamp, v int")
     got = asof_join_many(left, ["car"], "t", [AsofRight(right, "at", ["v"], {"v": "value"}, by=["driver"])])
     assert got.columns == ["car", "t", "value"] and got.first().value == 7
+
+
+def test_bucketed_mode_partitions_by_key_and_bucket(spark):
+    """A hot key (here: the only key) is exchanged on (key, time bucket)."""
+    # 3600 s sits exactly on an hour boundary: its match (3588) is carried
+    # over from the previous bucket
+    left = spark.createDataFrame([(1, ts(s)) for s in [*range(0, 36000, 7), 3600]], "k int, t timestamp")
+    right = spark.createDataFrame([(1, ts(s), s) for s in range(0, 36000, 13)], "k int, t timestamp, v int")
+    got = asof_join(left, right, ["k"], "t", "t", ["v"], bucket="1 hour")
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(k#" in plan and "__asof_b" in plan.split("hashpartitioning(k#", 1)[1].split(")")[0]
+    # ten one-hour buckets of the single key -> ten window groups, exact result
+    assert got.count() == left.count()
+    assert {r.v for r in got.filter("t = timestamp'2024-03-02 15:00:00'").collect()} == {3588}
