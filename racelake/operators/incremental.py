@@ -8,19 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def after_watermark(source: DataFrame, target: DataFrame | None, col: str = "_ingested_at") -> DataFrame:
+def watermark(target: DataFrame | None, col: str = "_ingested_at") -> str | None:
+    """The target's high watermark as text (exact to the microsecond and
+    independent of the driver's local time zone), or None when empty."""
+    if target is None:
+        return None
+    return target.agg(F.max(col).cast("string").alias("wm")).first()["wm"]
+
+
+def after_watermark(source: DataFrame, target: DataFrame | None, col: str = "_ingested_at",
+                    wm: str | None = None) -> DataFrame:
     """Rows of ``source`` strictly newer than the target's high watermark.
 
     The watermark is one scalar (a global ``max`` whose partial aggregates
     are combined map-side), read once and applied as a literal predicate so
     it is pushed into the source's parquet scan and prunes row groups.
-    First run (no target, or an empty one) loads everything.
+    First run (no target, or an empty one) loads everything.  ``wm`` passes
+    a watermark already read (several inputs against one target).
     """
-    if target is None:
-        return source
-    # carried as text so the literal keeps the column's exact type and
-    # microseconds whatever the driver's local time zone is
-    wm = target.agg(F.max(col).cast("string").alias("wm")).first()["wm"]
+    if wm is None:
+        wm = watermark(target, col)
     if wm is None:
         return source
     return source.filter(F.col(col) > F.lit(wm).cast(source.schema[col].dataType))

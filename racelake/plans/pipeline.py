@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.operators.incremental import after_watermark
+from racelake.operators.incremental import after_watermark, watermark
 from racelake.plans import models as M
 from racelake.plans import staging as STG
 from racelake.sources.openf1 import write_telemetry
@@ -92,9 +92,10 @@ def affected_sessions(inputs: Sequence[DataFrame], target: DataFrame | None, col
 
     Unlike one global watermark over the car samples, a late GPS or distance
     batch for an old session marks that session for rebuild too."""
+    wm = watermark(target, col)
     keys = None
     for df in inputs:
-        k = after_watermark(df, target, col).select("session_key").distinct()
+        k = after_watermark(df, None if wm is None else target, col, wm=wm).select("session_key").distinct()
         keys = k if keys is None else keys.unionByName(k)
     return keys.distinct()
 
