@@ -418,9 +418,11 @@ _READY: set[str] = set()
 
 
 def _root(spark: SparkSession, sf_dir: str) -> str:
+    """Per-application folder: concurrent runs sharing one checkpoint
+    folder never overwrite each other's tables."""
     from racelake.session import scratch_path
     key = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return scratch_path(spark, f"fixtures-{key}")
+    return scratch_path(spark, f"fixtures-{spark.sparkContext.applicationId}-{key}")
 
 
 def _version(sf_dir: str, name: str) -> str:
