@@ -67,3 +67,21 @@ def test_asof_against_brute_force(spark, left, right, bucket, inclusive):
         cands = [(rs, v) for rk, rs, v in right if rk == k and (rs <= s if inclusive else rs < s)]
         want.append((k, ts(s), max(cands)[1] if cands else None))
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1000, 1100)), min_size=1, max_size=6, unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.integers(0, 2), st.integers(1, 30), st.integers(900, 1200), st.one_of(st.none(), st.integers(0, 9))),
+                max_size=40, unique_by=lambda t: (t[0], t[1])))
+def test_tolerance_match_against_brute_force(spark, targets, laps):
+    from racelake.operators.match import tolerance_match
+    t = spark.createDataFrame(targets, "k int, target int")
+    lp = spark.createDataFrame(laps, "lk int, lap int, ms int, sector int")
+    got = {r.k: (r.lap, r.sector) for r in
+           tolerance_match(t, lp, [("k", "lk")], "target", "ms", 50, ["k"], ["lap", "sector"], "lap").collect()}
+    want = {}
+    for k, target in targets:
+        cands = sorted((abs(ms - target), lap, sector) for lk, lap, ms, sector in laps if lk == k and abs(ms - target) <= 50)
+        if cands:
+            want[k] = (cands[0][1], cands[0][2])
+    assert got == want
