@@ -85,3 +85,26 @@ def test_tolerance_match_against_brute_force(spark, targets, laps):
         if cands:
             want[k] = (cands[0][1], cands[0][2])
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 20000), st.one_of(st.none(), st.integers(0, 3)),
+                          st.integers(0, 2)), min_size=1, max_size=50, unique_by=lambda r: (r[0], r[1])),
+       st.sampled_from(["10 minutes", 3600, "2 hours"]))
+def test_bucketed_change_flag_equals_plain(spark, samples, bucket):
+    from racelake.operators.windows import change_flag
+    ts = lambda s: T0 + dt.timedelta(seconds=s)
+    df = spark.createDataFrame([(k, ts(s), x, y) for k, s, x, y in samples], "k int, t timestamp, x int, y int")
+    plain = sorted(tuple(r) for r in change_flag(df, ["k"], "t", ["x", "y"], "f").collect())
+    bucketed = sorted(tuple(r) for r in change_flag(df, ["k"], "t", ["x", "y"], "f", bucket=bucket).collect())
+    assert bucketed == plain
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 100)), min_size=1, max_size=40))
+def test_latest_by_key_against_brute_force(spark, rows_):
+    from racelake.operators.dedup import latest_by_key
+    df = spark.createDataFrame(rows_, "k int, version int, v int")
+    got = sorted(tuple(r) for r in latest_by_key(df, ["k"], "version", ["v"]).collect())
+    want = sorted(max((r for r in rows_ if r[0] == k), key=lambda r: (r[1], r[2])) for k in {r[0] for r in rows_})
+    assert got == want
