@@ -70,3 +70,18 @@ WHERE raw <> staged"""))
 def q_row_parity(spark, sf):
     """Raw line items vs the lap rows staged from them (laps past 60 are cut)."""
     return Q.row_parity(fx.table(spark, sf, "lineitem"), Inputs(spark, sf)._l("fx_lap_times"))
+
+
+@query("dq_boundary_consistency", oracle("""
+SELECT session_key, driver_number, lap_number, lap_start, lap_end FROM (
+  SELECT *, lead(lap_start) OVER (PARTITION BY session_key, driver_number ORDER BY lap_number) AS nxt
+  FROM (SELECT session_key, driver_number, lap_number, lap_start,
+               lead(lap_start) OVER (PARTITION BY session_key, driver_number ORDER BY lap_number) AS lap_end
+        FROM fx_lap_starts) b) c
+WHERE lap_end IS DISTINCT FROM nxt"""))
+def q_boundary_consistency(spark, sf):
+    """Every lap window ends where the next lap starts (passes: empty)."""
+    b = M.lap_boundaries(Inputs(spark, sf).lap_starts()).select(
+        "session_key", "driver_number", "lap_number", "lap_start", "lap_end")
+    return Q.boundary_consistency(b, ["session_key", "driver_number"]).select(
+        "session_key", "driver_number", "lap_number", "lap_start", "lap_end")
