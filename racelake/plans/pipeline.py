@@ -178,11 +178,15 @@ def load_weekend(tables: dict[str, DataFrame], season: int, rnd: int) -> dict[st
     return {k: v.filter((F.col("season") == season) & (F.col("round") == rnd)) for k, v in tables.items()}
 
 
-def load_weekend_status(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], season: int, rnd: int) -> DataFrame:
-    """Append one weekend to each raw table; a failing table does not
-    stop the others.  Returns one status row per table."""
+def load_weekend_status(spark: SparkSession, wh: Warehouse, tables: dict[str, DataFrame], season: int,
+                        rnd: int | None = None) -> DataFrame:
+    """Append one weekend (or, with ``rnd=None``, a whole season) to each
+    raw table; a failing table does not stop the others.  Returns one status
+    row per table."""
     rows = []
-    for name, df in load_weekend(tables, season, rnd).items():
+    chosen = (load_weekend(tables, season, rnd) if rnd is not None
+              else {k: v.filter(F.col("season") == season) for k, v in tables.items()})
+    for name, df in chosen.items():
         try:
             df.write.mode("append").parquet(wh.path("raw", name))
             rows.append((name, "ok", None))

@@ -374,3 +374,11 @@ def test_append_unseen_repair_replaces_only_chosen_rounds(spark):
     P.append_unseen(spark, v2, path, repair=spark.createDataFrame([(2024, 2)], "season int, round int"))
     got = sorted((r.round, r.p) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1.0), (2, 9.0), (3, 3.0)]
+
+
+def test_load_season_status(spark):
+    wh = P.Warehouse(tempfile.mkdtemp(prefix="racelake-season-"))
+    t = spark.createDataFrame([(2024, 1, "a"), (2024, 2, "b"), (2023, 9, "c")], "season int, round int, v string")
+    st = P.load_weekend_status(spark, wh, {"results": t}, 2024)
+    assert [r.status for r in st.collect()] == ["ok"]
+    assert spark.read.parquet(wh.path("raw", "results")).count() == 2
