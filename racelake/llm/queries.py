@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_output
+from . import line_dedup, near_dup, packing, token_output
 from .common import read_table
 from .tokenizing import vocabulary
 
@@ -29,7 +29,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+@query("op5_near_dup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 4-word shingles, similarity 0.8."""
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens by cost."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 20 or more code points in three or more documents, kept in one."""
+    return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
