@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, near_dup, packing, token_output
+from . import line_dedup, near_dup, packing, quality, token_output
 from .common import read_table
 from .tokenizing import vocabulary
 
@@ -29,6 +29,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+@query("op2_quality_rules", quality.oracle())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and verdicts of the quality rules for every document."""
+    return quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_near_dup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 4-word shingles, similarity 0.8."""
