@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, near_dup, packing, quality, token_output
+from . import lang_id, line_dedup, near_dup, packing, quality, token_output, topk
 from .common import read_table
 from .tokenizing import vocabulary
 
@@ -41,6 +41,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by PPM code lengths."""
+    return lang_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_topk")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every 50th vector, exactly."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens by cost."""
