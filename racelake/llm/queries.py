@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lang_id, line_dedup, near_dup, packing, quality, token_output, topk
+from . import bpe_codec, lang_id, line_dedup, near_dup, packing, quality, token_output, topk
 from .common import read_table
 from .tokenizing import vocabulary
 
@@ -35,6 +35,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_bpe_codec")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded through the transducer lexicon, and decoded again."""
+    return bpe_codec.codec_digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query("op5_near_dup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 4-word shingles, similarity 0.8."""
