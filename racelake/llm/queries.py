@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, lang_id, line_dedup, near_dup, packing, quality, token_output, topk
+from . import bpe_codec, lang_id, line_dedup, near_dup, packing, pii, quality, token_output, topk
 from .common import read_table
 from .tokenizing import vocabulary
 
@@ -53,6 +53,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+@query("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that disclose it."""
+    return pii.pii_spans(read_table(spark, sf_dir, "documents"))
+
+
 @query("op8_topk")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest inner products of every 50th vector, exactly."""
