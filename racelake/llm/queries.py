@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, lang_id, line_dedup, near_dup, packing, pii, quality, token_output, topk
-from .common import read_table
+from . import bpe_codec, lang_id, line_dedup, near_dup, packing, pii, quality, token_counts, token_output, topk
+from .common import fresh_path, read_table
 from .tokenizing import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals by source, language and tokenizer after four delta batches."""
+    vocabularies = {name: vocabulary(name + ".json") for name in ("byte_bpe_50k", "word_bpe_49k")}
+    return token_counts.corpus_rollup(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                      vocabularies, fresh_path(spark, "rollup"))
+
+
 @query("op5_near_dup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 4-word shingles, similarity 0.8."""
