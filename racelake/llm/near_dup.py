@@ -11,14 +11,16 @@
    the rarest LISTED - SHARED + 1 of their values, and only those make
    candidates.  A passage that many unrelated documents quote is
    frequent, hence not among a document's rarest values.
-4. Pairs of a list: every member meets the list's pivots, the members
-   whose values are most frequent (the centre of a group of near copies), never
-   all members each other.  Lists whose members are joined already are
-   done; the others go on with more and other pivots until every pair of
-   unjoined members has met.  Nothing is capped.
+4. Members of a list of up to SHORT_LIST meet each other.  Those of a longer list
+   meet its pivot only, the member whose values are most frequent (the centre of
+   a group of near copies).
 5. The union-sketch estimate of a pair's similarity drops pairs that are far
    below the threshold; the others are decided on their full sets.
-6. Components of the links; the smallest doc_id of each is kept.
+6. Members of a long list that are not joined with its pivot may still be linked
+   with others.  Such pairs share about half of their differences from the
+   pivot's set, and a prefix filter on those differences finds them all without
+   meeting everyone (``_odd_pairs``).  Nothing is capped.
+7. Components of the links; the smallest doc_id of each is kept.
 
 Null text and text without words: an empty set, linked with nothing.  Null
 doc_ids take part; a component's id is the smallest non-null doc_id, and a
@@ -168,65 +170,104 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * inter >= THRESHOLD * union).select("a", "b")
 
 
-def _pivot_pairs(lists: DataFrame, pivots: DataFrame) -> DataFrame:
-    left = lists.select("v", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    met = left.join(pivots, "v").where(F.col("x") != F.col("p")).where(F.col("cx") != F.col("cp")).where(_near_size("nx", "np"))
+def _first_pairs(lists: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Members of short lists meet each other, those of long lists their pivot."""
+    left = lists.select("v", "m", F.col("node").alias("x"), F.col("n").alias("nx"))
+    right = lists.where(_short()).select("v", F.col("node").alias("p"), F.col("n").alias("np"))
+    short = left.where(_short()).join(right, "v").where("x < p")
+    long = left.where(~_short()).join(pivots, "v").where("x <> p")
+    met = short.select("x", "p", "nx", "np").unionByName(long.select("x", "p", "nx", "np")).where(_near_size("nx", "np"))
     return met.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct()
 
 
+def _short():
+    return F.col("m") <= SHORT_LIST
+
+
+def _merged(comps: DataFrame, found: DataFrame) -> DataFrame:
+    """Components after more links: the links join old components."""
+    ends = (found.join(comps.toDF("a", "ca"), "a", "left").join(comps.toDF("b", "cb"), "b", "left")
+            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b"))
+    merged = components(ends).toDF("comp", "into")
+    kept = comps.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
+    new = merged.toDF("node", "comp").join(comps.select("node"), "node", "left_anti")
+    return written(kept.unionByName(new), "comps")
+
+
+def _odd_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that may still be linked in the groups around a pivot.
+
+    ``members``: (p, node, comp, pc), the members of all long lists of pivot p that
+    hold several components.  With E(z) the symmetric difference of z's set and the
+    pivot's, two members are linked only if
+
+        2 |E(x) & E(y)| >= |E(x)| + |E(y)| - (n(x) + n(y)) / 9,
+
+    and for a member x outside the pivot's component |E(x)| > (n(x) + n(p)) / 9, so
+    x and y must share about half of y's few differences.  Both sides keep just
+    so many of their rarest differences that a pair above the bound shares one.
+    """
+    held = sets.toDF("node", "hz")
+    pivot = sets.toDF("p", "hp")
+    both = members.join(held, "node").join(pivot, "p")
+    diff = F.concat(F.array_except("hz", "hp"), F.array_except("hp", "hz"))
+    each = both.select("p", "node", "comp", (F.col("comp") != F.col("pc")).alias("odd"), F.size("hz").alias("n"), diff.alias("diff"))
+    each = written(each.withColumn("e", F.size("diff")), "differences")
+    # one row a pivot
+    bounds = each.where("node <> p").groupBy("p").agg(
+        F.min("e").alias("least"), F.min(F.when(F.col("odd"), F.col("e"))).alias("least_odd"), F.max("n").alias("most"))
+    each = each.where("node <> p").join(bounds, "p")
+    t_x = F.ceil((F.col("e") + F.col("least") - (F.col("n") + F.col("most")) / 9) / 2)
+    t_y = F.ceil((F.col("e") + F.col("least_odd") - (F.col("n") + F.col("most")) / 9) / 2)
+    each = each.withColumns({"tx": F.greatest(t_x, F.lit(1)).cast("int"), "ty": F.greatest(t_y, F.lit(1)).cast("int")})
+    elements = each.select("p", "node", F.explode("diff").alias("d"))
+    counts = elements.groupBy("p", "d").agg(F.count("*").alias("df")).where("df > 1")
+    shared = (elements.join(counts, ["p", "d"]).groupBy("p", "node")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "d"))).alias("ds")))
+    sides = written(each.drop("diff", "least", "least_odd", "most").join(shared, ["p", "node"]), "shared-differences")
+
+    def rarest(t: str) -> DataFrame:
+        """The rarest differences, each with its rank among all of the member's (those
+        that nobody shares come first)."""
+        prefix = F.slice("ds", F.lit(1), F.size("ds") - F.col(t) + 1)
+        rows = sides.where(F.size("ds") >= F.col(t)).select("*", F.posexplode(prefix).alias("i", "el"))
+        return rows.withColumns({"rank": F.col("e") - F.size("ds") + F.col("i") + 1, "d": F.col("el.d")})
+    x = rarest("tx").where("odd").select("p", "d", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("e").alias("ex"),
+                                         F.col("comp").alias("cx"), F.col("rank").alias("rx"))
+    y = rarest("ty").select("p", "d", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("e").alias("ey"),
+                            F.col("comp").alias("cy"), F.col("rank").alias("ry"))
+    # the pair's own bound: a shared difference must be among its first few on both sides
+    need = F.ceil((F.col("ex") + F.col("ey") - (F.col("nx") + F.col("ny")) / 9) / 2)
+    near = (F.col("cx") != F.col("cy")) & _near_size("nx", "ny") & (F.col("rx") <= F.col("ex") - need + 1) & (F.col("ry") <= F.col("ey") - need + 1)
+    met = x.alias("x").join(y.alias("y"), (F.col("x.p") == F.col("y.p")) & (F.col("x.d") == F.col("y.d")) & near)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def link_classes(classes: DataFrame, documents: DataFrame, words: int) -> DataFrame:
     """(node, comp) of all classes that are linked with another class."""
-    spark = classes.sparkSession
     members = _members(classes)
-    alone = members.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
-    lists = written(members.join(alone, "v"), "lists").withColumn("comp", F.col("node"))
+    sizes = members.groupBy("v").agg(F.count("*").alias("m"), F.max(F.struct("score", "node", "n")).alias("top")).where("m > 1")
+    lists = written(members.join(sizes.select("v", "m"), "v"), "lists")
+    # the centre of a long list: the member whose sketch values are most frequent
+    pivots = written(sizes.where(~_short()).select("v", F.col("top.node").alias("p"), F.col("top.n").alias("np")), "pivots")
     sets = _sets_of(lists.select("node").distinct(), classes, documents, words)
-    comps = None
-    width = 1
-    while True:
-        # lists that still hold members of different components, by size
-        open_lists = (lists.groupBy("v").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                      .where("lo < hi").select("v", "m"))
-        lists = written(lists.join(open_lists.withColumnRenamed("m", "m_"), "v").drop("m", "tried")
-                        .withColumnRenamed("m_", "m"), "lists")
-        short = F.col("m") <= SHORT_LIST
-        sizes = lists.groupBy(short.alias("short")).count().collect()
-        if not sizes:
-            break
-        # every member of a short list is a pivot; a long list has one in each of
-        # ``width`` hash buckets, the one with the most frequent values
-        bucket = F.when(short, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(width)), F.lit(width)))
-        pivots = (lists.groupBy("v", bucket.alias("bucket"))
-                  .agg(F.max(F.struct("score", "node", "n", "comp")).alias("p"))
-                  .select("v", F.col("p.node").alias("p"), F.col("p.n").alias("np"), F.col("p.comp").alias("cp")))
-        pivots = written(pivots, "pivots")
-        pairs = written(_pivot_pairs(lists, pivots), "pairs")
-        likely = written(_estimated(pairs, classes), "likely")
-        found = written(_verified(likely, sets), "links")
-        if not found.isEmpty():
-            if comps is None:
-                comps = components(found)
-            else:
-                ends = (found.join(comps.toDF("a", "ca"), "a", "left").join(comps.toDF("b", "cb"), "b", "left")
-                        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a != b"))
-                merged = components(ends).toDF("comp", "into")
-                kept = comps.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
-                new = merged.toDF("node", "comp").join(comps.select("node"), "node", "left_anti")
-                comps = written(kept.unionByName(new), "comps")
-        # short lists are done; pivots have met all others of their list
-        tried = pivots.select("v", F.col("p").alias("node"))
-        lists = lists.where(~short).join(tried, ["v", "node"], "left_anti").drop("m")
-        if comps is not None:
-            lists = (lists.drop("comp").join(comps, "node", "left")
-                     .withColumn("comp", F.coalesce("comp", "node")))
-        width = min(4 * width, 64)
-    if comps is None:
-        return spark.createDataFrame([], "node long, comp long")
-    return comps
-
-
-def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
+    pairs = written(_first_pairs(lists, pivots), "pairs")
+    likely = written(_estimated(pairs, classes), "likely")
+    comps = components(written(_verified(likely, sets), "links"))
+    # members of long lists by pivot, where several components are left
+    labels = lists.where(~_short()).join(pivots, "v").select("p", "node").distinct().join(comps, "node", "left")
+    labels = labels.select("p", "node", F.coalesce("comp", "node").alias("comp"))
+    around = (labels.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                      F.max(F.when(F.col("node") == F.col("p"), F.col("comp"))).alias("pc"))
+              .where("lo < hi").select("p", "pc"))
+    left = written(labels.join(around, "p"), "members")
+    rest = written(_odd_pairs(left, sets), "pairs")
+    found = written(_verified(rest, sets), "links")
+    return comps if found.isEmpty() else _merged(comps, found)
+
+
+def grouped_rows(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """Per row: doc, tx (the row key), n_shingles, component_id, kept."""
     rows = documents.select(*row_key(), F.col("text").cast("string").alias("text"))
     sets = written(rows.mapInArrow(_sketch(words), "doc long, tx long, n long, s1 long, s2 long, sketch array<long>"), "sketches")
     # one class for each distinct set; its smallest document stands for it
@@ -248,5 +289,18 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
     copies = F.col("linked") | F.col("component").isNotNull()
     kept = F.when(F.col("doc").isNotNull(), F.col("doc") == component).otherwise(
         (F.col("n") == 0) | ~F.coalesce(copies, F.lit(False)))
-    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      component.alias("component_id"), kept.alias("kept"))
+    return out.select("doc", "tx", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept."""
+    return grouped_rows(documents, words).select(F.col("doc").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def keep_first(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows of ``documents`` that are kept, with their own columns unchanged."""
+    gone = grouped_rows(documents, words).where(~F.col("kept")).select(F.col("doc").alias("__gdoc"), F.col("tx").alias("__gtx")).distinct()
+    key_doc, key_tx = row_key()
+    keyed = documents.withColumns({"__doc": key_doc, "__tx": key_tx})
+    on = keyed["__doc"].eqNullSafe(gone["__gdoc"]) & (keyed["__tx"] == gone["__gtx"])
+    return keyed.join(gone, on, "left_anti").select(*documents.columns)
