@@ -84,11 +84,9 @@ def assign(sizes: np.ndarray, length: int = LENGTH, linear: float = LINEAR,
 
 
 def pack_function(vocab: str, end_id: int, length: int, window: int):
-    tail = np.uint32(end_id).tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode, base = encoder(vocab).encode, TaskContext.get().partitionId() << 32
+        encode, base = encoder(vocab).encode_many, TaskContext.get().partitionId() << 32
         docs, ids, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -108,10 +106,13 @@ def pack_function(vocab: str, end_id: int, length: int, window: int):
 
         for batch in batches:
             for piece in sub_batches(batch, 1):
-                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                flat, counts = encode(piece.column(1), end_id)
+                data, at = flat.tobytes(), 0
+                for doc, n in zip(piece.column(0).to_pylist(), counts.tolist(), strict=True):
                     docs.append(doc)
-                    ids.append((encode(text) if text else b"") + tail)
-                    held += len(ids[-1]) >> 2
+                    ids.append(data[at:at + 4 * n])
+                    at += 4 * n
+                    held += n
                     if held >= window:
                         yield flush()
         if docs:

@@ -38,17 +38,15 @@ ROWS = "part int, doc_id long, part_start long, n_tokens long, ids_crc32 long"
 
 def encode_blocks(vocab: str, end_id: int | None):
     """mapInArrow function: (doc_id, text) rows in order -> block rows."""
-    tail = b"" if end_id is None else np.uint32(end_id).tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode, part = encoder(vocab).encode, TaskContext.get().partitionId()
+        encode, part = encoder(vocab).encode_many, TaskContext.get().partitionId()
         start, number = 0, 0
         docs, lengths, parts, held = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             nonlocal start, number, docs, lengths, parts, held
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             words, escapes, offsets = simple8b.encode(ids)
             out = pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()),
@@ -62,12 +60,14 @@ def encode_blocks(vocab: str, end_id: int | None):
 
         for batch in batches:
             for piece in sub_batches(batch, 1):
-                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
-                    ids = (encode(text) if text else b"") + tail
+                ids, counts = encode(piece.column(1), end_id)
+                at = 0
+                for doc, n in zip(piece.column(0).to_pylist(), counts.tolist(), strict=True):
                     docs.append(doc)
-                    lengths.append(len(ids) >> 2)
-                    parts.append(ids)
-                    held += len(ids) >> 2
+                    lengths.append(n)
+                    parts.append(ids[at:at + n])
+                    at += n
+                    held += n
                     if held >= BLOCK_IDS:
                         yield block()
         if docs:
