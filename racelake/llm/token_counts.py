@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import sub_batches, written
-from .tokenizing import encoder
+from .tokenizing import CACHE_WORDS, encoder
 
 KEYS = ["source", "lang", "version"]
 DELTAS = "source string, lang string, version string, n_docs long, n_tokens long"
@@ -39,11 +39,13 @@ LEDGER = "doc_id long, version string, source string, lang string, n_tokens long
 
 def count_tokens(documents: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
     """doc_id, source, lang, version, n_tokens: a row for each document and version."""
+    limit = CACHE_WORDS // (2 * len(vocabularies))  # the tables of all versions share the memory
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in sub_batches(batch, 3):
+            for piece in sub_batches(batch, 3, 6 << 20):
                 for version, path in vocabularies.items():
-                    _, counts = encoder(path).encode_many(piece.column(3))
+                    _, counts = encoder(path, limit).encode_many(piece.column(3))
                     yield pa.RecordBatch.from_arrays(
                         [piece.column(0), piece.column(1), piece.column(2), pa.array([version] * piece.num_rows), pa.array(counts)],
                         names=["doc_id", "source", "lang", "version", "n_tokens"])
