@@ -33,12 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, sub_batches, written
-from .tokenizing import _PLAIN, _WORD_PIECES, byte_level, encoder
+from .common import shared_dir, store_bytes, sub_batches, written
+from .tokenizing import _PLAIN, _WORD_PIECES, byte_level, cut_more, encoder, gather
 from .transducer import Transducer, build, to_bytes
 
-LEXICON = 150_000
+LEXICON = 300_000
 MIN_IN_TASK = 3
+#: Merged words that a worker process remembers (first seen stay).
+REMEMBERED = 200_000
 #: Words that a counting task holds before it drops those seen once.
 COUNTED_WORDS = 1_000_000
 
@@ -86,6 +88,7 @@ class Codec:
         for token, i in names.items():
             self.tokens[i] = token
         self.digits = [str(i) for i in range(len(self.tokens))]
+        self.merged: dict[str, list[int]] = {}
 
     def merge(self, word: str) -> list[int]:
         """Ids of a word that the lexicon doesn't hold."""
@@ -98,9 +101,17 @@ class Codec:
             out += self.merger.ids(byte_level(piece))
         return out
 
+    def recall(self, word: str) -> list[int]:
+        ids = self.merged.get(word)
+        if ids is None:
+            ids = self.merge(word)
+            if len(self.merged) < REMEMBERED:
+                self.merged[word] = ids
+        return ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text)."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        lists = pc.ascii_split_whitespace(cut_more(pc.fill_null(texts, ""), ""))
         bounds = lists.offsets.to_numpy().astype(np.int64)
         bounds -= bounds[0]
         coded = lists.flatten().dictionary_encode()
@@ -118,16 +129,13 @@ class Codec:
             sizes[known] = ends[place[known] + 1] - starts[known]
             unseen = np.flatnonzero(place < 0)
             lexicon_ids = self.lexicon.ids
-        merged = [self.merge(w) if w else [] for w in words.take(pa.array(unseen)).to_pylist()]
+        merged = [self.recall(w) if w else [] for w in words.take(pa.array(unseen)).to_pylist()]
         counts = np.fromiter(map(len, merged), np.int64, len(merged))
         own = np.fromiter((x for m in merged for x in m), np.uint32, int(counts.sum()))
         sizes[unseen] = counts
         starts[unseen] = lexicon_ids.size + np.cumsum(counts) - counts
         pool = np.concatenate((lexicon_ids, own))
-        lengths = sizes[index]
-        ends = np.cumsum(lengths)
-        at = np.repeat(starts[index] - ends + lengths, lengths) + np.arange(int(ends[-1]) if ends.size else 0)
-        return pool[at], np.diff(np.concatenate(([0], ends))[bounds])
+        return gather(pool, starts, sizes, index, bounds)
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
@@ -158,7 +166,7 @@ def _count_words(min_in_task: int):
         counts: Counter = Counter()
         for batch in batches:
             for piece in sub_batches(batch, 0):
-                found = pc.ascii_split_whitespace(pc.fill_null(piece.column(0), "")).flatten().value_counts()
+                found = pc.ascii_split_whitespace(cut_more(pc.fill_null(piece.column(0), ""), "")).flatten().value_counts()
                 for word, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
                     counts[word] += n
                 if len(counts) > COUNTED_WORDS:
@@ -194,10 +202,7 @@ def compile_lexicon(spark: SparkSession, words: list[str], vocab: str) -> str |
     data = to_bytes(build([w.encode() for w in words], [plain.merge(w) for w in words]))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = f"{shared_dir(spark)}/llm/{name}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop)
-    out.write(data)
-    out.close()
+    store_bytes(spark, path, data)
     spark.sparkContext.addFile(path)
     return name
 
