@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from racelake.llm import line_dedup, near_dup, packing, pii, quality
-from racelake.llm.common import read_table, written
+from racelake.llm.common import read_table, ship, written
 from racelake.llm.tokenizing import vocabulary
 
 
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a Python task; bounds a worker's memory.
-SUB_BATCH_BYTES = 4 << 20
+SUB_BATCH_BYTES = 12 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +34,34 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def store_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write one small file on whatever store ``path`` names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(data)
+    out.close()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application, so that their Python
+    workers import the operators whether or not they share the driver's folders."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    path = f"{shared_dir(spark)}/llm/{app}/{root.name}-{uuid.uuid4().hex}.zip"
+    store_bytes(spark, path, packed.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new folder for one written intermediate table."""
     return f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

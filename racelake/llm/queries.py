@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe_codec, lang_id, line_dedup, near_dup, packing, pii, quality, token_counts, token_output, topk
-from .common import fresh_path, read_table
+from .common import fresh_path, read_table, ship
 from .tokenizing import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +17,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle:
             ORACLE[name] = oracle
         return fn
