@@ -666,7 +666,6 @@ for alias, target in {
     "distinct_flag": "mart_sprint_weekends",
     "distinct_seasons": "rep_seasons",
     "head_to_head": "rep_head_to_head",
-    "strategy_fanout": "mart_strategy",
     "lookup_update": "mart_dim_circuits",
     "match_status": "mart_fact_qualifying",
     "positions_gained": "rep_positions_gained",

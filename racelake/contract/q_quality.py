@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from racelake import fixtures as fx
 from racelake.contract.inputs import Inputs
 from racelake.contract.q_models import FACT_QUALI_SQL
@@ -65,11 +67,18 @@ def q_no_future(spark, sf):
 
 
 @query("dq_row_parity", oracle("""
-SELECT * FROM (SELECT (SELECT count(*) FROM lineitem) AS raw, (SELECT count(*) FROM fx_lap_times) AS staged) t
+SELECT 'laps' AS pair, * FROM (SELECT (SELECT count(*) FROM lineitem) AS raw, (SELECT count(*) FROM fx_lap_times) AS staged) t
+WHERE raw <> staged
+UNION ALL
+SELECT 'pit laps' AS pair, * FROM (SELECT (SELECT count(*) FROM lineitem) AS raw, (SELECT count(*) FROM fx_pit_stops) AS staged) t
 WHERE raw <> staged"""))
 def q_row_parity(spark, sf):
-    """Raw line items vs the lap rows staged from them (laps past 60 are cut)."""
-    return Q.row_parity(fx.table(spark, sf, "lineitem"), Inputs(spark, sf)._l("fx_lap_times"))
+    """Raw line items vs the lap rows staged from them (all there), and vs the
+    pit stops, which hold only some laps (a failing pair)."""
+    raw, i = fx.table(spark, sf, "lineitem"), Inputs(spark, sf)
+    pairs = [("laps", i._l("fx_lap_times")), ("pit laps", i._l("fx_pit_stops"))]
+    rows = [Q.row_parity(raw, staged).select(F.lit(name).alias("pair"), "raw", "staged") for name, staged in pairs]
+    return rows[0].unionByName(rows[1])
 
 
 @query("dq_boundary_consistency", oracle("""

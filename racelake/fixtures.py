@@ -8,6 +8,10 @@ session-global views), DuckDB gets them as its pre-registered views.
 
 Adapters only shape input; every operator, model and report applied on top is
 a library function.
+
+All rows of the base tables are used, and keys grow with them: every further
+1,500 customers bring 20 more drivers and seven more seasons of their own,
+so races and laps per race keep their size while their number follows the data.
 """
 
 from __future__ import annotations
@@ -21,6 +25,17 @@ BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 ]
 
+# customers come in blocks of 1,500; each block races in its own seven seasons
+_BLOCK = "CAST(floor(o_custkey / 1500) AS BIGINT)"
+_SEASON = f"CAST(year(o_orderdate) + 7 * {_BLOCK} AS INT)"
+_DRIVER_NO = f"CAST(o_custkey % 20 + 20 * {_BLOCK} AS INT)"
+
+
+def _two(n: str) -> str:
+    """A number as text, with at least two digits."""
+    return f"CASE WHEN {n} < 10 THEN '0' ELSE '' END || CAST({n} AS STRING)"
+
+
 # name -> (dependencies, SQL body).  Order matters only through dependencies.
 ADAPTERS: dict[str, tuple[list[str], str]] = {}
 
@@ -29,27 +44,23 @@ def _add(name: str, deps: list[str], sql: str) -> None:
     ADAPTERS[name] = (deps, sql.strip())
 
 
-_add("fx_races", ["orders"], """
-SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS season, CAST(month(o_orderdate) AS INT) AS round,
-       'GP ' || CAST(month(o_orderdate) AS STRING) AS race_name,
-       'k' || CAST(month(o_orderdate) AS STRING) AS circuit_id,
-       CAST(date_trunc('month', o_orderdate) + INTERVAL '14' DAY AS DATE) AS race_date
-FROM orders
+_add("fx_races", ["orders"], f"""
+SELECT season, round, 'GP ' || CAST(round AS STRING) AS race_name, 'k' || CAST(round AS STRING) AS circuit_id,
+       make_date(season, round, 15) AS race_date
+FROM (SELECT DISTINCT {_SEASON} AS season, CAST(month(o_orderdate) AS INT) AS round FROM orders) o
 """)
 
-_add("fx_drivers", ["orders"], """
-SELECT DISTINCT 'd' || lpad(CAST(o_custkey % 20 AS STRING), 2, '0') AS driver_id,
-       'Given' || CAST(o_custkey % 20 AS STRING) AS given_name,
-       'Family' || CAST(o_custkey % 20 AS STRING) AS family_name
-FROM orders
+_add("fx_drivers", ["orders"], f"""
+SELECT 'd' || {_two("n")} AS driver_id, 'Given' || CAST(n AS STRING) AS given_name, 'Family' || CAST(n AS STRING) AS family_name
+FROM (SELECT DISTINCT {_DRIVER_NO} AS n FROM orders) o
 """)
 
 _add("fx_constructors", ["supplier"], """
 SELECT 'c' || CAST(s_suppkey AS STRING) AS constructor_id, s_name AS constructor_name
-FROM supplier WHERE s_suppkey < 10
+FROM supplier
 """)
 
-_add("fx_results", ["orders"], """
+_add("fx_results", ["orders"], f"""
 SELECT season, round, driver_id, constructor_id, driver_no, grid_position, position_order,
        CASE WHEN (driver_no + round) % 9 = 0 THEN NULL ELSE position_order END AS finish_position,
        CAST(CASE position_order WHEN 1 THEN 25 WHEN 2 THEN 18 WHEN 3 THEN 15 WHEN 4 THEN 12 ELSE 0 END AS DOUBLE) AS points,
@@ -57,31 +68,30 @@ SELECT season, round, driver_id, constructor_id, driver_no, grid_position, posit
        CAST(8 AS INT) AS laps_completed
 FROM (
   SELECT season, round, driver_no,
-         'd' || lpad(CAST(driver_no AS STRING), 2, '0') AS driver_id,
+         'd' || {_two("driver_no")} AS driver_id,
          'c' || CAST(CAST(floor(driver_no / 2) AS BIGINT) AS STRING) AS constructor_id,
          CAST(row_number() OVER (PARTITION BY season, round ORDER BY k_max DESC) AS INT) AS position_order,
          CAST(row_number() OVER (PARTITION BY season, round ORDER BY k_min) AS INT) AS grid_position
   FROM (
-    SELECT CAST(year(o_orderdate) AS INT) AS season, CAST(month(o_orderdate) AS INT) AS round,
-           CAST(o_custkey % 20 AS INT) AS driver_no, max(o_orderkey) AS k_max, min(o_orderkey) AS k_min
+    SELECT {_SEASON} AS season, CAST(month(o_orderdate) AS INT) AS round,
+           {_DRIVER_NO} AS driver_no, max(o_orderkey) AS k_max, min(o_orderkey) AS k_min
     FROM orders GROUP BY 1, 2, 3
   ) g
 ) r
 """)
 
-_add("fx_lap_times", ["lineitem", "orders"], """
-SELECT season, round, driver_id, driver_no, lap_number, lap_time_ms, jit
+_add("fx_lap_times", ["lineitem", "orders"], f"""
+SELECT season, round, 'd' || {_two("driver_no")} AS driver_id, driver_no,
+       CAST(row_number() OVER (PARTITION BY season, round, driver_no
+            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INT) AS lap_number,
+       lap_time_ms, jit
 FROM (
-  SELECT CAST(year(o_orderdate) AS INT) AS season, CAST(month(o_orderdate) AS INT) AS round,
-         CAST(o_custkey % 20 AS INT) AS driver_no,
-         'd' || lpad(CAST(o_custkey % 20 AS STRING), 2, '0') AS driver_id,
-         CAST(row_number() OVER (PARTITION BY year(o_orderdate), month(o_orderdate), o_custkey % 20
-              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INT) AS lap_number,
+  SELECT {_SEASON} AS season, CAST(month(o_orderdate) AS INT) AS round, {_DRIVER_NO} AS driver_no,
+         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
          60000 + CAST(floor(l_extendedprice) AS BIGINT) % 40000 AS lap_time_ms,
          (l_partkey * 37 + l_suppkey * 11) % 801 - 400 AS jit
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ) x
-WHERE lap_number <= 60
 """)
 
 _add("fx_qualifying", ["fx_results", "fx_lap_times"], """
@@ -123,7 +133,7 @@ UNION ALL
 SELECT CAST((q.season * 100 + q.round) * 10 + 1 AS BIGINT), q.driver_no + 1, l.lap_number,
        CAST(q.best_ms + l.jit AS DOUBLE) / CAST(1000 AS DOUBLE), CASE WHEN l.lap_number % 10 = 0 THEN 1 ELSE 0 END
 FROM fx_qualifying q JOIN fx_lap_times l
-  ON l.season = q.season AND l.round = q.round AND l.driver_no = q.driver_no AND l.lap_number <= 8
+  ON l.season = q.season AND l.round = q.round AND l.driver_no = q.driver_no
 WHERE q.season >= 1998
 """)
 
@@ -187,14 +197,14 @@ FROM (SELECT DISTINCT session_key, driver_number FROM fx_timing_laps WHERE sessi
 """)
 
 # timing-feed drivers; rounds divisible by 3 were ingested twice (second copy later)
-_add("fx_timing_drivers", ["fx_timing_laps"], """
+_add("fx_timing_drivers", ["fx_timing_laps"], f"""
 SELECT session_key, driver_number, name_acronym, team_name,
        CASE WHEN copy = 2 THEN team_colour || 'F' ELSE team_colour END AS team_colour,
        headshot_url,
        CAST(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * copy AS TIMESTAMP) AS _ingested_at
 FROM (
   SELECT session_key, driver_number,
-         'D' || lpad(CAST(driver_number AS STRING), 2, '0') AS name_acronym,
+         'D' || {_two("driver_number")} AS name_acronym,
          'Team ' || CAST(CAST(floor((driver_number - 1) / 2) AS BIGINT) AS STRING) AS team_name,
          CASE WHEN driver_number % 5 = 0 THEN '' ELSE 'A0' || lpad(CAST(driver_number AS STRING), 4, '0') END AS team_colour,
          CASE WHEN driver_number % 7 = 0 THEN NULL WHEN driver_number % 7 = 1 THEN ''

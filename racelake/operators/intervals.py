@@ -7,32 +7,15 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from racelake.operators.asof import AsofRight, _bucket_expr, asof_join_many, parse_bucket
+from racelake.operators.asof import AsofRight, asof_join_many
 
 
-def interval_bounds(df: DataFrame, by: Sequence[str], order: str, start: str, end: str = "end",
-                    bucket: str | int | None = None) -> DataFrame:
+def interval_bounds(df: DataFrame, by: Sequence[str], order: str, start: str, end: str = "end") -> DataFrame:
     """``end`` = the next row's ``start`` within ``by`` ordered by ``order``;
-    the last interval stays open (NULL end).
-
-    ``bucket`` (time width; intervals are then ordered by ``start``, which
-    equals ``order`` whenever starts increase with it): ``lead`` runs inside
-    ``(by, bucket of start)`` partitions and the last row of a bucket takes
-    the first start of the nearest later bucket from a one-row-per-bucket
-    ``min`` aggregate, so one huge group is spread over many tasks."""
-    bucket_us = parse_bucket(bucket)
-    if bucket_us is None:
-        w = Window.partitionBy(*by).orderBy(order)
-        return df.withColumn(end, F.lead(F.col(start)).over(w))
-    b = "__ib_b"
-    d = df.withColumn(b, _bucket_expr(F.col(start), bucket_us))
-    firsts = d.groupBy(*by, b).agg(F.min(start).alias("__first"))
-    wb = Window.partitionBy(*by).orderBy(b).rowsBetween(1, Window.unboundedFollowing)
-    nxt = firsts.select(*by, b, F.first("__first", ignorenulls=True).over(wb).alias("__next"))
-    w = Window.partitionBy(*by, b).orderBy(start)
-    return (d.join(nxt, [*by, b], "left")
-            .withColumn(end, F.coalesce(F.lead(F.col(start)).over(w), F.col("__next")))
-            .drop(b, "__next"))
+    the last interval stays open (NULL end).  Rows of equal ``order`` follow
+    each other by ``start``."""
+    w = Window.partitionBy(*by).orderBy(order, start)
+    return df.withColumn(end, F.lead(F.col(start)).over(w))
 
 
 def slice_intervals(

@@ -20,7 +20,8 @@ from racelake.operators.asof import _bucket_expr, parse_bucket
 def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], name: str,
                 bucket: str | int | None = None, bucket_col: str | None = None) -> DataFrame:
     """1 when any of ``cols`` differs from the previous row in the group,
-    else 0.  Missing values and the first row's predecessor count as 0.
+    else 0.  Missing values and the first row's predecessor count as 0; rows of
+    equal ``order`` follow each other by ``cols``.
 
     ``bucket`` (time width, for a time ``order``): the lag runs inside
     ``(by, bucket)`` partitions; the first row of a bucket compares with the
@@ -31,7 +32,7 @@ def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str
     vals = [F.coalesce(F.col(c), F.lit(0)) for c in cols]
     bucket_us = parse_bucket(bucket)
     if bucket_us is None:
-        w = Window.partitionBy(*by).orderBy(order)
+        w = Window.partitionBy(*by).orderBy(order, *cols)
         prevs = [F.lag(v, 1, 0).over(w) for v in vals]
         return df.withColumn(name, _any_diff(vals, prevs))
 
@@ -41,10 +42,10 @@ def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str
         b = "__cf_b"
         d = df.withColumn(b, _bucket_expr(F.col(order), bucket_us))
     last = (d.groupBy(*by, b)
-            .agg(F.max_by(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(vals)]), F.col(order)).alias("__last")))
+            .agg(F.max_by(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(vals)]), F.struct(order, *cols)).alias("__last")))
     wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(*by, b, F.last("__last", ignorenulls=True).over(wb).alias("__carry"))
-    w = Window.partitionBy(*by, b).orderBy(order)
+    w = Window.partitionBy(*by, b).orderBy(order, *cols)
     d = d.join(carry, [*by, b], "left")
     prevs = [F.coalesce(F.lag(v, 1).over(w), F.col(f"__carry.v{i}"), F.lit(0)) for i, v in enumerate(vals)]
     out = d.withColumn(name, _any_diff(vals, prevs)).drop("__carry")

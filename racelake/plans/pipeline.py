@@ -13,10 +13,10 @@ import os
 from dataclasses import dataclass
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.operators.incremental import after_watermark, watermark
 from racelake.plans import models as M
 from racelake.plans import staging as STG
 from racelake.sources.openf1 import write_telemetry
@@ -42,19 +42,25 @@ class Warehouse:
         return os.path.join(self.root, layer, name)
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame | None:
-        p = self.path(layer, name)
-        try:
-            return spark.read.parquet(p)
-        except Exception:  # noqa: BLE001 - absent table on a first run
+        """The table, columns added over time included; None if it was never written."""
+        return read_if_written(spark, self.path(layer, name))
+
+
+#: Error conditions that mean "no such table yet"; anything else is raised.
+ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return read_evolving(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
             return None
+        raise
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    return read_if_written(spark, path) is not None
 
 
 def materialise(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
@@ -71,68 +77,92 @@ def materialise(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def append_unseen(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = ("season", "round"),
-                  repair: DataFrame | None = None) -> int:
+                  repair: DataFrame | None = None) -> None:
     """Append rows whose ``keys`` are not in the table yet.  ``repair``
-    (a frame of keys to reload) replaces those keys' partitions first via
-    dynamic partition overwrite; other rounds are untouched."""
-    # facts are partitioned by the load unit itself, so a repair replaces
-    # exactly the chosen (season, round) folders (dynamic overwrite)
-    if repair is not None:
-        fixed = df.join(repair.select(*keys).distinct(), list(keys), "left_semi")
-        (fixed.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(*keys).parquet(path))
-    existing = spark.read.parquet(path) if _exists(spark, path) else None
-    new = df if existing is None else df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-    materialise(new, path, "append", partition_by=list(keys))
-    return 0
-
-
-def affected_sessions(inputs: Sequence[DataFrame], target: DataFrame | None, col: str = "_ingested_at") -> DataFrame:
-    """Sessions with any input row newer than the target's watermark.
-
-    Unlike one global watermark over the car samples, a late GPS or distance
-    batch for an old session marks that session for rebuild too."""
-    wm = watermark(target, col)
+    (a frame of keys to reload) replaces those keys' rows: only the partitions
+    (first key) that hold them are rewritten, a key that has become empty goes."""
+    keys, part = list(keys), list(keys)[0]
+    existing = read_if_written(spark, path)
+    if repair is not None and existing is not None:
+        chosen = repair.select(*keys).distinct()
+        touched = chosen.select(part).distinct()
+        stay = existing.join(touched, part, "left_semi").join(chosen, keys, "left_anti")
+        fixed = df.join(chosen, keys, "left_semi").select(*existing.columns)
+        # written aside first: the partitions read here are the ones replaced
+        aside = f"{path}__repair"
+        materialise(stay.unionByName(fixed), aside, partition_by=[part], sort_by=keys)
+        (spark.read.schema(existing.schema).parquet(aside).repartition(part).sortWithinPartitions(*keys)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
+        existing = read_if_written(spark, path)
+    new = df if existing is None else df.join(existing.select(*keys).distinct(), keys, "left_anti")
+    materialise(new, path, "append", partition_by=[part], sort_by=keys)
+
+
+#: Time buckets that spread one (session, driver) over several tasks.
+BUCKET = "15 minutes"
+
+
+def affected_sessions(inputs: dict[str, DataFrame], marks: dict[str, object]) -> DataFrame:
+    """Sessions with a row of any input that is newer than that input's own
+    watermark (all sessions of an input without one)."""
     keys = None
-    for df in inputs:
-        k = after_watermark(df, None if wm is None else target, col, wm=wm).select("session_key").distinct()
+    for name, df in inputs.items():
+        fresh = df if marks.get(name) is None else df.filter(F.col("_ingested_at") > F.lit(marks[name]))
+        k = fresh.select("session_key").distinct()
         keys = k if keys is None else keys.unionByName(k)
     return keys.distinct()
 
 
-def choose_bucket(car: DataFrame, keys: Sequence[str] = ("session_key", "driver_number"),
-                  max_rows_per_key: int = 5_000_000, bucket: str = "15 minutes") -> str | None:
-    """Pick the skew-safe bucketed plan only when some key is large.
+class Watermarks:
+    """Newest ingest time processed of each input of a table: a few rows, one folder a
+    commit, written only after the table itself."""
+
+    def __init__(self, spark: SparkSession, wh: Warehouse, table: str):
+        self.spark, self.path = spark, wh.path("state", table)
 
-    One aggregate (per-key counts combined map-side, then a global max) is
-    measured before the telemetry job; a race session is ~100 k samples per
-    driver, so the plain one-shuffle plan is used unless a key holds millions
-    of rows (e.g. a mis-keyed or very long feed)."""
-    biggest = (car.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n").alias("m")).first()["m"])
-    return bucket if biggest is not None and biggest > max_rows_per_key else None
+    def read(self) -> dict[str, object]:
+        df = read_if_written(self.spark, self.path)
+        if df is None:
+            return {}
+        last = df.groupBy("input").agg(F.max("mark").alias("mark")).collect()
+        return {r["input"]: r["mark"] for r in last}
+
+    def commit(self, marks: dict[str, object]) -> None:
+        rows = [(k, v) for k, v in marks.items() if v is not None]
+        if rows:
+            self.spark.createDataFrame(rows, "input string, mark timestamp").coalesce(1).write.mode("append").parquet(self.path)
 
 
 def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, location, distance, smap,
-                      of1_drivers, driver_map, bucket=None) -> None:
+                      of1_drivers, driver_map, bucket: str | None = BUCKET) -> int:
     """M17 incremental: recompute whole affected sessions (so the lap slice
     and the change flag never restart mid-session) and overwrite just their
-    partitions.  ``bucket="auto"`` measures the largest (session, driver)
-    first (:func:`choose_bucket`)."""
+    partitions.  One plan at every size: samples are split by time.
+
+    Every input has a watermark of its own, taken before the rebuild and committed
+    after it, so late GPS, distance or lap rows are picked up once and a run without
+    news rebuilds nothing.  Returns the number of sessions rebuilt."""
     path = wh.path("marts", "lap_telemetry")
-    target = spark.read.parquet(path) if _exists(spark, path) else None
-    inputs = [car, location, distance] + ([boundaries] if "_ingested_at" in boundaries.columns else [])
-    todo = affected_sessions(inputs, target)
-    pick = lambda df: df.join(todo, "session_key", "left_semi")
-    if bucket == "auto":
-        bucket = choose_bucket(pick(car))
-    out = M.lap_telemetry(pick(car), pick(boundaries), pick(location), pick(distance), smap,
-                          of1_drivers, driver_map, bucket=bucket)
-    write_telemetry(out, path, mode="overwrite" if target is not None else "append")
+    inputs = {"car": car, "location": location, "distance": distance}
+    if "_ingested_at" in boundaries.columns:
+        inputs["laps"] = boundaries
+    state = Watermarks(spark, wh, "lap_telemetry")
+    new_marks = {k: df.agg(F.max("_ingested_at")).first()[0] for k, df in inputs.items()}
+    todo = affected_sessions(inputs, state.read())
+    keys = sorted(r[0] for r in todo.collect() if r[0] is not None)  # session keys, not samples
+    if keys:
+        def pick(df):  # prunes the (year, session) folders
+            return df.filter(F.col("session_key").isin(keys))
+        samples = [STG.one_per_sample(pick(df)) for df in (car, location, distance)]
+        out = M.lap_telemetry(samples[0], pick(boundaries), samples[1], samples[2], smap,
+                              of1_drivers, driver_map, bucket=bucket)
+        write_telemetry(out, path, mode="overwrite" if _exists(spark, path) else "append")
+    state.commit(new_marks)
+    return len(keys)
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, stg: dict[str, DataFrame], circuit_stats: DataFrame | None = None,
-              min_headshot_season: int = 2023, bucket="auto") -> None:
+              min_headshot_season: int = 2023, bucket: str | None = BUCKET) -> None:
     """Build every intermediate model, dimension, fact and mart from staged inputs."""
     smap = M.session_map(stg["sessions"], stg["races"])
     materialise(smap, wh.path("intermediate", "session_map"))
@@ -217,6 +247,7 @@ def ensure_columns(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> Da
 def _parsers():
     from racelake.sources import jolpica as J
     from racelake.sources import openf1 as O
+    from racelake.sources.distance import parse_distance
     return {
         # raw table: (landing folder, parser)
         "seasons": ("results/seasons", J.parse_seasons),
@@ -241,33 +272,70 @@ def _parsers():
         "race_control": ("timing/race_control", O.parse_race_control),
         "car_data": ("timing/car_data", O.parse_car_data),
         "location": ("timing/location", O.parse_location),
+        "car_telemetry": ("distance/samples", parse_distance),
+        "season_drivers": ("results/drivers", J.parse_season_drivers),
     }
 
 
+TELEMETRY_TABLES = ("car_data", "location", "car_telemetry")
+
+
+def new_pages(spark: SparkSession, src: str, wh: Warehouse, name: str) -> tuple[DataFrame, DataFrame] | None:
+    """(pages, files) of a landing folder on any store that no earlier run took in."""
+    try:
+        found = spark.read.text(src).select("value", F.col("_metadata.file_path").alias("file"))
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
+            return None
+        raise
+    seen = read_if_written(spark, wh.path("raw", f"_files/{name}"))
+    if seen is not None:
+        found = found.join(seen.select("file").distinct(), "file", "left_anti")
+    return found.select(F.col("value").alias("json"), "file"), found.select("file").distinct()
+
+
 def ingest_landing(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at: str | None = None,
                    tables: Sequence[str] | None = None) -> list[str]:
-    """Parse every landing folder present (one JSON page per line) and append
-    it to its raw table (staging keeps the latest ingest per key);
-    telemetry tables get the (year, session) layout and are replaced per
-    session.  Returns the raw tables written."""
+    """Parse the new files of every landing folder (one JSON page per line) and append
+    them to the raw tables; files taken in before are not read again.
+
+    The file list is written after the rows.  A run that fails in between repeats
+    those files, and staging keeps one row a key, so nothing is lost or doubled; pages
+    of one session may land in several files and runs.  Lines that are not JSON go to
+    ``raw/_rejects/<table>``.  Returns the raw tables that got rows."""
     done = []
     for name, (folder, parse) in _parsers().items():
         if tables is not None and name not in tables:
             continue
-        src = os.path.join(landing_root, folder)
-        if not os.path.exists(src):
+        got = new_pages(spark, f"{landing_root.rstrip('/')}/{folder}", wh, name)
+        if got is None or got[1].isEmpty():
             continue
-        raw = parse(spark.read.text(src).withColumnRenamed("value", "json"), ingested_at)
-        if name in ("car_data", "location"):
-            # whole sessions land together: re-ingesting one replaces its
-            # (year, session) partitions instead of appending duplicates
-            write_telemetry(raw, wh.path("raw", name), mode="overwrite")
+        rows, files = got
+        files = spark.createDataFrame(files.collect(), "file string")  # names, not data: fixed before the rows are read
+        rows = rows.join(files, "file", "left_semi")
+        bad = rows.filter((F.trim("json") != "") & F.try_parse_json("json").isNull())
+        raw = parse(rows.select("json"), ingested_at)
+        if name in TELEMETRY_TABLES:
+            write_telemetry(raw, wh.path("raw", name), mode="append")
         else:
             raw.write.mode("append").parquet(wh.path("raw", name))
+        bad.write.mode("append").parquet(wh.path("raw", f"_rejects/{name}"))
+        files.coalesce(1).write.mode("append").parquet(wh.path("raw", f"_files/{name}"))
         done.append(name)
     return done
 
 
+def rejects(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """table, file, n: lines that no parser could read."""
+    out = None
+    for name in _parsers():
+        df = read_if_written(spark, wh.path("raw", f"_rejects/{name}"))
+        if df is not None:
+            n = df.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "file", "n")
+            out = n if out is None else out.unionByName(n)
+    return out if out is not None else spark.createDataFrame([], "table string, file string, n long")
+
+
 def stage_all(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
     """P1 staging views over whatever raw tables exist (lazy)."""
     def raw(n):
@@ -332,6 +400,9 @@ def build_driver_map(spark: SparkSession, wh: Warehouse, updated_at: str | None
         return None
     nums = res.select("season", "round", "driver_id", "number")
     season_drivers = res.select("season", "driver_id").distinct()
+    listed = wh.read(spark, "raw", "season_drivers")
+    if listed is not None:  # practice-only drivers are on a season's list, not in its results
+        season_drivers = season_drivers.unionByName(listed.where("season is not null").select("season", "driver_id")).distinct()
     perm = (season_drivers.join(STG.stg_drivers(drv).select("driver_id", "permanent_number"), "driver_id")
             if drv is not None else season_drivers.withColumn("permanent_number", F.lit(None).cast("int")))
     ts = F.lit(updated_at).cast("timestamp") if updated_at else F.current_timestamp()

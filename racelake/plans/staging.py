@@ -113,6 +113,12 @@ def stg_location(raw: DataFrame) -> DataFrame:
                       "x", "y", "z", "_ingested_at")
 
 
+def one_per_sample(telemetry: DataFrame) -> DataFrame:
+    """One row a sample: pages of a session may land apart, or twice.  Applied to the
+    sessions being rebuilt, not to the whole feed."""
+    return _latest(telemetry, ["session_key", "driver_number", "date"])
+
+
 def stg_stints(raw: DataFrame) -> DataFrame:
     return _src(_latest(raw, ["session_key", "driver_number", "stint_number"]).drop("_raw_json"), "openf1")
 
@@ -141,16 +147,19 @@ def stg_of1_pit(raw: DataFrame) -> DataFrame:
 
 
 def stg_intervals(raw: DataFrame) -> DataFrame:
+    raw = _latest(raw, ["session_key", "driver_number", "date"])
     return _src(raw.select("session_key", "driver_number", _ts_s("date").alias("interval_date"),
                            "gap_to_leader", "interval", "_ingested_at"), "openf1")
 
 
 def stg_weather(raw: DataFrame) -> DataFrame:
+    raw = _latest(raw, ["session_key", "date"])
     return _src(raw.select("session_key", _ts_s("date").alias("weather_date"), "air_temperature",
                            "track_temperature", "humidity", "pressure", "wind_direction", "wind_speed", "rainfall",
                            "_ingested_at"), "openf1")
 
 
 def stg_race_control(raw: DataFrame) -> DataFrame:
+    raw = _latest(raw, ["session_key", "date", "driver_number", "lap_number", "category", "flag", "scope", "sector", "message"])
     return _src(raw.select("session_key", _ts_s("date").alias("message_date"), "driver_number", "lap_number",
                            "category", "flag", "scope", "sector", "message", "_ingested_at"), "openf1")

@@ -1,8 +1,8 @@
 """Session settings shared by jobs, tests and the bench.
 
 Everything here is a plain SparkSession config.  On a cluster the session is
-created by the platform; ``configure`` only fills settings that are unset so
-the cluster's own choices (shuffle partitions, checkpoint dir) win.
+created by the platform; ``configure`` sets what results depend on (REQUIRED)
+and leaves the cluster's own choices (shuffle partitions, checkpoint folder) alone.
 """
 
 from __future__ import annotations
@@ -75,14 +75,18 @@ _CKPT: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a scratch folder is created.
-    On a cluster the setting points at shared storage and is left alone.
+    Only a local master (tests) may run without it; a scratch folder is made then.
+    On a cluster such a folder would be invisible to the other machines, so an
+    unset ``spark.checkpoint.dir`` is an error there.
     """
     app = spark.sparkContext.applicationId
     if app in _CKPT:
         return _CKPT[app]
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="racelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

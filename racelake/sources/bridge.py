@@ -26,8 +26,10 @@ def driver_number_bridge(result_numbers: DataFrame, drivers: DataFrame) -> DataF
             .select("season", F.col("permanent_number").alias("openf1_driver_number"),
                     F.col("driver_id").alias("jolpica_driver_id"), F.lit(-1).alias("__rank")))
     fill = perm.join(raced.select("season", "openf1_driver_number"), ["season", "openf1_driver_number"], "left_anti")
-    # a free permanent number claimed by several drivers: keep one (highest id)
-    fill = latest_by_key(fill, ["season", "openf1_driver_number"], "jolpica_driver_id")
+    # a free permanent number claimed by several drivers goes to the first one listed
+    # (the feed lists drivers in order of their ids)
+    fill = (fill.groupBy("season", "openf1_driver_number").agg(F.min("jolpica_driver_id").alias("jolpica_driver_id"))
+            .withColumn("__rank", F.lit(-1)))
     both = raced.unionByName(fill)
     return (latest_by_key(both, ["season", "jolpica_driver_id"], "__rank", ["openf1_driver_number"])
             .select("jolpica_driver_id", "openf1_driver_number", "season"))

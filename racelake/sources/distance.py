@@ -5,6 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from racelake.functions.casts import parse_ts
+
+#: A landing page: the samples of one session and driver.
+PAGE = ("struct<session_key:int,driver_number:int,"
+        "samples:array<struct<Date:string,Distance:double>>>")
+
+
+def parse_distance(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
+    """Landing pages (column ``json``) -> raw distance rows."""
+    rows = (df.select(F.from_json("json", PAGE).alias("p")).select("p.session_key", "p.driver_number", F.explode("p.samples").alias("s"))
+            .select("session_key", "driver_number", parse_ts(F.col("s.Date"), "MILLISECOND").alias("Date"), F.col("s.Distance").alias("Distance")))
+    return clean_distance(rows, ingested_at=ingested_at)
+
 
 def clean_distance(df: DataFrame, date_col: str = "Date", dist_col: str = "Distance",
                    session_key=None, driver_number=None, ingested_at: str | None = None) -> DataFrame:

@@ -66,6 +66,13 @@ def parse_drivers(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
     return stamp(out, ingested_at, F.col("j")).drop("j")
 
 
+def parse_season_drivers(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
+    """Drivers listed for a season: pages of one season's list name it."""
+    page = pages(df, S.DRIVERS_PAGE).select(F.col("p.MRData.DriverTable").alias("t"))
+    out = page.select(num(F.col("t.season"), "int").alias("season"), F.explode("t.Drivers.driverId").alias("driver_id"))
+    return stamp(out.where("season is not null"), ingested_at)
+
+
 def parse_races(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """Season calendar."""
     r = _races(df)

@@ -55,7 +55,7 @@ STANDINGS_LIST = st(("season", S), ("round", S), ("DriverStandings", arr(DRIVER_
 SEASONS_PAGE = envelope("SeasonTable", "Seasons", SEASON)
 CIRCUITS_PAGE = envelope("CircuitTable", "Circuits", CIRCUIT)
 CONSTRUCTORS_PAGE = envelope("ConstructorTable", "Constructors", CONSTRUCTOR)
-DRIVERS_PAGE = envelope("DriverTable", "Drivers", DRIVER)
+DRIVERS_PAGE = envelope("DriverTable", "Drivers", DRIVER, extra=(("season", S),))
 RACES_PAGE = envelope("RaceTable", "Races", RACE, extra=(("season", S),))
 STANDINGS_PAGE = envelope("StandingsTable", "StandingsLists", STANDINGS_LIST, extra=(("season", S),))
 

@@ -62,7 +62,7 @@ def stream_telemetry(
     smap: DataFrame,
     of1_drivers: DataFrame,
     driver_map: DataFrame,
-    bucket=None,
+    bucket: str | None = "15 minutes",
     max_files_per_trigger: int | None = None,
 ) -> None:
     """Car-sample pages -> raw car table (availableNow stream); after each
@@ -75,9 +75,11 @@ def stream_telemetry(
     raw = warehouse.path("raw", "car_data")
 
     def rebuild(_batch: DataFrame, _batch_id: int) -> None:
+        # the watermark filter skips files without news by their statistics, and
+        # only the folders of sessions with news are read in full
         car = stg_car_data(spark.read.parquet(raw))
         rebuild_telemetry(spark, warehouse, car, boundaries, location, distance, smap, of1_drivers,
                           driver_map, bucket=bucket)
 
     run_available_now(spark, landing_dir, parse_car_data, raw, checkpoint_dir,
-                      on_batch=rebuild, max_files_per_trigger=max_files_per_trigger)
+                      partition_by=["session_key"], on_batch=rebuild, max_files_per_trigger=max_files_per_trigger)

@@ -206,10 +206,66 @@ def test_landing_to_staging(spark):
     assert any(d.startswith("year=2024") for d in os.listdir(wh.path("raw", "car_data")))
 
 
-def test_choose_bucket(spark):
-    car = spark.createDataFrame([(1, 1)] * 5 + [(1, 2)] * 2, "session_key int, driver_number int")
-    assert P.choose_bucket(car, max_rows_per_key=10) is None
-    assert P.choose_bucket(car, max_rows_per_key=3) == "15 minutes"
+def _page(root, folder, name, obj):
+    os.makedirs(f"{root}/{folder}", exist_ok=True)
+    with open(f"{root}/{folder}/{name}", "w") as f:
+        f.write((obj if isinstance(obj, str) else json.dumps(obj)) + "\n")
+
+
+def test_split_sessions_new_files_and_rejects(spark):
+    """Pages of one session in two files and runs, a page twice, a broken line, and a
+    file:// root: nothing is lost, doubled or silently dropped."""
+    root = tempfile.mkdtemp(prefix="racelake-split-")
+    car = lambda d, n: [{"session_key": 9, "driver_number": d, "date": f"2024-03-02T15:00:0{n}.000Z", "speed": 200 + d}]
+    weather = [{"session_key": 9, "date": "2024-03-02T15:00:00+00:00", "air_temperature": 20.5}]
+    _page(root, "timing/car_data", "a.json", car(1, 1))
+    _page(root, "timing/weather", "a.json", weather)
+    wh = P.Warehouse(f"{root}/wh")
+    assert sorted(P.ingest_landing(spark, "file://" + root, wh, "2024-03-04 06:00:00")) == ["car_data", "weather"]
+    assert P.ingest_landing(spark, "file://" + root, wh, "2024-03-05 06:00:00") == []
+    _page(root, "timing/car_data", "b.json", car(2, 2))
+    _page(root, "timing/car_data", "c.json", "not json {")
+    _page(root, "timing/weather", "b.json", weather)          # fetched again
+    assert sorted(P.ingest_landing(spark, "file://" + root, wh, "2024-03-06 06:00:00")) == ["car_data", "weather"]
+    stg = P.stage_all(spark, wh)
+    assert sorted(r.driver_number for r in stg["car_data"].collect()) == [1, 2]
+    assert stg["weather"].count() == 1
+    bad = P.rejects(spark, wh).collect()
+    assert [(r.table, r.file.split("/")[-1], r.n) for r in bad] == [("car_data", "c.json", 1)]
+
+
+def test_other_errors_are_not_an_absent_table(spark, tmp_path):
+    assert P.read_if_written(spark, str(tmp_path / "none")) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not a parquet file")
+    with pytest.raises(Exception):  # noqa: B017
+        P.read_if_written(spark, str(tmp_path / "broken"))
+
+
+def test_watermarks_converge(spark):
+    """Late GPS marks its session once; a run without news rebuilds nothing."""
+    wh = P.Warehouse(tempfile.mkdtemp(prefix="racelake-wm-"))
+    at = lambda s: dt.datetime(2024, 3, 2, 15, 0, s)
+    day = lambda d: dt.datetime(2024, 4, d)
+    car = spark.createDataFrame([(k, 1, at(5), 100, 1, 1, 1, 0, 0, day(1)) for k in (8, 9)],
+                                "session_key int, driver_number int, date timestamp, speed int, rpm int, n_gear int, throttle int, "
+                                "brake int, drs int, _ingested_at timestamp")
+    laps = spark.createDataFrame([(k, 1, 1, at(0), 0) for k in (8, 9)],
+                                 "session_key int, driver_number int, lap_number int, lap_start timestamp, is_pit_out_lap int")
+    gps = lambda rows_: spark.createDataFrame(rows_, "session_key int, driver_number int, date timestamp, x int, y int, z int, _ingested_at timestamp")
+    dist = spark.createDataFrame([(9, 1, at(1), 7.5, day(1))], "session_key int, driver_number int, date timestamp, distance_m double, _ingested_at timestamp")
+    smap = spark.createDataFrame([(8, 2024, 1, "Race"), (9, 2024, 2, "Race")], "session_key int, season int, round int, session_type string")
+    drivers = spark.createDataFrame([(9, 1, "AAA", "T", "ffffff")], "session_key int, driver_number int, name_acronym string, team_name string, team_colour string")
+    numbers = spark.createDataFrame([("max", 1, 2024)], "jolpica_driver_id string, openf1_driver_number int, season int")
+    run = lambda loc: P.rebuild_telemetry(spark, wh, car, M.lap_boundaries(laps), loc, dist, smap, drivers, numbers)
+    first = [(9, 1, at(1), 1, 1, 1, day(1))]
+    assert run(gps(first)) == 2
+    assert run(gps(first)) == 0
+    late = [*first, (8, 1, at(2), 4, 4, 4, day(3))]
+    assert run(gps(late)) == 1
+    assert run(gps(late)) == 0
+    got = {r.session_key: (r.x, r.distance_m) for r in spark.read.parquet(wh.path("marts", "lap_telemetry")).collect()}
+    assert got == {8: (4, None), 9: (1, 7.5)}
 
 
 def test_staging_timing_views(spark):
@@ -222,8 +278,7 @@ def test_staging_timing_views(spark):
 
 
 def test_reingest_is_idempotent(spark):
-    """Landing the same pages twice: staging still has one row per key and
-    telemetry partitions are replaced, not doubled."""
+    """Ingesting the same landing files twice: the second run finds nothing new."""
     root = tempfile.mkdtemp(prefix="racelake-re-")
     res = {"MRData": {"total": "1", "RaceTable": {"season": "2024", "Races": [{
         "season": "2024", "round": "1", "Results": [{"position": "1", "grid": "1", "Driver": {"driverId": "max"},
@@ -237,7 +292,7 @@ def test_reingest_is_idempotent(spark):
     P.ingest_landing(spark, root, wh, "2024-03-04 06:00:00")
     P.ingest_landing(spark, root, wh, "2024-03-05 06:00:00")
     stg = P.stage_all(spark, wh)
-    assert stg["results"].count() == 1 and spark.read.parquet(wh.path("raw", "results")).count() == 2
+    assert stg["results"].count() == 1 and spark.read.parquet(wh.path("raw", "results")).count() == 1  # no new file
     assert stg["car_data"].count() == 1
 
 
