@@ -165,7 +165,7 @@ def _disclosing(terms: DataFrame, occurrences: DataFrame, hits: DataFrame) -> Da
     df_e = occurrences.select("rid", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
     words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\P{L}+"))
     counted = hits.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
-    df_t = counted.join(wanted, "term", "left_semi")
+    df_t = counted.join(wanted, "term")  # an inner join: a semi join would be moved below the counting
     # N as a one-row scalar
     total = hits.count()
     n = F.lit(float(total))
