@@ -141,7 +141,10 @@ def quality_verdicts(documents: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that pass, with their own columns unchanged."""
     _, kept, _ = _verdict("__q_")
-    return measured(documents).where(kept).select(*documents.columns)
+    # a filter isn't moved below a projection that numbers rows; moved there, the
+    # optimizer would repeat all metrics inside the condition
+    judged = measured(documents).withColumns({"__q_kept": kept, "__q_row": F.monotonically_increasing_id()})
+    return judged.where(F.col("__q_kept") & (F.col("__q_row") >= 0)).select(*documents.columns)
 
 
 def oracle() -> str:
