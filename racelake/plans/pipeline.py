@@ -412,8 +412,9 @@ def build_driver_map(spark: SparkSession, wh: Warehouse, updated_at: str | None
 
 
 def run_all(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at: str | None = None,
-            circuit_stats: DataFrame | None = None) -> None:
-    """Landing pages -> raw tables -> bridge -> staging -> marts."""
+            circuit_stats: DataFrame | None = None, check: bool = True) -> None:
+    """Landing pages -> raw tables -> bridge -> staging -> marts -> data tests (the
+    run fails with the failing rows named)."""
     from racelake.operators.lookups import circuit_stats as constants
     ingest_landing(spark, landing_root, wh, ingested_at)
     build_driver_map(spark, wh, ingested_at)
@@ -421,3 +422,8 @@ def run_all(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at:
     stg.setdefault("distances", spark.createDataFrame(
         [], "session_key int, driver_number int, date timestamp, distance_m double, _ingested_at timestamp"))
     run_marts(spark, wh, stg, circuit_stats if circuit_stats is not None else constants(spark))
+    if check:
+        from racelake.plans.data_tests import assert_data_tests
+        tables = {n: wh.read(spark, "marts", n) for n in MART_TABLES["marts"]}
+        tables["sessions"] = stg.get("sessions")
+        assert_data_tests(spark, {n: df for n, df in tables.items() if df is not None})

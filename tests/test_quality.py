@@ -26,3 +26,23 @@ def test_sample_rate(spark):
     df = spark.createDataFrame(fast + slow + short, "session_key int, driver_number int, date timestamp")
     got = Q.sample_rate_outliers(df, ["session_key", "driver_number"], "date").collect()
     assert [r.driver_number for r in got] == [2]
+
+
+def test_data_test_suite_names_the_failing_rows(spark):
+    import pytest
+
+    from racelake.plans import data_tests as DT
+    good = {"dim_drivers": spark.createDataFrame([("a",), ("b",)], "driver_id string"),
+            "dim_constructors": spark.createDataFrame([("x",)], "constructor_id string"),
+            "fact_race_results": spark.createDataFrame([("a", "x", 2024, 1)], "jolpica_driver_id string, constructor_id string, season int, round int"),
+            "sessions": spark.createDataFrame([("Race",)], "session_type string")}
+    assert DT.assert_data_tests(spark, good) == 11
+    bad = {**good, "dim_drivers": spark.createDataFrame([("a",), ("a",), (None,)], "driver_id string"),
+           "fact_race_results": spark.createDataFrame([("q", "x", 2024, None)], good["fact_race_results"].schema)}
+    with pytest.raises(ValueError) as e:
+        DT.assert_data_tests(spark, bad)
+    text = str(e.value)
+    for part in ("not_null:dim_drivers.driver_id: 1 rows", "unique:dim_drivers.driver_id: 1 rows", '"driver_id":"a"',
+                 "relationship:fact_race_results.jolpica_driver_id: 1 rows", '"jolpica_driver_id":"q"', "not_null:fact_race_results.round"):
+        assert part in text
+    assert DT.run_data_tests(spark, {}).count() == 0
