@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, lang_id, line_dedup, near_dup, packing, pii, quality, token_counts, token_output, topk
+from . import bpe_codec, lang_id, line_dedup, near_dup, oracles, packing, pii, quality, token_counts, token_output, topk
 from .common import fresh_path, read_table, ship
 from .tokenizing import vocabulary
 
@@ -54,7 +54,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       vocabularies, fresh_path(spark, "rollup"))
 
 
-@query("op5_near_dup")
+@query("op5_near_dup", oracles.NEAR_DUP)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 4-word shingles, similarity 0.8."""
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
@@ -72,7 +72,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(read_table(spark, sf_dir, "documents"))
 
 
-@query("op8_topk")
+@query("op8_topk", oracles.TOP_K)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest inner products of every 50th vector, exactly."""
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
@@ -84,7 +84,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
-@query("op10_line_dedup")
+@query("op10_line_dedup", oracles.LINE_DEDUP)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 or more code points in three or more documents, kept in one."""
     return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
