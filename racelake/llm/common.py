@@ -88,6 +88,12 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list:
             F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull()).alias("__tx")]
 
 
+def release() -> None:
+    """Give back what a finished task's arrays have left in Arrow's memory pool: a
+    worker process lives on and serves other operators."""
+    pa.default_memory_pool().release_unused()
+
+
 def sub_batches(batch: pa.RecordBatch, column: int, limit: int = SUB_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into slices of about ``limit`` bytes of text.
 

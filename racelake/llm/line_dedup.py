@@ -27,13 +27,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, sub_batches, written
+from .common import release, row_key, sub_batches, written
 
 WHITE = b" \t\n\r\x0b\x0c"
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -73,6 +73,7 @@ def _hash_lines(min_chars: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(docs, pa.int64()),
                      pa.array(txs, pa.int64()), pa.array(at, pa.int32())], names=["h1", "h2", "doc", "tx", "pos"])
+        release()
     return run
 
 
@@ -197,12 +198,19 @@ def line_dedup_digest(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs
 
 def remove_repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``documents`` with the repeated lines gone from ``text``; same columns, same rows."""
-    kept = F.pandas_udf(_kept_series, "string")
-    joined = _with_bitmaps(documents, min_chars, min_docs)
-    text = F.when(F.col("__keep").isNull(), F.col("text")).otherwise(kept("text", "__keep"))
-    return joined.withColumn("text", text).select(*documents.columns)
+    names = documents.columns
+    at = names.index("text")
 
-
-def _kept_series(text: pd.Series, keep: pd.Series) -> pd.Series:
-    return pd.Series([t if k is None or t is None else kept_text(t, bytes(k))[0]
-                      for t, k in zip(text, keep, strict=True)], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in sub_batches(batch, at, 4 << 20):
+                text, keep = piece.column(at), piece.column(len(names))
+                cut = pc.and_(text.is_valid(), keep.is_valid())
+                kept = [kept_text(t, k)[0] for t, k in zip(text.filter(cut).to_pylist(), keep.filter(cut).to_pylist(), strict=True)]
+                columns = piece.columns[:len(names)]
+                columns[at] = pc.replace_with_mask(text, cut, pa.array(kept, text.type))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        release()
+
+    joined = _with_bitmaps(documents, min_chars, min_docs).select(*names, "__keep")
+    return joined.mapInArrow(run, documents.schema)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, sub_batches, written
+from .common import release, row_key, sub_batches, written
 from .components import components
 
 WORDS, THRESHOLD = 5, 80
@@ -50,7 +50,8 @@ LEAST_ESTIMATE = 0.5
 #: Lists up to this size meet in full; longer ones meet pivots.
 SHORT_LIST = 12
 
-_WORD_HASHES = 500_000
+#: Words whose hash a task remembers.
+_WORD_HASHES = 300_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -107,6 +108,8 @@ def _sketch(words: int):
                      pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                     names=["doc", "tx", "n", "s1", "s2", "sketch"])
+        _hashes.clear()
+        release()
     return run
 
 
@@ -119,6 +122,8 @@ def _full_sets(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))],
                     names=["node", "hashes"])
+        _hashes.clear()
+        release()
     return run
 
 

@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sub_batches
+from .common import release, sub_batches
 from .tokenizing import encoder
 
 LENGTH = 4096
 #: Ids packed together; bounds a task's memory (4 bytes an id) and the padding.
 WINDOW_IDS = 1 << 22
+#: Words whose ids a worker remembers, and text bytes encoded at once.
+WORDS, TEXT_BYTES = 300_000, 6 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -86,7 +88,7 @@ def assign(sizes: np.ndarray, length: int = LENGTH, linear: float = LINEAR,
 def pack_function(vocab: str, end_id: int, length: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode, base = encoder(vocab).encode_many, TaskContext.get().partitionId() << 32
+        encode, base = encoder(vocab, WORDS).encode_many, TaskContext.get().partitionId() << 32
         docs, ids, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -105,7 +107,7 @@ def pack_function(vocab: str, end_id: int, length: int, window: int):
             return out
 
         for batch in batches:
-            for piece in sub_batches(batch, 1):
+            for piece in sub_batches(batch, 1, TEXT_BYTES):
                 flat, counts = encode(piece.column(1), end_id)
                 data, at = flat.tobytes(), 0
                 for doc, n in zip(piece.column(0).to_pylist(), counts.tolist(), strict=True):
@@ -117,6 +119,7 @@ def pack_function(vocab: str, end_id: int, length: int, window: int):
                         yield flush()
         if docs:
             yield flush()
+        release()
     return run
 
 
