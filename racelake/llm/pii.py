@@ -13,13 +13,13 @@ corpus, with N documents,
     information of an entity   IC(e)     = log2(N / df(e))
     what a term tells of it    PMI(e; t) = log2(co(e, t) * N / (df(e) * df(t)))
 
-where co counts documents with the term inside the entity's window (same line,
-``WINDOW`` code points to each side) and df(t) counts documents with the term
+where co counts documents with the term inside the entity's window (``WINDOW``
+code points to each side, across lines and other matches) and df(t) counts documents with the term
 anywhere.  PMI / IC is 1 if the term occurs with that entity alone.  Terms with
 co >= ``SUPPORT`` and a share of at least ``REMOVE`` are removed, those of at
 least ``GENERALISE`` become a placeholder, in windows of that entity only.
-Added spans (kind ``term``) never overlap base spans: a term is a white-space
-token of letters.
+A term is a run of three or more letters outside the base spans, so added
+spans (kind ``term``) never overlap those.
 
 Null text is empty: no spans.  Every row of repeated rows has its own result.
 Null doc_ids stay.  An empty table gives no rows.  Other columns pass through
@@ -48,8 +48,8 @@ PATTERNS = {
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IP_OK = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
-_TERM = r"^(\p{L}{3,})[.,;:!?]?$"
-_TOKENS = r"[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+"
+_RUNS = r"\p{L}+|\P{L}+"
+_TERM = r"^\p{L}{3}"
 
 
 def _digits(m: Column) -> Column:
@@ -84,39 +84,22 @@ def _entity(kind: str, m: Column) -> Column:
     return F.concat(F.lit(kind + ":"), value)
 
 
-def _before(gap: Column) -> Column:
-    """The end of a gap: same line, whole tokens, at most WINDOW code points."""
-    near = F.right(gap, F.lit(WINDOW))
-    line = F.regexp_extract(near, r"[^\n]*$", 0)
-    cut = (F.length(gap) > WINDOW) & (F.length(line) == WINDOW)
-    return F.when(cut, F.regexp_replace(line, r"^[^\x20\x09-\x0D]+", "")).otherwise(line)
-
-
-def _after(gap: Column) -> Column:
-    near = F.left(gap, F.lit(WINDOW))
-    line = F.regexp_extract(near, r"^[^\n]*", 0)
-    cut = (F.length(gap) > WINDOW) & (F.length(line) == WINDOW)
-    return F.when(cut, F.regexp_replace(line, r"[^\x20\x09-\x0D]+$", "")).otherwise(line)
-
-
-_HITS = ("array<struct<kind:int,place:int,gap:int,size:int,ok:boolean,"
-         "entity:string,before:string,after:string>>")
+_HITS = "array<struct<kind:int,place:int,gap:int,size:int,ok:boolean,entity:string>>"
 
 
 def _hit(number: int, kind: str):
     gaps = F.col(f"__gaps_{kind}")
 
     def make(m: Column, i: Column) -> Column:
-        ok, gap, rest = _valid(kind, m), F.get(gaps, i), F.get(gaps, i + 1)
-        return F.struct(F.lit(number).alias("kind"), i.alias("place"), F.length(gap).alias("gap"),
-                        F.length(m).alias("size"), ok.alias("ok"), F.when(ok, _entity(kind, m)).alias("entity"),
-                        F.when(ok, _before(gap)).alias("before"), F.when(ok, _after(rest)).alias("after"))
+        ok = _valid(kind, m)
+        return F.struct(F.lit(number).alias("kind"), i.alias("place"), F.length(F.get(gaps, i)).alias("gap"),
+                        F.length(m).alias("size"), ok.alias("ok"), F.when(ok, _entity(kind, m)).alias("entity"))
     return make
 
 
 def _hits(documents: DataFrame) -> DataFrame:
     """``documents`` plus __rid (row number) and __hits, all matches of each kind:
-    (kind, place, gap before, length, valid, entity, text before, text after)."""
+    (kind, place, gap before, length, valid, entity)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.withColumns({"__rid": F.monotonically_increasing_id(), "__text": text})
     none = F.lit(None).cast("array<string>")
@@ -132,28 +115,54 @@ def _hits(documents: DataFrame) -> DataFrame:
 
 
 def _occurrences(hits: DataFrame) -> DataFrame:
-    """Valid matches with offsets: (rid, kind, start, stop, entity, before, after)."""
+    """Valid matches with offsets: (rid, kind, start, stop, entity)."""
     each = hits.select(F.col("__rid").alias("rid"), F.explode("__hits").alias("h")).select("rid", "h.*")
     so_far = Window.partitionBy("rid", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     stop = F.sum(F.col("gap").cast("long") + F.col("size")).over(so_far)
     return (each.withColumn("stop", stop).where("ok")
-            .select("rid", "kind", (F.col("stop") - F.col("size")).alias("start"), "stop", "entity", "before", "after"))
+            .select("rid", "kind", (F.col("stop") - F.col("size")).alias("start"), "stop", "entity"))
 
 
-def _window_terms(occurrences: DataFrame) -> DataFrame:
-    """(rid, entity, term, start, stop) of the letter tokens around each occurrence."""
-    sides = occurrences.select("rid", "entity", F.explode(F.array(
-        F.struct((F.col("start") - F.length("before")).alias("at"), F.col("before").alias("part")),
-        F.struct(F.col("stop").alias("at"), F.col("after").alias("part")))).alias("x"))
-    cut = (sides.where(F.length("x.part") > 0)
-           .select("rid", "entity", F.col("x.at").alias("at"), F.regexp_extract_all("x.part", F.lit(_TOKENS), F.lit(0)).alias("tokens")))
-    # at most WINDOW tokens: summing the lengths before each is cheap
-    placed = F.transform("tokens", lambda t, i: F.struct(
-        F.regexp_extract(t, _TERM, 1).alias("word"),
-        F.aggregate(F.slice("tokens", F.lit(1), i), F.lit(0), lambda s, y: s + F.length(y)).alias("off")))
-    one = cut.select("rid", "entity", "at", F.explode(placed).alias("p")).where(F.col("p.word") != "")
-    start = F.col("at") + F.col("p.off")
-    return one.select("rid", "entity", F.lower("p.word").alias("term"), start.alias("start"), (start + F.length("p.word")).alias("stop"))
+def _merged(spans: DataFrame, *more: Column) -> DataFrame:
+    """(rid, start, stop, *more): overlapping spans of different kinds become one."""
+    order = Window.partitionBy("rid").orderBy("start", "kind", "stop")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= before, F.lit(True)).cast("int")
+    return (spans.withColumn("opens", opens)
+            .withColumn("g", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("rid", "g").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), *more).drop("g"))
+
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """A text with each of its spans (start, stop, label) replaced by the label."""
+    def piece(x, i):
+        since = F.coalesce(F.get(spans, i - 1)["stop"], F.lit(0))
+        return F.concat(F.substring(text, (since + 1).cast("int"), (x["start"] - since).cast("int")), x["label"])
+    tail = F.substring(text, (F.element_at(spans, -1)["stop"] + 1).cast("int"), F.length(text))
+    return F.concat(F.array_join(F.transform(spans, piece), ""), tail)
+
+
+def _terms(hits: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """(rid, term, start, stop) of the letter runs outside base spans, of the texts
+    that hold any."""
+    blank = F.expr("repeat(' ', cast(stop - start as int))").alias("label")
+    lists = (_merged(occurrences).groupBy("rid")
+             .agg(F.sort_array(F.collect_list(F.struct("start", "stop", blank))).alias("spans")))
+    texts = hits.where(F.exists("__hits", lambda h: h["ok"])).select(F.col("__rid").alias("rid"), "text").join(lists, "rid")
+    runs = texts.select("rid", F.regexp_extract_all(_replaced(F.col("text"), F.col("spans")), F.lit(_RUNS), F.lit(0)).alias("runs"))
+    each = runs.select("rid", F.posexplode("runs").alias("i", "run"))
+    so_far = Window.partitionBy("rid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.withColumn("stop", F.sum(F.length("run").cast("long")).over(so_far)).where(F.col("run").rlike(_TERM))
+    return placed.select("rid", F.lower("run").alias("term"), (F.col("stop") - F.length("run")).alias("start"), "stop")
+
+
+def _near_terms(terms: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """(rid, entity, term, start, stop) of the terms within WINDOW of an occurrence."""
+    lo, hi = F.col("start") - WINDOW, F.col("stop") + WINDOW
+    cells = F.sequence(F.floor(lo / WINDOW), F.floor(hi / WINDOW))
+    around = occurrences.select("rid", "entity", lo.alias("lo"), hi.alias("hi"), F.explode(cells).alias("cell"))
+    met = terms.withColumn("cell", F.floor(F.col("start") / WINDOW)).join(around, ["rid", "cell"])
+    return met.where("start >= lo and stop <= hi").select("rid", "entity", "term", "start", "stop").distinct()
 
 
 def _disclosing(terms: DataFrame, occurrences: DataFrame, hits: DataFrame) -> DataFrame:
@@ -176,12 +185,13 @@ def _disclosing(terms: DataFrame, occurrences: DataFrame, hits: DataFrame) -> Da
     return facts.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
-def find_spans(hits: DataFrame, documents: DataFrame) -> DataFrame:
+def find_spans(hits: DataFrame) -> DataFrame:
     """(rid, kind, start, stop, removed): base spans and, as the last kind, terms."""
     occurrences = written(_occurrences(hits), "pii-occurrences")
-    terms = written(_window_terms(occurrences), "pii-terms")
-    pairs = _disclosing(terms, occurrences, documents)
-    added = (terms.join(pairs, ["entity", "term"]).groupBy("rid", "start", "stop").agg(F.max("share").alias("share"))
+    terms = written(_terms(hits, occurrences), "pii-terms")
+    near = written(_near_terms(terms, occurrences), "pii-near")
+    pairs = _disclosing(near, occurrences, hits)
+    added = (near.join(pairs, ["entity", "term"]).groupBy("rid", "start", "stop").agg(F.max("share").alias("share"))
              .select("rid", F.lit(len(PATTERNS)).alias("kind"), "start", "stop", (F.col("share") >= REMOVE).alias("removed")))
     base = occurrences.select("rid", "kind", "start", "stop", F.lit(False).alias("removed"))
     return base.unionByName(added)
@@ -190,8 +200,8 @@ def find_spans(hits: DataFrame, documents: DataFrame) -> DataFrame:
 def pii_spans(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = written(_hits(rows).drop("text"), "pii-hits")
-    spans = find_spans(hits, rows).withColumn("s", F.struct("kind", "start", "stop")).select("rid", F.lit(None).cast("long").alias("doc_id"), "s")
+    hits = written(_hits(rows), "pii-hits")
+    spans = find_spans(hits).withColumn("s", F.struct("kind", "start", "stop")).select("rid", F.lit(None).cast("long").alias("doc_id"), "s")
     all_rows = hits.select(F.col("__rid").alias("rid"), "doc_id", F.lit(None).cast(spans.schema["s"].dataType).alias("s"))
     grouped = (all_rows.unionByName(spans).groupBy("rid")
                .agg(F.max("doc_id").alias("doc_id"), F.sort_array(F.collect_list("s")).alias("all")))
@@ -211,25 +221,13 @@ def sanitise(documents: DataFrame) -> DataFrame:
     """``documents`` with base spans as [KIND], removed terms gone and generalised
     ones as [TERM] in ``text``; same columns, same rows."""
     hits = written(_hits(documents), "pii-hits")
-    spans = find_spans(hits, hits)
+    spans = find_spans(hits)
     label = F.when(F.col("removed"), "").otherwise(
         F.concat(F.lit("["), F.upper(F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))), F.lit("]")))
-    # overlapping spans of different kinds become one, under the first one's label
-    order = Window.partitionBy("rid").orderBy("start", "kind", "stop")
-    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.coalesce(F.col("start") >= before, F.lit(True)).cast("int")
-    merged = (spans.withColumn("label", label).withColumn("opens", opens)
-              .withColumn("g", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy("rid", "g").agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
-                                       F.min_by("label", F.struct("start", "kind", "stop")).alias("label")))
+    # overlapping spans stand under the first one's label
+    merged = _merged(spans.withColumn("label", label), F.min_by("label", F.struct("start", "kind", "stop")).alias("label"))
     lists = (merged.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "label"))).alias("__spans"))
              .withColumnRenamed("rid", "__rid"))
     joined = hits.drop("__hits").join(lists, "__rid", "left")
-
-    def piece(x, i):
-        since = F.coalesce(F.get(F.col("__spans"), i - 1)["stop"], F.lit(0))
-        return F.concat(F.substring(F.col("text"), (since + 1).cast("int"), (x["start"] - since).cast("int")), x["label"])
-    tail = F.substring(F.col("text"), (F.element_at("__spans", -1)["stop"] + 1).cast("int"), F.length("text"))
-    rebuilt = F.concat(F.array_join(F.transform("__spans", piece), ""), tail)
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(rebuilt)
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(_replaced(F.col("text"), F.col("__spans")))
     return joined.withColumn("text", text).select(*documents.columns)

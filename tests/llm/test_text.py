@@ -292,6 +292,28 @@ def test_disclosing_terms(spark):
     assert clean[400].startswith("Zeppelin") and clean[400].endswith("[EMAIL]")
 
 
+def term_words(rows, got):
+    texts = dict(rows)
+    return {r.doc_id: [texts[r.doc_id][int(a):int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k == "term"]
+            for r in got}
+
+
+def test_window_goes_on_past_other_matches(spark):
+    rows = [(i, "invoice card text and plain words 17") for i in range(200)]
+    rows += [(300 + i, "Meier, invoice 17, card 4111 1111 1111 1111") for i in range(5)]
+    rows += [(400 + i, "a@b.cc, d@e.ff Johann") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = term_words(rows, pii.pii_spans(docs).collect())
+    assert all(found[300 + i] == ["Meier"] and found[400 + i] == ["Johann"] for i in range(5))
+    # a valid match between the address and the name
+    rows = rows[:200] + [(500 + i, f"a@b.cc, x{i}@e.ff Johann") for i in range(5)] + [(600 + i, f"x{i}@e.ff and plain") for i in range(5)]
+    near = pii._near_terms
+    hits = pii.written(pii._hits(spark.createDataFrame(rows[200:205], "doc_id long, text string")), "t")
+    occurrences = pii._occurrences(hits)
+    pairs = {(r.entity, r.term) for r in near(pii._terms(hits, occurrences), occurrences).collect()}
+    assert ("email:a@b.cc", "johann") in pairs
+
+
 def test_sanitise_keeps_rows_and_columns(spark):
     docs = cases.documents(spark)
     clean = pii.sanitise(docs)
