@@ -11,15 +11,17 @@ Terms: each base span protects an entity (its normalised value).  Over the
 corpus, with N documents,
 
     information of an entity   IC(e)     = log2(N / df(e))
-    what a term tells of it    PMI(e; t) = log2(co(e, t) * N / (df(e) * df(t)))
-
-where co counts documents with the term inside the entity's window (``WINDOW``
-code points to each side, across lines and other matches) and df(t) counts documents with the term
-anywhere.  PMI / IC is 1 if the term occurs with that entity alone.  Terms with
-co >= ``SUPPORT`` and a share of at least ``REMOVE`` are removed, those of at
-least ``GENERALISE`` become a placeholder, in windows of that entity only.
-A term is a run of three or more letters outside the base spans, so added
-spans (kind ``term``) never overlap those.
+    what a term tells of it    PMI(e; t) = log2(p(e | t) * N / df(e))
+
+where p(e | t) = (co(e, t) + ``PRIOR`` * df(e) / N) / (df(t) + ``PRIOR``), the share
+of the term's documents that hold the entity, drawn to the entity's own share as
+by ``PRIOR`` more documents: few documents count for less, and none are too few.
+co counts documents with both, wherever they stand, and df(t) documents with the
+term anywhere.  PMI / IC nears 1 if the term occurs with that entity alone.
+Terms with a share of at least ``REMOVE`` are removed, those of at least
+``GENERALISE`` become a placeholder, within ``WINDOW`` code points to each side of
+that entity (across lines and other matches).  A term is a run of three or more
+letters outside the base spans, so added spans (kind ``term``) never overlap those.
 
 Null text is empty: no spans.  Every row of repeated rows has its own result.
 Null doc_ids stay.  An empty table gives no rows.  Other columns pass through
@@ -34,7 +36,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW, SUPPORT, REMOVE, GENERALISE = 48, 3, 0.9, 0.6
+WINDOW, PRIOR, REMOVE, GENERALISE = 48, 5, 0.9, 0.6
+#: Entities times terms of a text up to which all its pairs are counted at once.
+_PAIRS = 200_000
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 #: Patterns, and a cheap test that every text with a match passes.  Each agrees
@@ -165,32 +169,58 @@ def _near_terms(terms: DataFrame, occurrences: DataFrame) -> DataFrame:
     return met.where("start >= lo and stop <= hi").select("rid", "entity", "term", "start", "stop").distinct()
 
 
-def _disclosing(terms: DataFrame, occurrences: DataFrame, hits: DataFrame) -> DataFrame:
+def _holders(occurrences: DataFrame) -> DataFrame:
+    return occurrences.select("rid", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
+
+
+def _together(near: DataFrame, terms: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """(entity, term, co): the documents with both, of the pairs that are near each
+    other anywhere: one for the entities of one document.  For others all pairs of a
+    text are counted at once, before the shuffle; a text of very many gives the
+    wanted ones only."""
+    df_e = _holders(occurrences)
+    wanted = near.select("entity", "term").distinct()
+    alone = wanted.join(df_e.where("df_e = 1"), "entity").select("entity", "term", F.lit(1).cast("long").alias("co"))
+    held = occurrences.join(df_e.where("df_e > 1"), "entity").groupBy("rid").agg(F.collect_set("entity").alias("es"))
+    words = terms.join(held.select("rid"), "rid", "left_semi").groupBy("rid").agg(F.collect_set("term").alias("ts"))
+    texts = written(held.join(words, "rid"), "pii-texts")
+    many = F.size("es").cast("long") * F.size("ts") > _PAIRS
+    few = texts.where(~many).select(F.explode("es").alias("entity"), "ts").select("entity", F.explode("ts").alias("term"))
+    few = few.groupBy("entity", "term").agg(F.count("*").alias("co"))
+    few = few.join(wanted, ["entity", "term"])
+    large = texts.where(many)
+    pairs = large.select("rid", F.explode("es").alias("entity")).join(wanted, "entity")
+    rest = pairs.join(large.select("rid", F.explode("ts").alias("term")), ["rid", "term"])
+    rest = rest.groupBy("entity", "term").agg(F.count("*").alias("co"))
+    return alone.unionByName(few.unionByName(rest).groupBy("entity", "term").agg(F.sum("co").alias("co")))
+
+
+def _disclosing(co: DataFrame, occurrences: DataFrame, documents: DataFrame) -> DataFrame:
     """(entity, term, share) of the pairs above the lower threshold."""
-    co = (terms.select("rid", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("co"))
-          .where(F.col("co") >= SUPPORT))
     co = written(co, "pii-pairs")
     wanted = co.select("term").distinct()
-    df_e = occurrences.select("rid", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
+    df_e = _holders(occurrences)
     words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\P{L}+"))
-    counted = hits.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
+    counted = documents.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
     df_t = counted.join(wanted, "term")  # an inner join: a semi join would be moved below the counting
     # N as a one-row scalar
-    total = hits.count()
+    total = documents.count()
     n = F.lit(float(total))
     facts = co.join(df_e, "entity").join(df_t, "term")
-    pmi = F.log2(F.col("co") * n / (F.col("df_e") * F.col("df_t").cast("double")))
+    given = (F.col("co") + PRIOR * F.col("df_e") / n) / (F.col("df_t") + PRIOR)
+    pmi = F.log2(given * n / F.col("df_e"))
     ic = F.log2(n / F.col("df_e"))
     share = F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
     return facts.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
-def find_spans(hits: DataFrame) -> DataFrame:
-    """(rid, kind, start, stop, removed): base spans and, as the last kind, terms."""
+def find_spans(hits: DataFrame, documents: DataFrame) -> DataFrame:
+    """(rid, kind, start, stop, removed): base spans and, as the last kind, terms.
+    ``hits`` need the text of rows with a valid match only."""
     occurrences = written(_occurrences(hits), "pii-occurrences")
     terms = written(_terms(hits, occurrences), "pii-terms")
     near = written(_near_terms(terms, occurrences), "pii-near")
-    pairs = _disclosing(near, occurrences, hits)
+    pairs = _disclosing(_together(near, terms, occurrences), occurrences, documents)
     added = (near.join(pairs, ["entity", "term"]).groupBy("rid", "start", "stop").agg(F.max("share").alias("share"))
              .select("rid", F.lit(len(PATTERNS)).alias("kind"), "start", "stop", (F.col("share") >= REMOVE).alias("removed")))
     base = occurrences.select("rid", "kind", "start", "stop", F.lit(False).alias("removed"))
@@ -200,8 +230,9 @@ def find_spans(hits: DataFrame) -> DataFrame:
 def pii_spans(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = written(_hits(rows), "pii-hits")
-    spans = find_spans(hits).withColumn("s", F.struct("kind", "start", "stop")).select("rid", F.lit(None).cast("long").alias("doc_id"), "s")
+    matched = F.when(F.exists("__hits", lambda h: h["ok"]), F.col("text"))
+    hits = written(_hits(rows).withColumn("text", matched), "pii-hits")
+    spans = find_spans(hits, rows).withColumn("s", F.struct("kind", "start", "stop")).select("rid", F.lit(None).cast("long").alias("doc_id"), "s")
     all_rows = hits.select(F.col("__rid").alias("rid"), "doc_id", F.lit(None).cast(spans.schema["s"].dataType).alias("s"))
     grouped = (all_rows.unionByName(spans).groupBy("rid")
                .agg(F.max("doc_id").alias("doc_id"), F.sort_array(F.collect_list("s")).alias("all")))
@@ -221,7 +252,7 @@ def sanitise(documents: DataFrame) -> DataFrame:
     """``documents`` with base spans as [KIND], removed terms gone and generalised
     ones as [TERM] in ``text``; same columns, same rows."""
     hits = written(_hits(documents), "pii-hits")
-    spans = find_spans(hits)
+    spans = find_spans(hits, hits)
     label = F.when(F.col("removed"), "").otherwise(
         F.concat(F.lit("["), F.upper(F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))), F.lit("]")))
     # overlapping spans stand under the first one's label

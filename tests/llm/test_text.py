@@ -298,6 +298,25 @@ def term_words(rows, got):
             for r in got}
 
 
+def test_terms_of_rare_entities(spark):
+    """Entities of one or two documents, and a name on the line above."""
+    rows = [(i, "some plain words that stand in every text") for i in range(200)]
+    rows += [(300, "some plain words\nZeppelin\nzed@example.org"), (301, "every text by Quux at 10.1.2.3"), (302, "words by Quux, 10.1.2.3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = term_words(rows, pii.pii_spans(docs).collect())
+    assert found[300] == ["Zeppelin"] and found[301] == found[302] == ["Quux"]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[300] == "some plain words\n[TERM]\n[EMAIL]" and "Quux" not in clean[301] + clean[302]
+
+
+def test_pairs_of_texts_with_very_many(spark, monkeypatch):
+    rows = [(i, f"some words of Name{'abcdefghij'[i % 10]} a{i % 10}@example.org and Other{'klmnopqrst'[i % 10]} 10.0.0.{i % 7}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(pii.pii_spans(docs).collect())
+    monkeypatch.setattr(pii, "_PAIRS", 0)
+    assert sorted(pii.pii_spans(docs).collect()) == want and sum(r.n_terms for r in want) > 0
+
+
 def test_window_goes_on_past_other_matches(spark):
     rows = [(i, "invoice card text and plain words 17") for i in range(200)]
     rows += [(300 + i, "Meier, invoice 17, card 4111 1111 1111 1111") for i in range(5)]
