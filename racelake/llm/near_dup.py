@@ -6,8 +6,10 @@
 2. Documents with the same set are one class from here on (thousands of exact
    copies cost one row).
 3. Inverted lists of the ``LISTED`` smallest hashes.  Two sets of similarity 0.8
-   share nearly all of those, so a pair must share at least ``SHARED`` of them
-   (the chance of less is under 1e-6); then both hold a common value among
+   share nearly all of those, so a pair must share at least ``SHARED`` of them.
+   The shared values are fewest where one set contains the other (a truncated
+   copy): Binomial(LISTED, 0.8) for long texts, under ``SHARED`` with a chance of
+   2e-7.  Then both hold a common value among
    the rarest LISTED - SHARED + 1 of their values, and only those make
    candidates.  A passage that many unrelated documents quote is
    frequent, hence not among a document's rarest values.
@@ -43,7 +45,7 @@ from .common import release, row_key, sub_batches, written
 from .components import components
 
 WORDS, THRESHOLD = 5, 80
-SKETCH, LISTED, SHARED = 64, 40, 25
+SKETCH, LISTED, SHARED = 64, 40, 18
 #: An estimate under this share of the union sketch rules a pair out: at
 #: similarity 0.8 the estimate falls below it with a chance under 1e-8.
 LEAST_ESTIMATE = 0.5

@@ -112,6 +112,22 @@ def test_near_duplicates_of_hard_texts(spark):
     check_groups(spark, rows, 5)
 
 
+def test_long_truncated_copies(spark):
+    """One set contains the other, and few of the smallest hashes are shared."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(20_000):
+        w = [f"x{i}y{k}" for k in range(304)]
+        n = rnd.randint(244, 250)   # similarity 0.80 to 0.82
+        all_, part = (near_dup.shingle_hashes(" ".join(x).encode(), 5) for x in (w, w[:n]))
+        if len(np.intersect1d(all_[:near_dup.LISTED], part[:near_dup.LISTED])) < 25:
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(w[:n]))]
+            if len(rows) == 12:
+                break
+    assert len(rows) == 12
+    check_groups(spark, rows, 5)
+
+
 def test_one_large_group_of_near_copies(spark):
     """Edit rates from none to far below the threshold, deletions, shared edits, and
     unrelated texts that quote a common passage."""
