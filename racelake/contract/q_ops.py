@@ -17,6 +17,7 @@ from racelake.operators.incremental import after_watermark, unseen_keys
 from racelake.operators.intervals import interval_bounds, slice_intervals
 from racelake.operators.lookups import segment_label_map
 from racelake.operators.match import tolerance_match
+from racelake.operators.rank import global_rank
 from racelake.operators.windows import change_flag, delta_to_best, group_mean, ordinal, rows_at_group_min
 from racelake.plans import models as M
 
@@ -658,6 +659,18 @@ def q_sector_delta(spark, sf):
                     d("lap_duration").alias("d_lap"))
 
 
+@query("global_lap_rank", oracle("""
+SELECT lap_duration, session_key, driver_number, lap_number,
+       row_number() OVER (ORDER BY lap_duration ASC NULLS LAST, session_key ASC NULLS FIRST, driver_number ASC NULLS FIRST,
+                          lap_number ASC NULLS FIRST) AS lap_rank
+FROM fx_stg_laps"""))
+def q_global_lap_rank(spark, sf):
+    """Every lap in order of its time; the rank column shows the order itself."""
+    laps = Inputs(spark, sf).of1_laps().select("lap_duration", "session_key", "driver_number", "lap_number")
+    order = [F.asc_nulls_last("lap_duration"), F.asc("session_key"), F.asc("driver_number"), F.asc("lap_number")]
+    return global_rank(laps, order, "lap_rank")
+
+
 # ======================================================================
 # Survey names whose operator is exercised by a model or report query
 
