@@ -7,7 +7,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, lang_id, line_dedup, near_dup, oracles, packing, pii, quality, token_counts, token_output, topk
+from . import (
+    bpe_codec,
+    lang_id,
+    line_dedup,
+    near_dup,
+    oracles,
+    packing,
+    pii,
+    quality,
+    resample,
+    spelling,
+    token_counts,
+    token_output,
+    topk,
+    url_rules,
+)
 from .common import fresh_path, read_table, ship
 from .tokenizing import vocabulary
 
@@ -88,3 +103,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 or more code points in three or more documents, kept in one."""
     return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_url_rules", url_rules.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page, by the longest fitting rule."""
+    return url_rules.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+@query("op12_spelling", oracles.SPELLING)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their near words, form and root."""
+    return spelling.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_resample", oracles.RESAMPLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenth of the documents drawn in proportion to their likeness to the benchmark."""
+    return resample.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
