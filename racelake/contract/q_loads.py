@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from racelake import fixtures as fx
 from racelake.contract.inputs import Inputs
+from racelake.contract.q_models import TELEMETRY_SQL
+from racelake.contract.q_sources import _flat_pages, _iso
 from racelake.contract.registry import query
 from racelake.contract.sqlgen import oracle
 from racelake.operators.incremental import overwrite_partitions, write_append
 from racelake.plans import data_tests as DT
+from racelake.plans import models as M
 from racelake.plans import pipeline as P
 from racelake.session import scratch_path
 
@@ -93,3 +96,50 @@ def q_data_test_suite(spark, sf):
     tables = {"fact_laps": laps, "dim_constructors": cons.unionByName(cons.filter("constructor_name LIKE '%1'")), "sessions": sessions}
     suite = [t for t in DT.SUITE if t.kind != "accepted"] + [DT.Test("sessions", "session_type", "accepted", values=("Race", "Qualifying"))]
     return DT.run_data_tests(spark, tables, suite).select("test", "n_failing")
+
+
+def _land(folder, car, laps, location, distance):
+    """Landing pages of four feeds, added to what lies there."""
+    keys = ["session_key", "driver_number"]
+    at = _iso(F.col("date")).alias("date")
+    feeds = {
+        "car_data": _flat_pages(car, keys, F.struct(*keys, at, "rpm", "speed", "n_gear", "throttle", "brake", "drs")),
+        "location": _flat_pages(location, keys, F.struct(*keys, at, "x", "y", "z")),
+        "laps": _flat_pages(laps, ["session_key"], F.struct(*keys, "lap_number", _iso(F.col("lap_start")).alias("date_start"),
+                                                            "lap_duration", (F.col("is_pit_out_lap") == 1).alias("is_pit_out_lap"))),
+    }
+    for name, pages in feeds.items():
+        pages.write.mode("append").text(f"{folder}/timing/{name}")
+    samples = F.collect_list(F.struct(_iso(F.col("date")).alias("Date"), F.col("distance_m").alias("Distance"))).alias("samples")
+    (distance.groupBy(*keys).agg(samples).select(F.to_json(F.struct(*keys, "samples")).alias("value"))
+     .write.mode("append").text(f"{folder}/distance/samples"))
+
+
+@query("ingest_log", oracle(f"SELECT * FROM {TELEMETRY_SQL} t").replace("ts AS date", "date_trunc('millisecond', ts) AS date"))
+def q_ingest_log(spark, sf):
+    """Pages of four feeds land in two rounds.  The first is taken in
+    by the batch load, the second partly by the stream, over one log and one layout; the
+    telemetry mart follows each.  Equals the one-shot build over all samples."""
+    from racelake.streaming.ingest import stream_telemetry
+    i = Inputs(spark, sf)
+    root = _scratch(spark, "ingest-log")
+    wh, landing = P.Warehouse(f"{root}/wh"), f"{root}/landing"
+    smap = M.session_map(i.sample_sessions(), i.sample_races())
+    drivers, numbers = i.sample_drivers(), i.sample_driver_map()
+    middle = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    laps = i.lap_starts().withColumn("date", F.col("lap_start"))
+    others = ["of1_laps", "location", "car_telemetry"]
+    feeds = [i.car(), laps, i.location(), i.distance()]
+
+    _land(landing, *[df.filter(F.col("date") < middle) for df in feeds])
+    P.ingest_landing(spark, landing, wh, "2024-02-01 00:00:00", tables=["car_data", *others])
+    stg = P.stage_all(spark, wh)
+    P.rebuild_telemetry(spark, wh, stg["car_data"], M.lap_boundaries(stg["laps"]), stg["location"], stg["distances"],
+                        smap, drivers, numbers)
+    _land(landing, *[df.filter(F.col("date") >= middle) for df in feeds])
+    P.ingest_landing(spark, landing, wh, "2024-02-01 00:00:00", tables=others)  # the very same ingest time
+    stg = P.stage_all(spark, wh)
+    stream_telemetry(spark, f"{landing}/timing/car_data", wh, None, M.lap_boundaries(stg["laps"]), stg["location"],
+                     stg["distances"], smap, drivers, numbers)
+    out = spark.read.parquet(wh.path("marts", "lap_telemetry"))
+    return out.drop("_ingested_at", "year").withColumn("session_key", F.col("session_key").cast("long"))

@@ -102,35 +102,51 @@ def append_unseen(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
 BUCKET = "15 minutes"
 
 
-def affected_sessions(inputs: dict[str, DataFrame], marks: dict[str, object]) -> DataFrame:
-    """Sessions with a row of any input that is newer than that input's own
-    watermark (all sessions of an input without one)."""
-    keys = None
-    for name, df in inputs.items():
-        fresh = df if marks.get(name) is None else df.filter(F.col("_ingested_at") > F.lit(marks[name]))
-        k = fresh.select("session_key").distinct()
-        keys = k if keys is None else keys.unionByName(k)
-    return keys.distinct()
-
-
-class Watermarks:
-    """Newest ingest time processed of each input of a table: a few rows, one folder a
-    commit, written only after the table itself."""
+class Progress:
+    """What a table has taken from each of its inputs: the labels of the batches (inputs
+    that carry ``_batch_id``), else the newest ingest time.  A few short rows, one folder
+    a commit, written only after the table itself."""
 
     def __init__(self, spark: SparkSession, wh: Warehouse, table: str):
         self.spark, self.path = spark, wh.path("state", table)
 
-    def read(self) -> dict[str, object]:
+    def read(self) -> tuple[dict[str, set[str]], dict[str, object]]:
         df = read_if_written(self.spark, self.path)
         if df is None:
-            return {}
-        last = df.groupBy("input").agg(F.max("mark").alias("mark")).collect()
-        return {r["input"]: r["mark"] for r in last}
-
-    def commit(self, marks: dict[str, object]) -> None:
-        rows = [(k, v) for k, v in marks.items() if v is not None]
+            return {}, {}
+        if "batch" not in df.columns:  # written before batches were kept
+            df = df.withColumn("batch", F.lit(None).cast("string"))
+        got = df.groupBy("input").agg(F.max("mark").alias("mark"), F.collect_set("batch").alias("batches")).collect()
+        return {r["input"]: set(r["batches"]) for r in got}, {r["input"]: r["mark"] for r in got}
+
+    def commit(self, batches: dict[str, set[str]], marks: dict[str, object]) -> None:
+        rows = [(k, None, b) for k, bs in batches.items() for b in sorted(bs)]
+        rows += [(k, v, None) for k, v in marks.items() if v is not None]
         if rows:
-            self.spark.createDataFrame(rows, "input string, mark timestamp").coalesce(1).write.mode("append").parquet(self.path)
+            (self.spark.createDataFrame(rows, "input string, mark timestamp, batch string").coalesce(1)
+             .write.mode("append").parquet(self.path))
+
+
+def news(inputs: dict[str, DataFrame], batches: dict[str, set[str]], marks: dict[str, object]):
+    """(sessions with a row that the table has not taken yet, new labels, new ingest
+    times), an input at a time.
+
+    With labels, "new" does not depend on clocks: rows loaded later with an equal or an
+    older ``_ingested_at`` are found too.  The label is a partition column, so the test
+    prunes whole folders and old files are not opened."""
+    keys, labels, times = set(), {}, {}
+    for name, df in inputs.items():
+        if "_batch_id" in df.columns:
+            known = batches.get(name, set())
+            fresh = df.filter(~F.col("_batch_id").isin(*known)) if known else df
+            found = fresh.select("session_key", "_batch_id").distinct().collect()  # keys and labels, no samples
+            labels[name] = {r["_batch_id"] for r in found if r["_batch_id"] is not None}
+        else:
+            times[name] = df.agg(F.max("_ingested_at")).first()[0]
+            fresh = df if marks.get(name) is None else df.filter(F.col("_ingested_at") > F.lit(marks[name]))
+            found = fresh.select("session_key").distinct().collect()
+        keys |= {r["session_key"] for r in found if r["session_key"] is not None}
+    return sorted(keys), labels, times
 
 
 def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, location, distance, smap,
@@ -139,17 +155,15 @@ def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, locat
     and the change flag never restart mid-session) and overwrite just their
     partitions.  One plan at every size: samples are split by time.
 
-    Every input has a watermark of its own, taken before the rebuild and committed
+    What is new is looked up for every input on its own before the rebuild and committed
     after it, so late GPS, distance or lap rows are picked up once and a run without
     news rebuilds nothing.  Returns the number of sessions rebuilt."""
     path = wh.path("marts", "lap_telemetry")
     inputs = {"car": car, "location": location, "distance": distance}
-    if "_ingested_at" in boundaries.columns:
+    if {"_ingested_at", "_batch_id"} & set(boundaries.columns):
         inputs["laps"] = boundaries
-    state = Watermarks(spark, wh, "lap_telemetry")
-    new_marks = {k: df.agg(F.max("_ingested_at")).first()[0] for k, df in inputs.items()}
-    todo = affected_sessions(inputs, state.read())
-    keys = sorted(r[0] for r in todo.collect() if r[0] is not None)  # session keys, not samples
+    state = Progress(spark, wh, "lap_telemetry")
+    keys, labels, times = news(inputs, *state.read())
     if keys:
         def pick(df):  # prunes the (year, session) folders
             return df.filter(F.col("session_key").isin(keys))
@@ -157,7 +171,7 @@ def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, locat
         out = M.lap_telemetry(samples[0], pick(boundaries), samples[1], samples[2], smap,
                               of1_drivers, driver_map, bucket=bucket)
         write_telemetry(out, path, mode="overwrite" if _exists(spark, path) else "append")
-    state.commit(new_marks)
+    state.commit(labels, times)
     return len(keys)
 
 
@@ -241,8 +255,7 @@ def ensure_columns(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> Da
 
 
 # --------------------------------------------------------------------------
-# landing -> raw -> staging (batch path of the ingest; the stream path is
-# racelake.streaming.ingest)
+# landing -> raw -> staging (the ingest log itself is racelake.streaming.ingest)
 
 def _parsers():
     from racelake.sources import jolpica as J
@@ -280,49 +293,23 @@ def _parsers():
 TELEMETRY_TABLES = ("car_data", "location", "car_telemetry")
 
 
-def new_pages(spark: SparkSession, src: str, wh: Warehouse, name: str) -> tuple[DataFrame, DataFrame] | None:
-    """(pages, files) of a landing folder on any store that no earlier run took in."""
-    try:
-        found = spark.read.text(src).select("value", F.col("_metadata.file_path").alias("file"))
-    except AnalysisException as e:
-        if e.getCondition() in ABSENT:
-            return None
-        raise
-    seen = read_if_written(spark, wh.path("raw", f"_files/{name}"))
-    if seen is not None:
-        found = found.join(seen.select("file").distinct(), "file", "left_anti")
-    return found.select(F.col("value").alias("json"), "file"), found.select("file").distinct()
-
-
 def ingest_landing(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at: str | None = None,
-                   tables: Sequence[str] | None = None) -> list[str]:
-    """Parse the new files of every landing folder (one JSON page per line) and append
-    them to the raw tables; files taken in before are not read again.
-
-    The file list is written after the rows.  A run that fails in between repeats
-    those files, and staging keeps one row a key, so nothing is lost or doubled; pages
-    of one session may land in several files and runs.  Lines that are not JSON go to
-    ``raw/_rejects/<table>``.  Returns the raw tables that got rows."""
-    done = []
+                   tables: Sequence[str] | None = None, max_files_per_trigger: int | None = None) -> list[str]:
+    """Take the new files of every landing folder into the raw tables; the runs of all
+    tables go on side by side.  See ``streaming.ingest`` for the log, the layout and
+    what happens to broken lines.  Returns the raw tables that got files."""
+    from racelake.streaming.ingest import finish, raw_writer, start_feed
+    done: set[str] = set()
+    queries = []
     for name, (folder, parse) in _parsers().items():
         if tables is not None and name not in tables:
             continue
-        got = new_pages(spark, f"{landing_root.rstrip('/')}/{folder}", wh, name)
-        if got is None or got[1].isEmpty():
-            continue
-        rows, files = got
-        files = spark.createDataFrame(files.collect(), "file string")  # names, not data: fixed before the rows are read
-        rows = rows.join(files, "file", "left_semi")
-        bad = rows.filter((F.trim("json") != "") & F.try_parse_json("json").isNull())
-        raw = parse(rows.select("json"), ingested_at)
-        if name in TELEMETRY_TABLES:
-            write_telemetry(raw, wh.path("raw", name), mode="append")
-        else:
-            raw.write.mode("append").parquet(wh.path("raw", name))
-        bad.write.mode("append").parquet(wh.path("raw", f"_rejects/{name}"))
-        files.coalesce(1).write.mode("append").parquet(wh.path("raw", f"_files/{name}"))
-        done.append(name)
-    return done
+        write = raw_writer(wh, name, parse, name in TELEMETRY_TABLES, ingested_at,
+                           on_batch=lambda _label, name=name: done.add(name))
+        queries.append(start_feed(spark, wh, f"{landing_root.rstrip('/')}/{folder}", name, write,
+                                  max_files_per_trigger=max_files_per_trigger))
+    finish([q for q in queries if q is not None])
+    return [n for n in _parsers() if n in done]
 
 
 def rejects(spark: SparkSession, wh: Warehouse) -> DataFrame:
@@ -337,9 +324,18 @@ def rejects(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 
 def stage_all(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
-    """P1 staging views over whatever raw tables exist (lazy)."""
+    """P1 staging views over the raw tables (lazy).  A table that was never loaded is an
+    empty one of its own columns, so seasons without a timing feed run like all others."""
+    none = spark.createDataFrame([], "json string")
+    parsers = _parsers()
+
     def raw(n):
-        return wh.read(spark, "raw", n)
+        df = wh.read(spark, "raw", n)
+        if df is not None:
+            return df
+        if n == "driver_id_map":
+            return spark.createDataFrame([], "season int, jolpica_driver_id string, openf1_driver_number int, updated_at timestamp")
+        return parsers[n][1](none, "1970-01-01 00:00:00")
 
     views = {
         "races": ("races", STG.stg_races), "results": ("results", STG.stg_results),
@@ -357,12 +353,7 @@ def stage_all(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
         "intervals": ("intervals", STG.stg_intervals), "weather": ("weather", STG.stg_weather),
         "race_control": ("race_control", STG.stg_race_control),
     }
-    out = {}
-    for view, (table, fn) in views.items():
-        df = raw(table)
-        if df is not None:
-            out[view] = fn(df)
-    return out
+    return {view: fn(raw(table)) for view, (table, fn) in views.items()}
 
 
 MART_TABLES = {
@@ -419,8 +410,6 @@ def run_all(spark: SparkSession, landing_root: str, wh: Warehouse, ingested_at:
     ingest_landing(spark, landing_root, wh, ingested_at)
     build_driver_map(spark, wh, ingested_at)
     stg = stage_all(spark, wh)
-    stg.setdefault("distances", spark.createDataFrame(
-        [], "session_key int, driver_number int, date timestamp, distance_m double, _ingested_at timestamp"))
     run_marts(spark, wh, stg, circuit_stats if circuit_stats is not None else constants(spark))
     if check:
         from racelake.plans.data_tests import assert_data_tests

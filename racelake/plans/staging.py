@@ -25,7 +25,14 @@ def _latest(raw: DataFrame, keys: list[str]) -> DataFrame:
     """One row per natural key, the latest ingest wins (re-ingested
     batches never fan out joins).  ``row_number() = 1`` plans with a
     map-side WindowGroupLimit."""
-    return latest_by_key(raw, keys, "_ingested_at") if "_ingested_at" in raw.columns else raw
+    if "_ingested_at" not in raw.columns:
+        return raw
+    return latest_by_key(raw, keys, "_ingested_at", _label(raw))
+
+
+def _label(raw: DataFrame) -> list[str]:
+    """The ingest label, where the table has one: later batches win over equal times."""
+    return ["_batch_id"] if "_batch_id" in raw.columns else []
 
 
 def stg_races(raw: DataFrame) -> DataFrame:
@@ -99,18 +106,18 @@ def stg_sessions(raw: DataFrame) -> DataFrame:
 
 
 def stg_of1_laps(raw: DataFrame) -> DataFrame:
-    d = latest_by_key(raw, ["session_key", "driver_number", "lap_number"], "_ingested_at")
+    d = _latest(raw, ["session_key", "driver_number", "lap_number"])
     return _src(d.withColumn("lap_start", parse_ts("date_start")).drop("date_start", "_raw_json"), "openf1")
 
 
 def stg_car_data(raw: DataFrame) -> DataFrame:
     return raw.select("session_key", "driver_number", F.date_trunc("MILLISECOND", "date").alias("date"),
-                      "rpm", "speed", "n_gear", "throttle", "brake", "drs", "_ingested_at")
+                      "rpm", "speed", "n_gear", "throttle", "brake", "drs", "_ingested_at", *_label(raw))
 
 
 def stg_location(raw: DataFrame) -> DataFrame:
     return raw.select("session_key", "driver_number", F.date_trunc("MILLISECOND", "date").alias("date"),
-                      "x", "y", "z", "_ingested_at")
+                      "x", "y", "z", "_ingested_at", *_label(raw))
 
 
 def one_per_sample(telemetry: DataFrame) -> DataFrame:
@@ -129,7 +136,7 @@ def stg_of1_drivers(raw: DataFrame) -> DataFrame:
 
 def stg_distances(raw: DataFrame) -> DataFrame:
     return raw.select("session_key", "driver_number", F.date_trunc("MILLISECOND", "date").alias("date"),
-                      "distance_m", "_ingested_at")
+                      "distance_m", "_ingested_at", *_label(raw))
 
 
 def stg_seasons(raw: DataFrame) -> DataFrame:

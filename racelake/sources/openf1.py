@@ -125,19 +125,19 @@ def parse_location(df: DataFrame, ingested_at: str | None = None) -> DataFrame:
 
 
 TELEMETRY_PARTITIONS = ["year", "session_key"]
-TELEMETRY_SORT = ["session_key", "driver_number", "date"]
 
 
 def write_telemetry(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Partition by (year, session) and sort each file by (session,
-    driver, time) so a ``session_key = ?`` read prunes to its folder and the
-    per-driver as-of reads sorted row groups.  Rows are clustered by the
-    partition keys, the driver and a 15-minute time bucket, so each task
-    writes few files and one very long (session, driver) is written by many
-    tasks, not one."""
-    from racelake.operators.incremental import layout
-    out = df.withColumn("year", F.year("date")).withColumn(
-        "__wb", F.floor(F.unix_seconds(F.col("date").cast("timestamp")) / 900))
-    out = layout(out, [*TELEMETRY_PARTITIONS, "driver_number", "__wb"], TELEMETRY_SORT).drop("__wb")
+    """Partition by (year, session), for raw tables by the ingest label too, and sort
+    each file by (session, driver, time), so a ``session_key = ?`` read prunes to its
+    folder and per-driver reads prune row groups.
+
+    Rows are rebalanced by session: adaptive execution measures the shuffled sessions,
+    merges small ones into one task and cuts a long one into tasks of the advised size.
+    So a session is a few files of a good size, however hot it is, and nothing is
+    computed twice for it."""
+    label = [c for c in ("_batch_id",) if c in df.columns]
+    out = (df.withColumn("year", F.year("date")).hint("rebalance", *TELEMETRY_PARTITIONS)
+           .sortWithinPartitions("year", "session_key", *label, "driver_number", "date"))
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*TELEMETRY_PARTITIONS).parquet(path))
+        .partitionBy(*TELEMETRY_PARTITIONS, *label).parquet(path))

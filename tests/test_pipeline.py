@@ -437,3 +437,121 @@ def test_load_season_status(spark):
     st = P.load_weekend_status(spark, wh, {"results": t}, 2024)
     assert [r.status for r in st.collect()] == ["ok"]
     assert spark.read.parquet(wh.path("raw", "results")).count() == 2
+
+
+def _car_page(k, d, second, speed):
+    return [{"session_key": k, "driver_number": d, "date": f"2024-03-02T15:00:{second:02d}.000Z", "speed": speed}]
+
+
+def test_old_files_are_never_opened_again(spark):
+    """What a file holds after it was taken in is never read."""
+    root = tempfile.mkdtemp(prefix="racelake-log-")
+    wh = P.Warehouse(f"{root}/wh")
+    _page(root, "timing/car_data", "a.json", _car_page(9, 1, 1, 201))
+    _page(root, "timing/weather", "a.json", [{"session_key": 9, "date": "2024-03-02T15:00:00+00:00", "air_temperature": 20.5}])
+    assert P.ingest_landing(spark, root, wh) == ["weather", "car_data"]
+    _page(root, "timing/car_data", "a.json", "no page any more {")
+    _page(root, "timing/car_data", "b.json", _car_page(9, 1, 2, 202))
+    os.utime(f"{root}/timing/car_data/b.json", (1_000_000_000, 1_000_000_000))  # years older than the first file
+    assert P.ingest_landing(spark, root, wh) == ["car_data"]
+    assert P.ingest_landing(spark, root, wh) == []
+    rows_ = spark.read.parquet(wh.path("raw", "car_data")).collect()
+    assert sorted(r.speed for r in rows_) == [201, 202] and len({r["_batch_id"] for r in rows_}) == 2
+    assert P.rejects(spark, wh).count() == 0
+
+
+def test_batch_and_stream_share_log_and_layout(spark):
+    from racelake.streaming.ingest import stream_telemetry
+    from tests.test_models import _telemetry_inputs
+    _, laps, loc, dist = _telemetry_inputs(spark)
+    stamp = lambda df: df.withColumn("_ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    smap = spark.createDataFrame([(9, 2024, 1, "Race")], "session_key int, season int, round int, session_type string")
+    od = spark.createDataFrame([], "session_key int, driver_number int, name_acronym string, team_name string, team_colour string")
+    dm = spark.createDataFrame([], "jolpica_driver_id string, openf1_driver_number int, season int")
+    root = tempfile.mkdtemp(prefix="racelake-both-")
+    wh = P.Warehouse(f"{root}/wh")
+    stream = lambda ck=None: stream_telemetry(
+        spark, f"{root}/timing/car_data", wh, ck, M.lap_boundaries(laps), stamp(loc), stamp(dist), smap, od, dm)
+    speeds = lambda: sorted(r.speed for r in spark.read.parquet(wh.path("raw", "car_data")).collect())
+    _page(root, "timing/car_data", "a.json", _car_page(9, 1, 1, 201))
+    P.ingest_landing(spark, root, wh)
+    _page(root, "timing/car_data", "b.json", _car_page(9, 1, 2, 202))
+    stream()
+    assert speeds() == [201, 202]
+    P.ingest_landing(spark, root, wh)                                   # nothing is left for the batch load
+    assert speeds() == [201, 202]
+    _page(root, "timing/car_data", "c.json", _car_page(8, 1, 3, 203))
+    P.ingest_landing(spark, root, wh)
+    stream()
+    assert speeds() == [201, 202, 203]
+    stream(f"{root}/other-checkpoint")                                  # a log of its own: labels never meet
+    assert speeds() == [201, 201, 202, 202, 203, 203]
+    assert _samples(spark, wh) == 3
+    assert any(d.startswith("year=2024") for d in os.listdir(wh.path("raw", "car_data")))
+
+
+def _samples(spark, wh):
+    from racelake.plans.staging import one_per_sample
+    return one_per_sample(P.stage_all(spark, wh)["car_data"]).count()
+
+
+def test_a_batch_run_again_replaces_itself(spark):
+    from racelake.streaming.ingest import raw_writer
+    wh = P.Warehouse(tempfile.mkdtemp(prefix="racelake-again-"))
+    write = raw_writer(wh, "car_data", O.parse_car_data, telemetry=True)
+    page = lambda rows_: spark.createDataFrame([(json.dumps(r), "f") for r in rows_], "json string, file string")
+    write(page([_car_page(9, 1, 1, 1), _car_page(8, 1, 1, 2)]), "b0")
+    write(page([_car_page(9, 1, 2, 3)]), "b1")
+    write(page([_car_page(9, 1, 1, 1), _car_page(8, 1, 1, 2)]), "b0")
+    assert sorted(r.speed for r in spark.read.parquet(wh.path("raw", "car_data")).collect()) == [1, 2, 3]
+    assert P.rejects(spark, wh).count() == 0
+
+
+def test_rows_with_an_equal_or_older_stamp_are_news(spark):
+    """What is new is told by batches, not by clocks."""
+    root = tempfile.mkdtemp(prefix="racelake-stamp-")
+    wh = P.Warehouse(f"{root}/wh")
+    laps = spark.createDataFrame([(k, 1, 1, dt.datetime(2024, 3, 2, 15), 0) for k in (7, 8, 9)],
+                                 "session_key int, driver_number int, lap_number int, lap_start timestamp, is_pit_out_lap int")
+    smap = spark.createDataFrame([(9, 2024, 1, "Race")], "session_key int, season int, round int, session_type string")
+    od = spark.createDataFrame([], "session_key int, driver_number int, name_acronym string, team_name string, team_colour string")
+    dm = spark.createDataFrame([], "jolpica_driver_id string, openf1_driver_number int, season int")
+
+    def run(stamp):
+        P.ingest_landing(spark, root, wh, stamp)
+        stg = P.stage_all(spark, wh)
+        return P.rebuild_telemetry(spark, wh, stg["car_data"], M.lap_boundaries(laps), stg["location"], stg["distances"], smap, od, dm)
+    _page(root, "timing/car_data", "a.json", _car_page(9, 1, 1, 1))
+    assert run("2024-03-04 06:00:00") == 1
+    _page(root, "timing/car_data", "b.json", _car_page(8, 1, 1, 2))
+    assert run("2024-03-04 06:00:00") == 1                              # equal
+    _page(root, "timing/car_data", "c.json", _car_page(7, 1, 1, 3))
+    assert run("2020-01-01 00:00:00") == 1                              # older
+    assert run("2024-03-05 06:00:00") == 0
+    assert spark.read.parquet(wh.path("marts", "lap_telemetry")).count() == 3
+
+
+def test_small_sessions_are_one_file(spark):
+    path = tempfile.mkdtemp(prefix="racelake-files-") + "/t"
+    df = spark.range(40_000).select((F.col("id") % 3).cast("int").alias("session_key"), (F.col("id") % 20).cast("int").alias("driver_number"),
+                                    F.timestamp_seconds(1_700_000_000 + F.col("id")).alias("date"), F.lit(1).alias("speed")).repartition(8)
+    O.write_telemetry(df, path)
+    files = [f for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 2 * 3
+    assert spark.read.parquet(path).count() == 40_000
+
+
+def test_results_without_a_timing_feed(spark):
+    """A season that only the results feed knows builds all marts it can."""
+    root = tempfile.mkdtemp(prefix="racelake-results-")
+    _landing_weekend(f"{root}/all")
+    os.makedirs(f"{root}/landing")
+    os.symlink(f"{root}/all/results", f"{root}/landing/results")
+    wh = P.Warehouse(f"{root}/wh")
+    P.run_all(spark, f"{root}/landing", wh, "2024-03-04 06:00:00")
+    fr = {r.jolpica_driver_id: r for r in spark.read.parquet(wh.path("marts", "fact_race_results")).collect()}
+    assert set(fr) == {"max", "ham"} and fr["max"].session_key is None
+    fq = spark.read.parquet(wh.path("marts", "fact_qualifying")).collect()
+    assert {r.best_source_match for r in fq} == {"jolpica_only"}
+    assert spark.read.parquet(wh.path("marts", "fact_laps")).count() == 6
+    assert spark.read.parquet(wh.path("marts", "dim_sessions")).count() == 0
