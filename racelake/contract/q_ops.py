@@ -12,7 +12,7 @@ from racelake.contract.sqlgen import SMAP, oracle
 from racelake.functions.casts import json_field, or_null, or_zero, parse_ts, with_json_fallback
 from racelake.functions.laptime import format_gap, format_lap_time, parse_lap_time
 from racelake.operators import dedup as K
-from racelake.operators.asof import AsofRight, asof_join, asof_join_many
+from racelake.operators.asof import AsofRight, HotKeys, asof_join, asof_join_many
 from racelake.operators.incremental import after_watermark, unseen_keys
 from racelake.operators.intervals import interval_bounds, slice_intervals
 from racelake.operators.lookups import segment_label_map
@@ -69,8 +69,14 @@ def q_asof_triple(spark, sf):
 
 @query("asof_bucketed", oracle(ASOF_TRIPLE_SQL))
 def q_asof_bucketed(spark, sf):
-    """Same result through the skew-safe path: (key, 6-hour bucket) partitions
-    plus an exact carry-over of the latest row from earlier buckets."""
+    """Same result through the skew-safe path: keys of more than 18 rows are cut by time,
+    with an exact carry-over of the latest row from earlier pieces."""
+    return _triple(spark, sf, bucket=HotKeys(18))
+
+
+@query("asof_time_buckets", oracle(ASOF_TRIPLE_SQL))
+def q_asof_time_buckets(spark, sf):
+    """Every key cut into 6-hour buckets, with the same carry-over."""
     return _triple(spark, sf, bucket="6 hours")
 
 

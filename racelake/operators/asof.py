@@ -20,10 +20,12 @@ Rules
   * left rows whose key or time is NULL can never match; they bypass the
     window (no hot NULL partition) and come back with NULL right columns,
     or are dropped when ``keep_unmatchable=False``.
-  * ``bucket``: optional time-bucket width.  Partitions become
-    ``(by, bucket)`` so a single hot key is spread over many tasks; the latest
-    right row of earlier buckets is carried over exactly by a small
-    per-bucket aggregate, so results equal the unbucketed join.
+  * ``bucket``: how one key is spread over many tasks.  Partitions become
+    ``(by, bucket)``; the latest right row of earlier buckets is carried over
+    exactly by one summary row a bucket, so results equal the unbucketed join.
+    A time width cuts every key.  ``HotKeys`` cuts only keys that hold too many rows:
+    they are counted first (two columns of the inputs, summed before the shuffle), so
+    all other keys stay in one piece and neither they nor the carry cost anything more.
 """
 
 from __future__ import annotations
@@ -54,6 +56,28 @@ class AsofRight:
     by: Sequence[str] | None = None
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Cut keys of more than ``rows`` rows by time, into pieces of about that many if
+    they come evenly (uneven ones give uneven pieces, never other results)."""
+
+    rows: int = 4_000_000
+
+
+def measured(bucket, by: Sequence[str], inputs: Sequence[DataFrame]):
+    """``bucket`` for a join of these inputs: None if it is ``HotKeys`` and no key has more
+    rows than that.  One pass over the key columns, summed before the shuffle; the plan
+    for hot keys, which costs more stages, is then only built where there are any."""
+    if not isinstance(bucket, HotKeys):
+        return bucket
+    rows = None
+    for df in inputs:
+        k = df.select(*by)
+        rows = k if rows is None else rows.unionByName(k)
+    hot = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > bucket.rows)
+    return None if hot.isEmpty() else bucket
+
+
 def _bucket_expr(ts: Column, bucket_us: int) -> Column:
     micros = F.unix_micros(ts.cast("timestamp"))
     return F.floor(micros / F.lit(bucket_us)).cast("long")
@@ -83,7 +107,7 @@ def asof_join_many(
     left_ts: str,
     rights: Sequence[AsofRight],
     inclusive: bool = True,
-    bucket: str | int | None = None,
+    bucket: str | int | HotKeys | None = None,
     keep_unmatchable: bool = True,
     emit_bucket: str | None = None,
 ) -> DataFrame:
@@ -95,7 +119,6 @@ def asof_join_many(
     are partitioned on, so a following bucketed window can reuse it.
     """
     by = list(by)
-    bucket_us = parse_bucket(bucket)
     left_side, right_side = (1, 0) if inclusive else (0, 1)
     left_cols = left.columns
     rest = [c for c in left_cols if c not in by and c != left_ts]
@@ -128,14 +151,18 @@ def asof_join_many(
         u = u.unionByName(p)
 
     order = [F.col(_T), F.col(_SIDE)] + [F.col(c) for c in rcols]
-    if bucket_us is None:
+    if bucket is None:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         got = u.select(
             *[F.col(k) for k in by], F.col(_T), F.col(_SIDE), F.col(_L),
             *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) for c in rcols],
         ).filter(F.col(_SIDE) == left_side)
     else:
-        got = _bucketed(u, by, rcols, order, bucket_us, left_side)
+        if isinstance(bucket, HotKeys):
+            u = _hot_pieces(u, by, bucket.rows)
+        else:
+            u = u.withColumn(_B, _bucket_expr(F.col(_T), parse_bucket(bucket)))
+        got = _bucketed(u, by, rcols, order, left_side)
 
     # keys and time stay the exchanged / sorted columns; everything else
     # is unpacked from the carried structs
@@ -149,7 +176,7 @@ def asof_join_many(
             out.append(F.col(f"{_L}.{c}").alias(c))
     for i, r in enumerate(rights):
         out += [F.col(f"__r{i}.{c}").alias(r.rename.get(c, c)) for c in r.cols]
-    if emit_bucket and bucket_us is not None:
+    if emit_bucket and bucket is not None:
         out.append(F.col(_B).alias(emit_bucket))
     res = got.select(*out)
 
@@ -160,9 +187,20 @@ def asof_join_many(
     return res
 
 
-def _bucketed(u, by, rcols, order, bucket_us, left_side):
-    """Two-level as-of: inside (key, bucket) by window, across buckets by a carry table."""
-    u = u.withColumn(_B, _bucket_expr(F.col(_T), bucket_us))
+def _hot_pieces(u: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """Add the bucket: null for keys of at most ``rows`` rows, else the piece by time."""
+    micros = F.unix_micros(F.col(_T).cast("timestamp"))
+    size = u.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min(micros).alias("__lo"), F.max(micros).alias("__hi"))
+    width = F.greatest(F.lit(1.0), (F.col("__hi") - F.col("__lo")) / F.ceil(F.col("__n") / F.lit(rows)))
+    hot = size.filter(F.col("__n") > rows).select(*by, "__lo", width.alias("__width"))
+    # at most one row for every ``rows`` rows of the inputs
+    cut = u.join(F.broadcast(hot), by, "left")
+    return cut.withColumn(_B, F.floor((micros - F.col("__lo")) / F.col("__width"))).drop("__lo", "__width")
+
+
+def _bucketed(u, by, rcols, order, left_side):
+    """Two-level as-of: inside (key, bucket) by window, across buckets by a carry table.
+    Keys without a bucket (null) are in one piece and have no carry."""
     w = Window.partitionBy(*by, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inner = u.select(
         *[F.col(k) for k in by], F.col(_B), F.col(_T), F.col(_SIDE), F.col(_L),
@@ -171,7 +209,7 @@ def _bucketed(u, by, rcols, order, bucket_us, left_side):
 
     # latest right row per (key, bucket): a map-side-combined aggregate whose
     # size is (#keys x #buckets), independent of the rows per key.
-    per_bucket = u.groupBy(*by, _B).agg(*[
+    per_bucket = u.filter(F.col(_B).isNotNull()).groupBy(*by, _B).agg(*[
         F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(_T).alias("t"), F.col(c).alias("v")))).alias(c)
         for c in rcols])
     wb = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
@@ -195,7 +233,7 @@ def asof_join(
     right_cols: Sequence[str],
     rename: dict | None = None,
     inclusive: bool = True,
-    bucket: str | int | None = None,
+    bucket: str | int | HotKeys | None = None,
     keep_unmatchable: bool = True,
 ) -> DataFrame:
     """Single-input convenience wrapper of :func:`asof_join_many`."""

@@ -28,10 +28,10 @@ def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str
     last row of the nearest earlier bucket, found from a one-row-per-bucket
     aggregate, so a single huge group is spread over many tasks exactly.
     ``bucket_col`` reuses a bucket column already present (e.g. emitted by a
-    bucketed as-of join), keeping its partitioning and sort order."""
+    bucketed as-of join), keeping its partitioning and sort order; groups where it
+    is null are in one piece and need no carry."""
     vals = [F.coalesce(F.col(c), F.lit(0)) for c in cols]
-    bucket_us = parse_bucket(bucket)
-    if bucket_us is None:
+    if bucket is None and bucket_col is None:
         w = Window.partitionBy(*by).orderBy(order, *cols)
         prevs = [F.lag(v, 1, 0).over(w) for v in vals]
         return df.withColumn(name, _any_diff(vals, prevs))
@@ -40,8 +40,8 @@ def change_flag(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str
         b, d = bucket_col, df
     else:
         b = "__cf_b"
-        d = df.withColumn(b, _bucket_expr(F.col(order), bucket_us))
-    last = (d.groupBy(*by, b)
+        d = df.withColumn(b, _bucket_expr(F.col(order), parse_bucket(bucket)))
+    last = (d.filter(F.col(b).isNotNull()).groupBy(*by, b)
             .agg(F.max_by(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(vals)]), F.struct(order, *cols)).alias("__last")))
     wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(*by, b, F.last("__last", ignorenulls=True).over(wb).alias("__carry"))

@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from racelake.operators.asof import HotKeys, measured
 from racelake.plans import models as M
 from racelake.plans import staging as STG
 from racelake.sources.openf1 import write_telemetry
@@ -98,8 +99,8 @@ def append_unseen(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
     materialise(new, path, "append", partition_by=[part], sort_by=keys)
 
 
-#: Time buckets that spread one (session, driver) over several tasks.
-BUCKET = "15 minutes"
+#: A (session, driver) with more samples than this is spread over several tasks.
+BUCKET = HotKeys(4_000_000)
 
 
 class Progress:
@@ -150,7 +151,7 @@ def news(inputs: dict[str, DataFrame], batches: dict[str, set[str]], marks: dict
 
 
 def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, location, distance, smap,
-                      of1_drivers, driver_map, bucket: str | None = BUCKET) -> int:
+                      of1_drivers, driver_map, bucket: str | HotKeys | None = BUCKET) -> int:
     """M17 incremental: recompute whole affected sessions (so the lap slice
     and the change flag never restart mid-session) and overwrite just their
     partitions.  One plan at every size: samples are split by time.
@@ -167,6 +168,7 @@ def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, locat
     if keys:
         def pick(df):  # prunes the (year, session) folders
             return df.filter(F.col("session_key").isin(keys))
+        bucket = measured(bucket, M.TELEMETRY_KEYS, [pick(df) for df in (car, boundaries, location, distance)])
         samples = [STG.one_per_sample(pick(df)) for df in (car, location, distance)]
         out = M.lap_telemetry(samples[0], pick(boundaries), samples[1], samples[2], smap,
                               of1_drivers, driver_map, bucket=bucket)
@@ -176,7 +178,7 @@ def rebuild_telemetry(spark: SparkSession, wh: Warehouse, car, boundaries, locat
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, stg: dict[str, DataFrame], circuit_stats: DataFrame | None = None,
-              min_headshot_season: int = 2023, bucket: str | None = BUCKET) -> None:
+              min_headshot_season: int = 2023, bucket: str | HotKeys | None = BUCKET) -> None:
     """Build every intermediate model, dimension, fact and mart from staged inputs."""
     smap = M.session_map(stg["sessions"], stg["races"])
     materialise(smap, wh.path("intermediate", "session_map"))

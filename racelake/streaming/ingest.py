@@ -139,7 +139,6 @@ def stream_telemetry(
     smap: DataFrame,
     of1_drivers: DataFrame,
     driver_map: DataFrame,
-    bucket: str | None = "15 minutes",
     max_files_per_trigger: int | None = None,
 ) -> None:
     """Car-sample pages -> raw car table; after each micro-batch the lap-telemetry mart is
@@ -154,8 +153,7 @@ def stream_telemetry(
         # only the folders of new labels are read to find their sessions, and only the
         # folders of those sessions are read in full
         car = stg_car_data(read_evolving(spark, warehouse.path("raw", "car_data")))
-        rebuild_telemetry(spark, warehouse, car, boundaries, location, distance, smap, of1_drivers,
-                          driver_map, bucket=bucket)
+        rebuild_telemetry(spark, warehouse, car, boundaries, location, distance, smap, of1_drivers, driver_map)
 
     write = raw_writer(warehouse, "car_data", parse_car_data, telemetry=True, on_batch=rebuild)
     q = start_feed(spark, warehouse, landing_dir, "car_data", write, checkpoint_dir, max_files_per_trigger)

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from racelake.operators.asof import AsofRight, asof_join, asof_join_many
+from racelake.operators.asof import AsofRight, HotKeys, asof_join, asof_join_many, measured
 from tests.conftest import rows
 
 T0 = dt.datetime(2024, 3, 2, 14, 0, 0)
@@ -68,7 +68,7 @@ def test_random_against_brute_force_and_buckets(spark):
     want = sorted(_brute(left, right), key=str)
     got = sorted((tuple(r) for r in asof_join(ldf, rdf, ["k"], "t", "t", ["v"]).collect()), key=str)
     assert got == want
-    for bucket in ("10 minutes", "1 hour", 60):
+    for bucket in ("10 minutes", "1 hour", 60, HotKeys(1), HotKeys(7), HotKeys(10**6)):
         gb = sorted((tuple(r) for r in asof_join(ldf, rdf, ["k"], "t", "t", ["v"], bucket=bucket).collect()), key=str)
         assert gb == want
 
@@ -116,3 +116,32 @@ def test_bucketed_mode_partitions_by_key_and_bucket(spark):
     # ten one-hour buckets of the single key -> ten window groups, exact result
     assert got.count() == left.count()
     assert {r.v for r in got.filter("t = timestamp'2024-03-02 15:00:00'").collect()} == {3588}
+
+
+def test_only_hot_keys_are_cut(spark):
+    """One key of 1000 rows among small ones: it alone is cut, and spread over tasks."""
+    left = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), F.timestamp_seconds("id").alias("t"))
+    right = spark.range(0, 1000, 50).select(F.lit(0).cast("long").alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("v"))
+    got = asof_join_many(left, ["k"], "t", [AsofRight(right, "t", ["v"])], bucket=HotKeys(100),
+                         keep_unmatchable=False, emit_bucket="b").collect()
+    pieces = {}
+    for r in got:
+        pieces.setdefault((r.k, r.b), []).append(r)
+        assert r.v == (r.t.timestamp() // 50 * 50 if r.k == 0 else None)
+    assert {b for k, b in pieces if k == 0} == set(range(10)) | ({10} & {b for k, b in pieces if k == 0})
+    assert max(map(len, pieces.values())) <= 110
+    assert {b for k, b in pieces if k != 0} == {None}
+
+
+def test_a_hot_key_at_one_instant(spark):
+    rows_ = [(1, dt.datetime(2024, 1, 1))] * 50
+    left = spark.createDataFrame(rows_, "k int, t timestamp")
+    right = spark.createDataFrame([(1, dt.datetime(2023, 1, 1), 5)], "k int, t timestamp, v int")
+    assert {r.v for r in asof_join(left, right, ["k"], "t", "t", ["v"], bucket=HotKeys(3)).collect()} == {5}
+
+
+def test_measured(spark):
+    df = spark.createDataFrame([(1,)] * 5 + [(2,)], "k int")
+    assert measured(HotKeys(9), ["k"], [df, df]) == HotKeys(9)
+    assert measured(HotKeys(10), ["k"], [df, df]) is None
+    assert measured("1 hour", ["k"], [df]) == "1 hour" and measured(None, ["k"], [df]) is None

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from racelake.operators.asof import HotKeys
 from racelake.plans import models as M
 from racelake.plans import quality as Q
 from tests.conftest import rows
@@ -39,7 +40,7 @@ def test_lap_telemetry_rules(spark):
     assert out[ts(5)].gps_updated == 0 and out[ts(10)].gps_updated == 0
     assert out[ts(15)].gps_updated == 1 and out[ts(25)].gps_updated == 0
     assert out[ts(30)].distance_m == 2.0 and out[ts(25)].distance_m == 1.0
-    for bucket in ("10 seconds", 7):
+    for bucket in ("10 seconds", 7, HotKeys(2), HotKeys(5), HotKeys(10**6)):
         got = {r.date: tuple(r) for r in M.lap_telemetry_core(car, b, loc, dist, bucket=bucket).collect()}
         assert got == {k: tuple(v) for k, v in out.items()}
     assert Q.boundary_consistency(b, ["session_key", "driver_number"]).count() == 0
