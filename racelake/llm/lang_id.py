@@ -8,13 +8,15 @@ t / (n + t); an escape goes on in the next shorter context, at last to one in
 and the shortest code wins (ties: the smaller name).  ``score`` is the
 winner's share when every language is equally likely beforehand.
 
-The frozen trees of all languages are flattened: every (last bytes) maps to
-the longest context that any tree holds, and each (context, byte) to its code
-length in each language.  Scoring is two table look-ups a byte, on whole arrays.
+A tree is kept sparse: for each order, the sorted codes of its (context, byte) pairs with
+their code lengths, and the sorted codes of its contexts with the cost of their escapes.
+Trees are counted by Spark and frozen one language at a time, every context of every
+language kept, so no language is cut by the others and a model of many languages is as
+large as its trees.  A byte's cost depends on it and the ``ORDER`` bytes before alone, so a
+task looks up each distinct code of a chunk once and remembers it for the next chunks.
 
-Bounds of the classifier: about ``SAMPLE_ROWS`` labelled rows a language (all,
-if there are fewer), taken by a hash of the row, and the ``CONTEXTS`` most
-frequent longest contexts.  Everything else covers all rows and whole texts.
+Bound of the classifier: about ``SAMPLE_ROWS`` labelled rows a language (all, if there are
+fewer), taken by a hash of the row.  Everything else covers all rows and whole texts.
 
 Null text, empty text and text without a letter: ``und``, score 0; so is all
 if nothing could be learned.  Repeated rows are predicted alike.  Null doc_ids
@@ -31,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sub_batches
+from .common import sub_batches, written
 
 ORDER = 3
 SAMPLE_ROWS = 4000
-CONTEXTS = 24_000
-#: Bytes scored at once.
-CHUNK = 1 << 19
-MAX_MODEL_BYTES = 256 << 20
+#: Numbers (codes x languages) that a task works on at once, and that it remembers
+#: before it starts afresh; with more languages it takes fewer bytes at once.
+CHUNK = 1 << 21
+REMEMBERED = 1 << 22
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -78,105 +80,124 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
-    """Frozen model of all languages of ``documents`` (text, lang, doc_id)."""
+    """Frozen trees of all languages of ``documents`` (text, lang, doc_id)."""
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.where(~held_out()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
     if not sizes:
-        return {"langs": []}
+        return {"langs": [], "trees": []}
     rate = F.lit(0.0)
     for lang, n in sizes.items():
         rate = F.when(F.col("lang") == lang, min(1.0, sample_rows / n)).otherwise(rate)
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    grams = (rows.where(place < rate).select("lang", "text").mapInArrow(_grams, "lang string, code long, n long")
-             .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    return freeze(sorted(sizes), grams.toArrow())
+    grams = written(rows.where(place < rate).select("lang", "text").mapInArrow(_grams, "lang string, code long, n long")
+                    .groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
+    langs = sorted(sizes)
+    # one language at a time: the driver holds the counts of one and the trees so far
+    return {"langs": langs, "trees": [freeze(grams.where(F.col("lang") == x).select("code", "n").toArrow()) for x in langs]}
 
 
-def freeze(langs: list[str], grams: pa.Table, contexts: int = CONTEXTS) -> dict:
-    """Flatten the trees: byte classes, context -> state, (state, byte) -> code lengths."""
-    lang = np.searchsorted(np.array(langs, object), np.array(grams.column("lang").to_pylist(), object)) if grams.num_rows else np.zeros(0, int)
-    code = grams.column("code").to_numpy().astype(np.int64)
+def freeze(grams: pa.Table) -> dict:
+    """One language's tree from its counts (code, n) of ORDER + 1 successive bytes.
+
+    ``pairs`` and ``contexts`` hold (sorted codes, bits) for each order: bits of the
+    byte in that context, and bits of an escape from it."""
+    code = grams.column("code").to_numpy().astype(np.uint32)
     count = grams.column("n").to_numpy().astype(np.float64)
-    parts = [(code >> (8 * (ORDER - k))) & 255 for k in range(ORDER + 1)]
-    seen = np.unique(parts[-1])
-    classes = np.zeros(256, np.int64)  # 0: a byte that was never seen, or no byte
-    classes[seen] = np.arange(1, seen.size + 1)
-    a, n_lang = seen.size + 1, len(langs)
-    sym = [classes[p] for p in parts]
-    cost = np.full((1, a, n_lang), 8.0)
-    tables = []
-    suffix_of = None
+    pairs, contexts = [], []
     for order in range(ORDER + 1):
-        context = np.zeros(code.size, np.int64)
+        # a zero byte in the context means that it would reach over the text's start
         whole = np.ones(code.size, bool)
-        for k in range(ORDER - order, ORDER):
-            context = context * a + sym[k]
-            whole &= sym[k] > 0
-        held, place = np.unique(context[whole], return_inverse=True)
-        if order == ORDER and held.size > contexts:
-            weight = np.bincount(place, weights=count[whole])
-            least = np.sort(weight)[-contexts]
-            keep = weight > least  # the ties at the limit stay out: at most ``contexts``
-            kept = np.flatnonzero(whole)[keep[place]]
-            held, place = np.unique(context[kept], return_inverse=True)
-        else:
-            kept = np.flatnonzero(whole)
-        freq = np.zeros((held.size, a, n_lang))
-        np.add.at(freq, (place, sym[ORDER][kept], lang[kept]), count[kept])
-        n, t = freq.sum(1, keepdims=True), (freq > 0).sum(1, keepdims=True)
-        # the next shorter context: the same without its first byte
-        shorter = cost[suffix_of(held)] if order else np.broadcast_to(cost, (held.size, a, n_lang))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = -np.log2(freq / (n + t))
-            escaped = shorter - np.log2(t / (n + t))
-        cost = np.where(n > 0, np.where(freq > 0, own, escaped), shorter)
-        tables.append((held, cost))
-
-        def suffix_of(longer, order=order, held=held):
-            return np.searchsorted(held, longer % a ** order)
-    # states: all contexts by order; the map takes the last ORDER classes to the longest
-    states = np.concatenate([c for _, c in tables]).astype(np.float32)
-    index = np.zeros(a ** ORDER, np.int32)
-    base = 0
-    for order, (held, c) in enumerate(tables):
-        if order:
-            view = index.reshape(-1, a ** order)  # the last ``order`` classes run fastest
-            view[:, held] = base + np.arange(held.size, dtype=np.int32)
-        base += c.shape[0]
-    model = {"langs": langs, "classes": classes, "a": a, "index": index, "cost": states.reshape(-1, n_lang)}
-    size = index.nbytes + states.nbytes
-    if size > MAX_MODEL_BYTES:
-        raise ValueError(f"the model has {size} bytes; lower CONTEXTS")
-    return model
-
-
-def code_lengths(model: dict, texts: list[bytes]) -> np.ndarray:
-    """Bits of every text in every language: (texts, languages)."""
-    n_lang, a = len(model["langs"]), model["a"]
-    out = np.zeros((len(texts), n_lang))
-    sizes = np.array([len(t) for t in texts], np.int64)
-    if not sizes.sum():
+        for k in range(1, order + 1):
+            whole &= (code >> np.uint32(8 * k)) & np.uint32(255) > 0
+        pair, place = np.unique(code[whole] & _mask(order + 1), return_inverse=True)
+        freq = np.bincount(place, weights=count[whole], minlength=pair.size)
+        context, owner, t = np.unique(pair >> np.uint32(8), return_inverse=True, return_counts=True)
+        n = np.bincount(owner, weights=freq, minlength=context.size)
+        pairs.append((pair, -np.log2(freq / (n + t)[owner]).astype(np.float32)))
+        contexts.append((context, -np.log2(t / (n + t)).astype(np.float32)))
+    return {"pairs": pairs, "contexts": contexts}
+
+
+def _mask(n_bytes: int) -> np.uint32:
+    return np.uint32((1 << 8 * n_bytes) - 1)
+
+
+def _find(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(found, bits) of ``codes`` in a table of sorted codes."""
+    held, bits = table
+    if not held.size:
+        return np.zeros(codes.size, bool), np.zeros(codes.size)
+    at = np.minimum(np.searchsorted(held, codes), held.size - 1)
+    return held[at] == codes, bits[at]
+
+
+def tree_bits(tree: dict, codes: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of every code after the bytes before it."""
+    bits, live = np.zeros(codes.size), np.ones(codes.size, bool)
+    for order in range(ORDER, -1, -1):
+        there = live.copy()
+        for k in range(1, order + 1):
+            there &= (codes >> np.uint32(8 * k)) & np.uint32(255) > 0
+        rows = np.flatnonzero(there)
+        short = codes[rows] & _mask(order + 1)
+        hit, own = _find(tree["pairs"][order], short)
+        bits[rows[hit]] += own[hit]
+        live[rows[hit]] = False
+        rows, short = rows[~hit], short[~hit] >> np.uint32(8)
+        held, escape = _find(tree["contexts"][order], short)
+        bits[rows[held]] += escape[held]
+    return bits + 8.0 * live
+
+
+class Scorer:
+    """Code lengths in all languages; remembers the codes it has met."""
+
+    def __init__(self, model: dict):
+        self.trees = model["trees"]
+        self.chunk, self.limit = [max(1 << 12, x // max(len(self.trees), 1)) for x in (CHUNK, REMEMBERED)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes, self.bits = np.zeros(0, np.uint32), np.zeros((0, len(self.trees)))
+
+    def _rows(self, distinct: np.ndarray) -> np.ndarray:
+        """Bits of sorted distinct codes: (codes, languages)."""
+        if self.codes.size + distinct.size > self.limit:
+            self._forget()
+        at = np.searchsorted(self.codes, distinct)
+        known = np.zeros(distinct.size, bool)
+        inside = at < self.codes.size
+        known[inside] = self.codes[at[inside]] == distinct[inside]
+        new = distinct[~known]
+        if new.size:
+            fresh = np.stack([tree_bits(t, new) for t in self.trees], 1)
+            self.codes, self.bits = np.insert(self.codes, at[~known], new), np.insert(self.bits, at[~known], fresh, 0)
+            at = np.searchsorted(self.codes, distinct)
+        return self.bits[at]
+
+    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of every text in every language: (texts, languages)."""
+        out = np.zeros((len(texts), len(self.trees)))
+        sizes = np.array([len(t) for t in texts], np.int64)
+        if not sizes.sum() or not self.trees:
+            return out
+        # zero bytes before each text: no context reaches over its start
+        data = np.frombuffer(bytes(ORDER) + bytes(ORDER).join(texts), np.uint8)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        for lo in range(0, owner.size, self.chunk):
+            who = owner[lo:lo + self.chunk]
+            at = np.arange(lo, lo + who.size) + ORDER * (who + 1)
+            codes = np.zeros(who.size, np.uint32)
+            for k in range(ORDER, -1, -1):
+                codes = (codes << np.uint32(8)) | data[at - k]
+            distinct, place = np.unique(codes, return_inverse=True)
+            bits = self._rows(distinct)
+            low = int(who[0])
+            span = int(who[-1]) - low + 1
+            for lang in range(len(self.trees)):
+                out[low:low + span, lang] += np.bincount(who - low, bits[:, lang][place], span)
         return out
-    # ORDER unseen symbols before each text: no context reaches over its start
-    classes = model["classes"].astype(np.int64)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    symbols = np.zeros(data.size + ORDER * len(texts), np.int64)
-    at = np.arange(data.size) + ORDER * (owner + 1)
-    symbols[at] = classes[data]
-    index, cost = model["index"], model["cost"]
-    for lo in range(0, data.size, CHUNK):
-        place, who = at[lo:lo + CHUNK], owner[lo:lo + CHUNK]
-        context = symbols[place - ORDER]
-        for k in range(ORDER - 1, 0, -1):
-            context = context * a + symbols[place - k]
-        bits = cost[index[context].astype(np.int64) * a + symbols[place]]
-        low = int(who[0])
-        span = int(who[-1]) - low + 1
-        for lang in range(n_lang):
-            out[low:low + span, lang] += np.bincount(who - low, bits[:, lang], span)
-    return out
 
 
 def predict(documents: DataFrame, model: dict) -> DataFrame:
@@ -184,8 +205,7 @@ def predict(documents: DataFrame, model: dict) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frozen = shared.value
-        langs = frozen["langs"]
+        langs, scorer = shared.value["langs"], Scorer(shared.value)
         for batch in batches:
             for piece in sub_batches(batch, 2, 2 << 20):
                 texts = piece.column(2).to_pylist()
@@ -193,7 +213,7 @@ def predict(documents: DataFrame, model: dict) -> DataFrame:
                 names, scores = ["und"] * len(texts), np.zeros(len(texts))
                 if langs:
                     raw = [t or b"" for t in piece.column(2).cast(pa.binary()).to_pylist()]
-                    bits = code_lengths(frozen, raw)
+                    bits = scorer.code_lengths(raw)
                     best = bits.argmin(1)
                     share = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
                     names = [langs[b] if ok else "und" for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]

@@ -199,7 +199,7 @@ def test_ppm_code_lengths_by_definition(spark):
         trees[lang] = tree
     # contexts of full length near a text's start are shorter ones
     tests = [b"abcd dcba", "acéf".encode(), b"zzz", b"", b"a", bytes(range(1, 40))]
-    got = lang_id.code_lengths(model, tests)
+    got = lang_id.Scorer(model).code_lengths(tests)
     for text, row in zip(tests, got, strict=True):
         for lang, bits in zip(model["langs"], row.tolist(), strict=True):
             assert bits == pytest.approx(code_length(text, trees[lang], lang_id.ORDER), rel=1e-5, abs=1e-6)
@@ -229,6 +229,29 @@ def test_language_id(spark):
     assert nothing.count() == 1
 
 
+def test_many_languages_in_mixed_scripts(spark, monkeypatch):
+    """Twelve languages, one of them with few rows: none is cut by the others, whatever
+    a task does at once and remembers."""
+    starts = [0x61, 0x3B1, 0x430, 0x5D0, 0x627, 0x915, 0xE01, 0x10D0, 0x1200, 0x3042, 0x4E00, 0xAC00]
+    rnd = random.Random(12)
+    rows = []
+    for n, start in enumerate(starts):
+        words = ["".join(chr(start + rnd.randrange(24)) for _ in range(rnd.randint(2, 7))) for _ in range(60)]
+        for _ in range(4 if n == 5 else 40):
+            rows.append((len(rows), " ".join(rnd.choices(words, k=25)), f"l{n:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in lang_id.identify(docs).collect()}
+    assert got == {d: lang for d, _, lang in rows}
+    model = lang_id.train(docs)
+    assert model["langs"] == [f"l{n:02d}" for n in range(12)]
+    texts = [t.encode() for _, t, _ in rows]
+    want = lang_id.Scorer(model).code_lengths(texts)
+    for size in (1, 12 * 5000):
+        monkeypatch.setattr(lang_id, "CHUNK", size)
+        monkeypatch.setattr(lang_id, "REMEMBERED", size)
+        assert np.allclose(lang_id.Scorer(model).code_lengths(texts), want, rtol=1e-9)
+
+
 def test_held_out_accuracy_on_the_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     truth = {r.doc_id: r.lang for r in docs.collect()}
