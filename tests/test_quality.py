@@ -46,3 +46,21 @@ def test_data_test_suite_names_the_failing_rows(spark):
                  "relationship:fact_race_results.jolpica_driver_id: 1 rows", '"jolpica_driver_id":"q"', "not_null:fact_race_results.round"):
         assert part in text
     assert DT.run_data_tests(spark, {}).count() == 0
+
+
+def test_one_scan_a_table_and_the_same_results(spark, tmp_path):
+    """However many tests a table has, it is read once; counts equal those of the checks."""
+    from racelake.plans import data_tests as DT
+    rows = [(i % 7 or None, i % 5, None if i % 3 else "c1") for i in range(40)]
+    spark.createDataFrame(rows, "driver_id int, lap_number int, constructor_id string").write.parquet(f"{tmp_path}/laps")
+    spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "driver_id int").write.parquet(f"{tmp_path}/drivers")
+    tables = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("laps", "drivers")}
+    suite = [DT.Test("laps", "driver_id", "not_null"), DT.Test("laps", "constructor_id", "not_null"),
+             DT.Test("laps", "lap_number", "accepted", values=(0, 1)), DT.Test("laps", "constructor_id", "accepted", values=("c1",)),
+             DT.Test("drivers", "driver_id", "unique"), DT.Test("drivers", "driver_id", "not_null")]
+    plan = DT.compile_tests(tables, suite)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    related = [*suite, DT.Test("laps", "driver_id", "relationship", "drivers", "driver_id")]
+    got = {r.test: (r.n_failing, r.example) for r in DT.run_data_tests(spark, tables, related).collect()}
+    assert {k: n for k, (n, _) in got.items()} == {t.name: t.failing(tables).count() for t in related}
+    assert got["unique:drivers.driver_id"][1] == '{"driver_id":2,"n":2}'
