@@ -5,12 +5,18 @@ A batch is a table of events (doc_id, source, lang, version, op, n_tokens, text
 not needed) with op ``insert``, ``delete`` or ``revise``.  ``apply_batch`` looks up
 the committed counts of the documents it names, writes the signed differences
 per (source, lang, version) and the new counts per document, and commits.  Totals
-are the sum of all committed differences: no batch ever reads all documents.
+are the sum of all committed differences: no batch reads any text again.
+
+The counts per document (the ledger) are split by a hash of the doc_id; a batch reads
+only the splits that hold its documents.  ``compact`` folds committed differences into
+one snapshot of totals, and the ledger's rows into one snapshot with a row for each
+document and version.
 
 Commits are idempotent: a batch writes to folders of its own name (a rerun after a
 failure overwrites them) and counts only from the moment its marker exists; a batch
-whose marker exists is skipped.  ``compact`` folds committed differences
-into one snapshot that lists the batches it holds.  One writer at a time.
+whose marker exists is skipped.  So with snapshots: one counts, and covers the batches up
+to its number, only from the moment its marker exists; what an interrupted ``compact``
+left is never read, and written over by the next.  One writer at a time, readers at any.
 
 Defined cases: an insert of a known document replaces its count; a delete or
 revision of an unknown one changes nothing.  Several events of one batch for
@@ -34,7 +40,9 @@ from .tokenizing import CACHE_WORDS, encoder
 
 KEYS = ["source", "lang", "version"]
 DELTAS = "source string, lang string, version string, n_docs long, n_tokens long"
-LEDGER = "doc_id long, version string, source string, lang string, n_tokens long, batch_no long"
+LEDGER = "doc_id long, version string, source string, lang string, n_tokens long, batch_no long, split int"
+#: Splits of the ledger, by a hash of the doc_id.
+SPLITS = 32
 
 
 def count_tokens(documents: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
@@ -53,6 +61,10 @@ def count_tokens(documents: DataFrame, vocabularies: dict[str, str]) -> DataFram
     return rows.mapInArrow(run, "doc_id long, source string, lang string, version string, n_tokens long")
 
 
+def _split():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SPLITS)).cast("int")
+
+
 class Rollup:
     """Totals in a folder of a store that Spark reaches."""
 
@@ -82,29 +94,48 @@ class Rollup:
         paths = [f"{self.path}/{folder}/{n}" for n in names]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def snapshot(self) -> int:
+        """Number of the last published snapshot (0: none); it holds all batches up to it."""
+        return max(map(int, self._names("published")), default=0)
+
+    def _ledger_rows(self, splits: list[int] | None = None) -> DataFrame:
+        """Committed rows of the ledger, of all splits or the given ones."""
+        last = self.snapshot()
+        live = [b for b, n in self.committed().items() if n > last]
+        if live:  # the batch is a partition column too: folders without a marker are not opened
+            rows = self.spark.read.schema(LEDGER + ", batch string").parquet(f"{self.path}/ledger").where(F.col("batch").isin(live)).drop("batch")
+        else:
+            rows = self._read("ledger", [], LEDGER)
+        if last:
+            rows = rows.unionByName(self._read("ledger-snapshots", [f"{last:012d}"], LEDGER))
+        return rows if splits is None else rows.where(F.col("split").isin(splits))  # a partition column: prunes folders
+
     def ledger(self) -> DataFrame:
         """Committed counts: the last row of each document and version, if not deleted."""
-        rows = self._read("ledger", self.committed(), LEDGER)
-        last = rows.groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "batch_no").alias("x"))
+        last = self._ledger_rows().groupBy("doc_id", "version").agg(
+            F.max_by(F.struct("source", "lang", "n_tokens", "batch_no"), "batch_no").alias("x"))
         return last.select("doc_id", "version", "x.*").where("n_tokens is not null")
 
+    def _write_ledger(self, rows: DataFrame, folder: str) -> None:
+        rows = rows.withColumn("split", _split())
+        (rows.hint("rebalance", "split").sortWithinPartitions("split").write.mode("overwrite")
+         .partitionBy("split").parquet(f"{self.path}/{folder}"))
+
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens of the groups that hold documents."""
-        done, snapshot, held = self.committed(), None, set()
-        snapshots = sorted(self._names("snapshots"))
-        if snapshots:
-            snapshot = snapshots[-1]
-            held = {b for b, n in done.items() if n <= int(snapshot)}
-        rows = self._read("deltas", [b for b in done if b not in held], DELTAS)
-        if snapshot:
-            rows = rows.unionByName(self._read("snapshots", [snapshot], DELTAS))
+        last = self.snapshot()
+        rows = self._read("deltas", [b for b, n in self.committed().items() if n > last], DELTAS)
+        if last:
+            rows = rows.unionByName(self._read("snapshots", [f"{last:012d}"], DELTAS))
         return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0")
 
     def compact(self) -> None:
-        """Fold all committed differences into one snapshot."""
-        done = self.committed()
-        if done:
-            self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshots/{max(done.values()):012d}")
+        """Fold all committed differences and the ledger into one snapshot, then publish it."""
+        number = max(self.committed().values(), default=0)
+        if number > self.snapshot():
+            self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshots/{number:012d}")
+            self._write_ledger(self.ledger(), f"ledger-snapshots/{number:012d}")
+            self._fs.create(self._jvm.Path(f"{self.path}/published/{number:012d}"), False).close()
 
     # batches -----------------------------------------------------------------
     def apply_batch(self, batch: str, events: DataFrame) -> bool:
@@ -120,7 +151,8 @@ class Rollup:
                  .agg(F.max(F.struct(rank.alias("rank"), "n_tokens", "source", "lang")).alias("new")))
         if done:
             keys = named.select("doc_id", "version")
-            rows = self._read("ledger", done, LEDGER).join(keys, ["doc_id", "version"], "left_semi")
+            splits = [r["split"] for r in keys.select(_split().alias("split")).distinct().collect()]  # at most SPLITS
+            rows = self._ledger_rows(splits).join(keys, ["doc_id", "version"], "left_semi")
             old = rows.groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "batch_no").alias("old"))
             both = named.join(old.where("old.n_tokens is not null"), ["doc_id", "version"], "left")
         else:
@@ -141,7 +173,7 @@ class Rollup:
         ledger = both.select("doc_id", "version", F.col("new.source").alias("source"), F.col("new.lang").alias("lang"),
                              count.cast("long").alias("n_tokens"), F.lit(number).cast("long").alias("batch_no"))
         deltas.write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")
-        ledger.write.mode("overwrite").parquet(f"{self.path}/ledger/{batch}")
+        self._write_ledger(ledger, f"ledger/batch={batch}")
         self._mark(batch, number)
         return True
 

@@ -200,6 +200,50 @@ def test_rollup(spark):
     assert {(x.doc_id, x.version): x.n_tokens for x in r.ledger().collect()} == {(1, "v1"): 20, (1, "v2"): 12, (3, "v1"): 4}
 
 
+def test_interrupted_compact_changes_nothing(spark):
+    """A snapshot counts from its marker on: what a lost run left behind is not read."""
+    r = token_counts.Rollup(spark, fresh_path(spark, "rollup"))
+
+    def totals():
+        return [(x.source, x.n_docs, x.n_tokens) for x in r.totals().collect()]
+    r.apply_batch("load", events(spark, [(i, "a", "en", "v1", "insert", i) for i in range(100)]))
+    spark.range(3).write.parquet(f"{r.path}/snapshots/000000000001")
+    spark.range(3).write.parquet(f"{r.path}/ledger-snapshots/000000000001/split=0")
+    assert totals() == [("a", 100, 4950)] and r.ledger().count() == 100
+    lost = token_counts.Rollup(spark, r.path)
+    lost._write_ledger = lambda *_: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError):
+        lost.compact()
+    assert r.snapshot() == 0 and totals() == [("a", 100, 4950)]
+    r.compact()
+    assert r.snapshot() == 1 and totals() == [("a", 100, 4950)] and r.ledger().count() == 100
+    r.compact()  # nothing new: the published snapshot stays as it is
+    r.apply_batch("less", events(spark, [(5, None, None, "v1", "delete", None), (6, "a", "en", "v1", "revise", 1000)]))
+    assert totals() == [("a", 99, 4950 - 5 - 6 + 1000)]
+    r.compact()
+    assert r.snapshot() == 2 and totals() == [("a", 99, 5939)] and r.ledger().count() == 99
+    r.apply_batch("back", events(spark, [(5, "a", "en", "v1", "insert", 5)]))
+    assert totals() == [("a", 100, 5944)]
+
+
+def test_a_batch_reads_only_the_splits_of_its_documents(spark):
+    r = token_counts.Rollup(spark, fresh_path(spark, "rollup"))
+    r.apply_batch("load", events(spark, [(i, "a", "en", "v1", "insert", i) for i in range(500)]))
+    r.compact()
+    rows = r._ledger_rows([3])
+    assert 0 < rows.count() < 60
+    assert "PartitionFilters: [isnotnull(split" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_words_are_never_more_than_the_limit(spark):
+    rows = [("aa bb cc dd ee " * 12_000 + "rare ",)] + [("ff gg " * 40,)]
+    docs = spark.createDataFrame(rows, "text string")
+    for limit in (0, 2, 5, 6, 7):
+        words = bpe_codec.frequent_words(docs, limit, min_in_task=1)
+        assert len(words) == len(set(words)) == limit
+        assert set(words) <= set("aa bb cc dd ee".split()) or limit > 5
+
+
 def test_corpus_rollup(spark):
     docs = cases.documents(spark)
     labels = spark.createDataFrame([(11, 1, 1), (11, 1, 1), (13, 0, 0), (None, 1, 1), (12, None, None)], "doc_id long, quality int, toxic int")
