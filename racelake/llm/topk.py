@@ -14,8 +14,9 @@
    verified with exact integer products.
 5. The k best of a query are taken from its buckets' best.
 
-Rows that are null, hold a null or non-finite component, have no vec_id, or a
-component too large for a 64-bit score take no part.  Shorter vectors count as
+Rows that are null, hold a null or non-finite component, or have no vec_id take no
+part; all others do.  Scaled components and scores beyond plus or minus (2^63 - 1) are
+held at that; all others are exact.  Shorter vectors count as
 padded with zeros.  A query's own row is left out, other rows with its vec_id
 are not; each repeated query row has its own result.  Ties go to the smaller
 vec_id.  Fewer candidates than k: all.  Empty tables give no rows.
@@ -39,13 +40,14 @@ QUERY_SPLIT = 50_000
 #: Local cosine thresholds from which coordinates prune, and how many of them.
 COSINE, FOCUS = 0.3, 3
 _SLACK = 1e-9
+_LONG = 2**63 - 1
 
 
 def vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
     """(uid, vec_id, v, norm) of the rows that take part."""
-    limit = float(1 << 30)
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) * scale < limit))
+    top = F.lit(_LONG)
+    scaled = F.transform("embedding", lambda x: F.greatest(-top, F.least(top, F.floor(x.cast("double") * scale))))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     rows = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.cast("array<long>").alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
@@ -80,13 +82,13 @@ def products(m: np.ndarray, q: np.ndarray) -> np.ndarray:
     m, q = m[:, :dim], q[:dim]
     if not dim or not m.shape[0]:
         return np.zeros(m.shape[0], np.int64)
-    top = float(np.abs(m).max()) * float(np.abs(q).max()) * dim
+    top = float(max(-int(m.min()), int(m.max()))) * float(max(-int(q.min()), int(q.max()))) * dim
     if top < 2.0 ** 53:  # doubles hold every partial sum exactly
         return (m.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
     if top < 2.0 ** 62:
         return m @ q
     exact = m.astype(object) @ q.astype(object)
-    return np.array([min(max(int(x), -2**63), 2**63 - 1) for x in exact], np.int64)
+    return np.array([min(max(int(x), -_LONG), _LONG) for x in exact], np.int64)
 
 
 class Bucket:

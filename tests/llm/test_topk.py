@@ -6,6 +6,9 @@ import pytest
 from racelake.llm import topk
 
 
+LONG = 2**63 - 1
+
+
 def brute(rows, k=5, every=50, scale=256):
     good = []
     for uid, (i, v) in enumerate(rows):
@@ -15,7 +18,7 @@ def brute(rows, k=5, every=50, scale=256):
     out = []
     for uid, i, q in good:
         if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for u, j, v in good if u != uid)[:k]  # noqa: B905
+            scores = sorted((-max(-LONG, min(LONG, sum(a * b for a, b in zip(q, v)))), j) for u, j, v in good if u != uid)[:k]  # noqa: B905
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)]
     return sorted(out)
 
@@ -45,6 +48,19 @@ def test_few_and_none(spark):
     assert topk.top_k(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("bucket", [2, 4096])
+def test_large_components_take_part(spark, bucket):
+    big = [float(2**22), float(2**31), 5e6, 2.0**54]
+    rows = [(50, [1.0, 1.0]), (1, [5e6, 0.0]), (2, [1.0, 0.0]), (100, [2.0**22, -1.0]), (150, [0.0, 2.0**-8])]
+    rows += [(10 + i, [b, -float(i)]) for i, b in enumerate(big)]
+    assert result(topk.top_k(table(spark, rows), bucket=bucket)) == brute(rows)
+    assert topk.top_k(table(spark, rows)).where("query_id = 50 and rank = 1").first()["vec_id"] == 13
+    # scores beyond a long are held at its end, and tie there
+    huge = [(50, [3e38]), (3, [3e38]), (2, [3e38]), (1, [-3e38]), (4, [0.0])]
+    got = {(r.rank, r.vec_id): r.score for r in topk.top_k(table(spark, huge), bucket=bucket).collect()}
+    assert got == {(1, 2): 2**63 - 1, (2, 3): 2**63 - 1, (3, 4): 0, (4, 1): -(2**63 - 1)}
+
+
 def test_pruning_skips_short_vectors():
     rng = np.random.default_rng(0)
     m = np.sort(rng.integers(1, 50, 300))[::-1]
