@@ -178,18 +178,20 @@ def _count_words(min_in_task: int):
 
 
 def frequent_words(documents: DataFrame, limit: int = LEXICON, min_in_task: int = MIN_IN_TASK) -> list[str]:
-    """At most ``limit`` words, those above a count that no more words exceed."""
+    """At most ``limit`` words, the most frequent ones (of the last step of counts, any)."""
     counts = (documents.select(F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
               .mapInArrow(_count_words(min_in_task), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    counts = written(counts, "word-counts")
-    # how many words have each count: at most 10,000 rows
-    steps = counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect()
-    total, least = 0, 10_001
-    for n, words in sorted(((r["n"], r["count"]) for r in steps), reverse=True):
-        if total + words > limit:
+    # 64 steps for each doubling of the count: at most 4,096 rows for the driver
+    counts = written(counts.withColumn("step", F.floor(64 * F.log2("n")).cast("int")), "word-counts")
+    steps = {r["step"]: r["count"] for r in counts.groupBy("step").count().collect()}
+    room, cut = limit, -1  # words that fit beyond the whole steps, and the step they come from
+    for step in sorted(steps, reverse=True):
+        if steps[step] > room:
+            cut = step
             break
-        total, least = total + words, n
-    return [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
+        room -= steps[step]
+    chosen = counts.where(F.col("step") > cut).unionByName(counts.where(F.col("step") == cut).limit(room))
+    return [r["word"] for r in chosen.select("word").collect()]
 
 
 def compile_lexicon(spark: SparkSession, words: list[str], vocab: str) -> str | None:
