@@ -19,6 +19,7 @@ from racelake.contract.registry import query
 from racelake.contract.sqlgen import oracle
 from racelake.session import scratch_path
 from racelake.sources import jolpica as J
+from racelake.plans import staging as STG
 from racelake.sources import openf1 as O
 from racelake.sources.bridge import driver_number_bridge
 from racelake.sources.distance import clean_distance
@@ -271,17 +272,25 @@ def _iso(c):
     return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
 
 
-@query("src_sessions", oracle("""
-SELECT session_key, session_name, session_type, '' AS status, year, meeting_key, location, country_name
+_ISO_SQL = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%g+00:00')"
+
+
+@query("src_sessions", oracle(f"""
+SELECT session_key, session_name, session_type, '' AS status, '' AS gmt_offset, '' AS path, {_ISO_SQL.format("date_start")} AS date_start,
+       {_ISO_SQL.format("date_end")} AS date_end, year, CAST(NULL AS INTEGER) AS circuit_key, circuit_short_name,
+       CAST(NULL AS INTEGER) AS country_key, country_code, country_name, location, meeting_key,
+       date_trunc('millisecond', date_start) AS starts, date_trunc('millisecond', date_end) AS ends
 FROM fx_stg_sessions"""))
 def q_src_sessions(spark, sf):
-    """Flat array page per year; absent status -> ''."""
+    """Flat array page per year; absent texts -> ''; times as text, and as the
+    staging view reads them."""
     s = Inputs(spark, sf).sessions()
     item = F.struct("session_key", "session_name", "session_type", _iso(F.col("date_start")).alias("date_start"),
                     _iso(F.col("date_end")).alias("date_end"), "year", "meeting_key", "location", "country_name",
                     "country_code", "circuit_short_name")
-    return O.parse_sessions(_flat_pages(s, ["year"], item)).select(
-        "session_key", "session_name", "session_type", "status", "year", "meeting_key", "location", "country_name")
+    raw = O.parse_sessions(_flat_pages(s, ["year"], item))
+    staged = STG.stg_sessions(raw).select("session_key", F.col("date_start").alias("starts"), F.col("date_end").alias("ends"))
+    return raw.drop("_ingested_at", "_raw_json").join(staged, "session_key")
 
 
 @query("src_timing_drivers", oracle("""
@@ -295,13 +304,14 @@ def q_src_timing_drivers(spark, sf):
         "session_key", "driver_number", "name_acronym", "team_name", "team_colour", "headshot_url", "full_name")
 
 
-@query("src_array_compact", oracle("""
-SELECT session_key, driver_number, lap_number, lap_duration, is_pit_out_lap,
-       CASE WHEN lap_number % 3 = 0 THEN 2 ELSE 3 END AS n_seg1,
-       CASE WHEN lap_number % 4 = 0 THEN 0 ELSE 2 END AS n_seg2, 1 AS n_seg3
+@query("src_array_compact", oracle(f"""
+SELECT session_key, driver_number, lap_number, {_ISO_SQL.format("lap_start")} AS date_start, date_trunc('millisecond', lap_start) AS lap_start,
+       lap_duration, is_pit_out_lap, duration_sector_1, duration_sector_2, duration_sector_3, i1_speed, i2_speed, st_speed,
+       CASE WHEN lap_number % 3 = 0 THEN [2048, 2051] ELSE [2049, 2049, 2064] END AS segments_sector_1,
+       CASE WHEN lap_number % 4 = 0 THEN [] ELSE [2048, 2051] END AS segments_sector_2, [2049] AS segments_sector_3
 FROM fx_stg_laps WHERE lap_number % 13 <> 0"""))
 def q_src_laps_of1(spark, sf):
-    """Laps without a start time dropped; NULLs removed from the
+    """Whole rows; laps without a start time dropped; NULLs removed from the
     segment arrays; a missing array becomes empty; pit-out flag 0/1."""
     laps = Inputs(spark, sf).of1_laps()
     seg1 = F.when(F.col("lap_number") % 3 == 0, F.array(F.lit(2048), F.lit(None).cast("int"), F.lit(2051))) \
@@ -313,10 +323,9 @@ def q_src_laps_of1(spark, sf):
                     "duration_sector_1", "duration_sector_2", "duration_sector_3", "i1_speed", "i2_speed", "st_speed",
                     seg1.alias("segments_sector_1"), seg2.alias("segments_sector_2"),
                     F.array(F.lit(None).cast("int"), F.lit(2049)).alias("segments_sector_3"))
-    p = O.parse_laps(_flat_pages(laps, ["session_key"], item))
-    return p.select("session_key", "driver_number", "lap_number", "lap_duration", "is_pit_out_lap",
-                    F.size("segments_sector_1").alias("n_seg1"), F.size("segments_sector_2").alias("n_seg2"),
-                    F.size("segments_sector_3").alias("n_seg3"))
+    raw = O.parse_laps(_flat_pages(laps, ["session_key"], item))
+    staged = STG.stg_of1_laps(raw).select("session_key", "driver_number", "lap_number", "lap_start")
+    return raw.drop("_ingested_at", "_raw_json").join(staged, ["session_key", "driver_number", "lap_number"])
 
 
 @query("src_stints", oracle("""
@@ -333,53 +342,53 @@ def q_src_stints(spark, sf):
 
 
 @query("src_lapped_to_null", oracle("""
-SELECT session_key, driver_number, event_id,
+SELECT session_key, driver_number, date_trunc('second', date) AS interval_date,
        CASE WHEN speed % 10 = 0 THEN NULL ELSE CAST(speed AS DOUBLE) / 4 END AS gap_to_leader,
-       CASE WHEN speed % 7 = 0 THEN NULL ELSE CAST(speed % 7 AS DOUBLE) / 4 END AS interval
+       CASE WHEN speed % 7 = 0 THEN NULL ELSE CAST(speed % 7 AS DOUBLE) / 4 END AS interval, 'openf1' AS _source
 FROM fx_car"""))
 def q_src_intervals(spark, sf):
-    """Gap text such as ``+1 LAP`` -> NULL, numbers kept."""
+    """Gap text such as ``+1 LAP`` -> NULL, numbers kept."""
     car = Inputs(spark, sf).car()
     gap = F.when(F.col("speed") % 10 == 0, F.lit("+1 LAP")).otherwise((F.col("speed") / 4).cast("string"))
     itv = F.when(F.col("speed") % 7 == 0, F.lit("+2 LAPS")).otherwise(((F.col("speed") % 7) / 4).cast("string"))
-    item = F.struct("session_key", "driver_number", _s("event_id").alias("date"), gap.alias("gap_to_leader"),
+    item = F.struct("session_key", "driver_number", _iso(F.col("date")).alias("date"), gap.alias("gap_to_leader"),
                     itv.alias("interval"))
-    p = O.parse_intervals(_flat_pages(car, ["session_key", "driver_number"], item))
-    return p.select("session_key", "driver_number", F.col("date").cast("long").alias("event_id"),
-                    "gap_to_leader", "interval")
+    return STG.stg_intervals(O.parse_intervals(_flat_pages(car, ["session_key", "driver_number"], item))).drop("_ingested_at")
 
 
 @query("src_weather", oracle("""
-SELECT session_key, event_id, CASE WHEN v % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(v AS DOUBLE) END AS air_temperature,
-       CAST(0 AS DOUBLE) AS humidity, CASE WHEN v % 3 = 0 THEN 1 ELSE 0 END AS rainfall, 0 AS wind_direction
+SELECT session_key, date_trunc('second', date) AS weather_date,
+       CASE WHEN v % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(v AS DOUBLE) END AS air_temperature, CAST(0 AS DOUBLE) AS track_temperature,
+       CAST(0 AS DOUBLE) AS humidity, CAST(0 AS DOUBLE) AS pressure, 0 AS wind_direction, CAST(0 AS DOUBLE) AS wind_speed,
+       CASE WHEN v % 3 = 0 THEN 1 ELSE 0 END AS rainfall, 'openf1' AS _source
 FROM fx_samples WHERE event_type = 'error'"""))
 def q_src_weather(spark, sf):
-    """Absent numbers default to 0, rainfall bool -> 0/1."""
+    """Absent numbers default to 0, rainfall bool -> 0/1."""
     s = Inputs(spark, sf)._l("fx_samples").filter(F.col("event_type") == "error")
-    item = F.struct("session_key", _s("event_id").alias("date"),
+    item = F.struct("session_key", _iso(F.col("date")).alias("date"),
                     F.when(F.col("v") % 4 != 0, F.col("v").cast("double")).alias("air_temperature"),
                     (F.col("v") % 3 == 0).alias("rainfall"))
-    p = O.parse_weather(_flat_pages(s, ["session_key"], item))
-    return p.select("session_key", F.col("date").cast("long").alias("event_id"), "air_temperature", "humidity",
-                    "rainfall", "wind_direction")
+    return STG.stg_weather(O.parse_weather(_flat_pages(s, ["session_key"], item))).drop("_ingested_at")
 
 
 @query("src_race_control", oracle("""
-SELECT session_key, event_id, CASE WHEN v % 2 = 0 THEN driver_number END AS driver_number,
-       CASE WHEN v % 3 = 0 THEN 'Flag' ELSE '' END AS category, CASE WHEN v % 3 = 0 THEN 'YELLOW' END AS flag,
-       'msg ' || CAST(v AS VARCHAR) AS message
+SELECT session_key, date_trunc('second', date) AS message_date, CASE WHEN v % 2 = 0 THEN driver_number END AS driver_number,
+       CASE WHEN v % 5 = 0 THEN v % 50 END AS lap_number, CASE WHEN v % 3 = 0 THEN 'Flag' ELSE '' END AS category,
+       CASE WHEN v % 3 = 0 THEN 'YELLOW' END AS flag, CASE WHEN v % 3 = 0 THEN 'Sector' END AS scope,
+       CASE WHEN v % 3 = 0 THEN v % 20 END AS sector, 'msg ' || CAST(v AS VARCHAR) AS message, 'openf1' AS _source
 FROM fx_samples WHERE event_type = 'error'"""))
 def q_src_race_control(spark, sf):
-    """Five nullable columns, absent category -> ''."""
+    """Five nullable columns, absent category -> ''."""
     s = Inputs(spark, sf)._l("fx_samples").filter(F.col("event_type") == "error")
-    item = F.struct("session_key", _s("event_id").alias("date"),
+    item = F.struct("session_key", _iso(F.col("date")).alias("date"),
+                    F.when(F.col("v") % 5 == 0, F.col("v") % 50).alias("lap_number"),
+                    F.when(F.col("v") % 3 == 0, F.lit("Sector")).alias("scope"),
+                    F.when(F.col("v") % 3 == 0, F.col("v") % 20).alias("sector"),
                     F.when(F.col("v") % 2 == 0, F.col("driver_number")).alias("driver_number"),
                     F.when(F.col("v") % 3 == 0, F.lit("Flag")).alias("category"),
                     F.when(F.col("v") % 3 == 0, F.lit("YELLOW")).alias("flag"),
                     F.concat(F.lit("msg "), _s("v")).alias("message"))
-    p = O.parse_race_control(_flat_pages(s, ["session_key"], item))
-    return p.select("session_key", F.col("date").cast("long").alias("event_id"), "driver_number", "category",
-                    "flag", "message")
+    return STG.stg_race_control(O.parse_race_control(_flat_pages(s, ["session_key"], item))).drop("_ingested_at")
 
 
 @query("src_partitioned_telemetry", oracle("""

@@ -149,6 +149,14 @@ def quali_drivers(quali: DataFrame, drivers_dim: DataFrame, season: int, rnd: in
             .orderBy("qualifying_position"))
 
 
+def quali_session_drivers(qualifying_summary: DataFrame, season: int, rnd: int) -> DataFrame:
+    """R14 with team, colour, best sectors and speeds, from the summary mart."""
+    return (qualifying_summary.filter((F.col("season") == season) & (F.col("round") == rnd))
+            .select("qualifying_position", "driver_name", "team_name", "team_colour", "best_time",
+                    "best_s1", "best_s2", "best_s3", "i1_speed", "st_speed")
+            .orderBy("qualifying_position"))
+
+
 def lap_trace(telemetry: DataFrame, session_key: int, driver_number: int, lap_number: int) -> DataFrame:
     """Ordered samples of one lap (partition-pruned on session_key when
     the mart is read from its partitioned layout)."""
