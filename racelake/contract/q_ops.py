@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from racelake import fixtures as fx
 from racelake.contract.inputs import Inputs
-from racelake.contract.q_models import parse_ms_sql
-from racelake.contract.registry import QUERIES, ORACLE, query
+from racelake.contract.q_models import FACT_QUALI_SQL, parse_ms_sql
+from racelake.contract.registry import query
 from racelake.contract.sqlgen import SMAP, oracle
 from racelake.functions.casts import json_field, or_null, or_zero, parse_ts, with_json_fallback
 from racelake.functions.laptime import format_gap, format_lap_time, parse_lap_time
@@ -15,7 +15,7 @@ from racelake.operators import dedup as K
 from racelake.operators.asof import AsofRight, HotKeys, asof_join, asof_join_many
 from racelake.operators.incremental import after_watermark, unseen_keys
 from racelake.operators.intervals import interval_bounds, slice_intervals
-from racelake.operators.lookups import segment_label_map
+from racelake.operators.lookups import lookup_update, segment_label_map
 from racelake.operators.match import tolerance_match
 from racelake.operators.rank import global_rank
 from racelake.operators.windows import change_flag, delta_to_best, group_mean, ordinal, rows_at_group_min
@@ -678,18 +678,80 @@ def q_global_lap_rank(spark, sf):
 
 
 # ======================================================================
-# Survey names whose operator is exercised by a model or report query
-
-for alias, target in {
-    "topk_semi": "rep_points_progression",
-    "distinct_flag": "mart_sprint_weekends",
-    "distinct_seasons": "rep_seasons",
-    "head_to_head": "rep_head_to_head",
-    "lookup_update": "mart_dim_circuits",
-    "match_status": "mart_fact_qualifying",
-    "positions_gained": "rep_positions_gained",
-    "join_inner_dims": "rep_quali_drivers",
-}.items():
-    QUERIES[alias] = QUERIES[target]
-    if target in ORACLE:
-        ORACLE[alias] = ORACLE[target]
+# operators that models and reports are made of, each on its own
+
+@query("topk_semi", oracle("""
+WITH top AS (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25)
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM top)"""))
+def q_topk_semi(spark, sf):
+    """Rows of the 25 largest of another table (top-k, then a semi join)."""
+    top = fx.table(spark, sf, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").limit(25).select(F.col("c_custkey").alias("o_custkey"))
+    return fx.table(spark, sf, "orders").join(top, "o_custkey", "left_semi").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("distinct_flag", oracle("SELECT l_orderkey, l_suppkey, 1 AS has_return FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL"))
+def q_distinct_flag(spark, sf):
+    """A5: distinct keys with a constant flag."""
+    li = fx.table(spark, sf, "lineitem").filter("l_returnflag = 'R'")
+    return li.select("l_orderkey", "l_suppkey").distinct().withColumn("has_return", F.lit(1))
+
+
+@query("distinct_seasons", oracle("SELECT CAST(year(o_orderdate) AS INTEGER) AS season, count(*) AS n FROM orders GROUP BY 1"))
+def q_distinct_seasons(spark, sf):
+    """The seasons that occur, with their size."""
+    o = fx.table(spark, sf, "orders")
+    return o.groupBy(F.year("o_orderdate").alias("season")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("head_to_head", oracle("""
+SELECT a.season, a.driver_id AS driver, b.driver_id AS other, count(*) FILTER (WHERE a.finish_position < b.finish_position) AS wins, count(*) AS races
+FROM fx_results_full a JOIN fx_results_full b ON a.season = b.season AND a.round = b.round AND a.driver_id <> b.driver_id
+WHERE a.driver_id IN ('d01', 'd05', 'd09') AND b.driver_id IN ('d01', 'd05', 'd09')
+  AND a.finish_position IS NOT NULL AND b.finish_position IS NOT NULL
+GROUP BY a.season, a.driver_id, b.driver_id"""))
+def q_head_to_head(spark, sf):
+    """Races of one driver against another, in every season (self join on the race)."""
+    r = Inputs(spark, sf).results().filter(F.col("driver_id").isin("d01", "d05", "d09") & F.col("finish_position").isNotNull())
+    a = r.select("season", "round", F.col("driver_id").alias("driver"), F.col("finish_position").alias("own"))
+    b = r.select("season", "round", F.col("driver_id").alias("other"), F.col("finish_position").alias("theirs"))
+    return (a.join(b, ["season", "round"]).filter("driver <> other").groupBy("season", "driver", "other")
+            .agg(F.count_if(F.col("own") < F.col("theirs")).alias("wins"), F.count(F.lit(1)).alias("races")))
+
+
+@query("match_status", oracle(f"""
+SELECT season, best_source_match, count(*) AS n FROM {FACT_QUALI_SQL} f GROUP BY season, best_source_match"""))
+def q_match_status(spark, sf):
+    """how the official best times were matched, by season."""
+    i = Inputs(spark, sf)
+    fq = M.fact_qualifying(i.quali(), i.driver_map(), M.session_map(i.sessions(), i.races()), i.of1_laps())
+    return fq.groupBy("season", "best_source_match").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("positions_gained", oracle("""
+SELECT season, round, driver_id, CAST(grid_position AS INTEGER) - CAST(finish_position AS INTEGER) AS gained FROM fx_results_full"""))
+def q_positions_gained(spark, sf):
+    """signed difference of two unsigned places; NULL where the driver did not finish."""
+    r = Inputs(spark, sf).results()
+    return r.select("season", "round", "driver_id", (F.col("grid_position").cast("int") - F.col("finish_position").cast("int")).alias("gained"))
+
+
+@query("join_inner_dims", oracle("""
+SELECT l_orderkey, l_linenumber, c_custkey, n_name, r_name FROM lineitem
+JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"""))
+def q_join_inner_dims(spark, sf):
+    """A fact with its chain of dimensions, by inner equi joins."""
+    t = lambda name, *cols: fx.table(spark, sf, name).select(*cols)
+    dims = (t("customer", "c_custkey", "c_nationkey").join(t("nation", "n_nationkey", "n_name", "n_regionkey"), F.expr("n_nationkey = c_nationkey"))
+            .join(t("region", "r_regionkey", "r_name"), F.expr("r_regionkey = n_regionkey")))
+    return (t("lineitem", "l_orderkey", "l_linenumber").join(t("orders", "o_orderkey", "o_custkey"), F.expr("o_orderkey = l_orderkey"))
+            .join(dims, F.expr("c_custkey = o_custkey")).select("l_orderkey", "l_linenumber", "c_custkey", "n_name", "r_name"))
+
+
+@query("lookup_update", oracle("""
+SELECT s_suppkey, s_nationkey, CASE s_nationkey WHEN 1 THEN 'north' WHEN 5 THEN 'south' ELSE s_name END AS s_name FROM supplier"""))
+def q_lookup_update(spark, sf):
+    """Values of the listed keys replaced from a constant table, all others kept."""
+    lookup = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("s_nationkey"), F.lit(v).alias("s_name")) for k, v in ((1, "north"), (5, "south"))])))
+    return lookup_update(fx.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_name"), lookup, "s_nationkey", ["s_name"])
