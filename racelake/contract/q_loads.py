@@ -143,3 +143,43 @@ def q_ingest_log(spark, sf):
                      stg["distances"], smap, drivers, numbers)
     out = spark.read.parquet(wh.path("marts", "lap_telemetry"))
     return out.drop("_ingested_at", "year").withColumn("session_key", F.col("session_key").cast("long"))
+
+
+@query("work_list", oracle("""
+WITH s AS (SELECT session_key, session_type, date_start, date_end FROM fx_stg_sessions WHERE date_end < TIMESTAMP '2000-06-01 00:00:00'),
+owed AS (
+  SELECT session_key, f.feed, date_start AS window_start, date_end AS window_end
+  FROM s, (VALUES ('of1_laps'), ('pit'), ('stints'), ('intervals'), ('weather'), ('race_control')) f(feed)
+  UNION ALL
+  SELECT session_key, f.feed, w AS window_start, least(w + INTERVAL 30 MINUTE, date_end) AS window_end
+  FROM (SELECT *, unnest(generate_series(date_start, date_end, INTERVAL 30 MINUTE)) AS w FROM s WHERE session_type IN ('Race', 'Qualifying')) c,
+       (VALUES ('car_data'), ('location')) f(feed) WHERE w < date_end)
+SELECT session_key, feed, window_start, window_end, CASE WHEN feed = 'stints' AND session_key IN (SELECT session_key FROM fx_stints) THEN 1 ELSE 0 END AS done
+FROM owed"""))
+def q_work_list(spark, sf):
+    """Units owed by the finished sessions, checked after the stints were loaded."""
+    from racelake.plans import worklist as W
+    i = Inputs(spark, sf)
+    wh = P.Warehouse(_scratch(spark, "worklist"))
+    i.stints().write.parquet(wh.path("raw", "stints"))
+    owed = W.units(i.sessions(), "2000-06-01 00:00:00")
+    owed = owed.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")})
+    work = W.WorkList(spark, wh)
+    work.check(owed, 1)
+    state = work.status().select("session_key", "feed", "window_start", (F.col("status") == "done").cast("int").alias("done"))
+    return owed.join(state, W.UNIT)
+
+
+@query("changed_rounds", oracle("""
+SELECT season, round, source FROM (
+  SELECT DISTINCT CAST(season AS BIGINT) AS season, CAST(round AS BIGINT) AS round, 'results' AS source FROM fx_results_full WHERE points >= 25
+  UNION SELECT DISTINCT season, round, 'stops' FROM fx_pit_stops WHERE stop_number = 3) c"""))
+def q_changed_rounds(spark, sf):
+    """Rounds whose source rows have changed since the last run, by digests: results of
+    winners corrected, third stops withdrawn."""
+    i = Inputs(spark, sf)
+    digests = P.Digests(spark, P.Warehouse(_scratch(spark, "digests")), "fact")
+    results, stops = i.results(), i.pit_stops()
+    digests.commit(digests.changes({"results": results, "stops": stops}), 1)
+    fixed = results.withColumn("status", F.when(F.col("points") >= 25, "corrected").otherwise(F.col("status")))
+    return digests.changes({"results": fixed, "stops": stops.filter("stop_number <> 3")}).select("season", "round", "source")

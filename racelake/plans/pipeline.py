@@ -103,6 +103,61 @@ def append_unseen(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[
 BUCKET = HotKeys(4_000_000)
 
 
+#: Columns that differ between two loads of one and the same row.
+VOLATILE = ("_ingested_at", "_batch_id", "_raw_json", "_source", "updated_at")
+
+
+class Digests:
+    """One digest for each key (season, round) of the sources of a fact, kept from run
+    to run, so that corrected, late and withdrawn rounds are found without a list of them.
+
+    A digest is the count, the sum and the exclusive-or of the rows' hashes: it does not
+    depend on row order, and sums are combined before the shuffle."""
+
+    def __init__(self, spark: SparkSession, wh: Warehouse, fact: str, keys: Sequence[str] = ("season", "round")):
+        self.spark, self.path, self.keys = spark, wh.path("state", f"digests/{fact}"), list(keys)
+
+    def of(self, sources: dict[str, DataFrame]) -> DataFrame:
+        out = None
+        for name, df in sources.items():
+            row = F.xxhash64(*[F.col(c) for c in sorted(df.columns) if c not in VOLATILE])
+            one = (df.select(*[F.col(k).cast("long").alias(k) for k in self.keys], row.alias("h")).groupBy(*self.keys)
+                   .agg(F.concat_ws(":", F.count(F.lit(1)), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))), F.bit_xor("h")).alias("digest"))
+                   .withColumn("source", F.lit(name)))
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def changes(self, sources: dict[str, DataFrame]) -> DataFrame:
+        """keys, source, digest where it differs from the last run's (null: rows are gone)."""
+        now, log = self.of(sources), read_if_written(self.spark, self.path)
+        if log is None:
+            return now
+        last = log.groupBy(*self.keys, "source").agg(F.max_by("digest", "run").alias("before")).filter("before is not null")
+        both = now.join(last, [*self.keys, "source"], "full")
+        return both.filter(~F.col("digest").eqNullSafe(F.col("before"))).drop("before")
+
+    def commit(self, changes: DataFrame, run: int) -> None:
+        changes.withColumn("run", F.lit(run).cast("long")).coalesce(1).write.mode("append").parquet(self.path)
+
+    def run(self) -> int:
+        log = read_if_written(self.spark, self.path)
+        return 1 if log is None else (log.agg(F.max("run")).first()[0] or 0) + 1
+
+
+def build_fact(spark: SparkSession, wh: Warehouse, fact: str, rows: DataFrame, sources: dict[str, DataFrame]) -> None:
+    """Append the rounds that the fact does not hold, and replace those whose sources have
+    changed since the last run; others are untouched.  The digests are committed last, so
+    a run that fails in between repairs the same rounds again."""
+    digests = Digests(spark, wh, fact)
+    path = wh.path("state", f"digests-now/{fact}")
+    digests.changes(sources).write.mode("overwrite").parquet(path)
+    changes = spark.read.schema("season long, round long, digest string, source string").parquet(path)
+    repair = None if changes.isEmpty() else changes.select(*digests.keys)
+    append_unseen(spark, rows, wh.path("marts", fact), repair=repair)
+    if repair is not None:
+        digests.commit(changes, digests.run())
+
+
 class Progress:
     """What a table has taken from each of its inputs: the labels of the batches (inputs
     that carry ``_batch_id``), else the newest ingest time.  A few short rows, one folder
@@ -196,14 +251,15 @@ def run_marts(spark: SparkSession, wh: Warehouse, stg: dict[str, DataFrame], cir
     materialise(M.dim_sessions(stg["sessions"], stg["races"], spark.read.parquet(wh.path("marts", "dim_circuits"))),
                 wh.path("marts", "dim_sessions"))
 
-    append_unseen(spark, M.driver_race_results(stg["results"], stg["driver_map"], smap, stg["laps"]),
-                  wh.path("marts", "fact_race_results"))
-    append_unseen(spark, M.fact_sprint_results(stg["sprint_results"], stg["driver_map"], smap),
-                  wh.path("marts", "fact_sprint_results"))
-    append_unseen(spark, M.fact_laps(stg["jolpica_laps"], stg["driver_map"], smap, stg["laps"]),
-                  wh.path("marts", "fact_laps"))
-    append_unseen(spark, M.fact_qualifying(stg["qualifying"], stg["driver_map"], smap, stg["laps"]),
-                  wh.path("marts", "fact_qualifying"))
+    timed = stg["laps"].join(smap.select("session_key", "season", "round", "canonical_type"), "session_key")
+    build_fact(spark, wh, "fact_race_results", M.driver_race_results(stg["results"], stg["driver_map"], smap, stg["laps"]),
+               {"results": stg["results"], "timing": timed})
+    build_fact(spark, wh, "fact_sprint_results", M.fact_sprint_results(stg["sprint_results"], stg["driver_map"], smap),
+               {"results": stg["sprint_results"]})
+    build_fact(spark, wh, "fact_laps", M.fact_laps(stg["jolpica_laps"], stg["driver_map"], smap, stg["laps"]),
+               {"laps": stg["jolpica_laps"], "timing": timed})
+    build_fact(spark, wh, "fact_qualifying", M.fact_qualifying(stg["qualifying"], stg["driver_map"], smap, stg["laps"]),
+               {"qualifying": stg["qualifying"], "timing": timed})
 
     d = spark.read.parquet(wh.path("marts", "dim_drivers"))
     c = spark.read.parquet(wh.path("marts", "dim_constructors"))

@@ -555,3 +555,91 @@ def test_results_without_a_timing_feed(spark):
     assert {r.best_source_match for r in fq} == {"jolpica_only"}
     assert spark.read.parquet(wh.path("marts", "fact_laps")).count() == 6
     assert spark.read.parquet(wh.path("marts", "dim_sessions")).count() == 0
+
+
+def test_corrected_rounds_are_found_by_their_digests(spark):
+    """A corrected round is replaced, a new one added, a withdrawn one removed; others stay."""
+    wh = P.Warehouse(tempfile.mkdtemp(prefix="racelake-digest-"))
+    make = lambda rows_, at="2024-01-01": spark.createDataFrame(
+        [(*r, at) for r in rows_], "season int, round int, d string, p double, _ingested_at string")
+    run = lambda src, timing=None: P.build_fact(spark, wh, "f", src.drop("_ingested_at"),
+                                                {"results": src, **({} if timing is None else {"timing": timing})})
+    got = lambda: sorted((r.season, r.round, r.d, r.p) for r in spark.read.parquet(wh.path("marts", "f")).collect())
+    rows_ = [(2023, 1, "a", 1.0), (2023, 1, "b", 1.5), (2024, 1, "a", 2.0), (2024, 2, "a", 3.0)]
+    run(make(rows_))
+    assert got() == rows_
+    files = lambda: {f for d, _, fs in os.walk(wh.path("marts", "f")) for f in fs if "season=2023" in d}
+    before = files()
+    run(make(rows_, "2024-02-02"))                                      # fetched again, unchanged
+    fixed = [*rows_[:3], (2024, 2, "a", 9.0), (2024, 3, "a", 4.0)]
+    run(make(fixed))
+    assert got() == fixed and files() == before
+    run(make(fixed[:4]))                                                # round 3 is withdrawn
+    assert got() == fixed[:4]
+    # rows of another source that arrive later mark their round too
+    timing = make([(2024, 1, "t", 0.0)])
+    changes = P.Digests(spark, wh, "f").changes({"results": make(fixed[:4]), "timing": timing})
+    assert [(r.season, r.round, r.source) for r in changes.collect()] == [(2024, 1, "timing")]
+
+
+def test_timing_that_comes_later_reaches_the_facts(spark):
+    """Results first, the timing feed in a later run: the loaded rounds get their sessions."""
+    root = tempfile.mkdtemp(prefix="racelake-later-")
+    _landing_weekend(f"{root}/all")
+    os.makedirs(f"{root}/landing")
+    os.symlink(f"{root}/all/results", f"{root}/landing/results")
+    wh = P.Warehouse(f"{root}/wh")
+    P.run_all(spark, f"{root}/landing", wh, "2024-03-04 06:00:00")
+    os.symlink(f"{root}/all/timing", f"{root}/landing/timing")
+    P.run_all(spark, f"{root}/landing", wh, "2024-03-04 07:00:00")
+    fr = {r.jolpica_driver_id: r for r in spark.read.parquet(wh.path("marts", "fact_race_results")).collect()}
+    assert len(fr) == 2 and fr["max"].session_key == 92 and fr["max"].of1_fastest_lap_duration == 89.53
+    assert spark.read.parquet(wh.path("marts", "fact_laps")).count() == 6
+
+
+def test_work_list(spark):
+    from racelake.plans import worklist as W
+    root = tempfile.mkdtemp(prefix="racelake-work-")
+    wh = P.Warehouse(f"{root}/wh")
+    _page(root, "timing/sessions", "a.json", [
+        {"session_key": k, "session_name": t, "session_type": t, "year": 2024, "meeting_key": 1,
+         "date_start": f"{day}T15:00:00+00:00", "date_end": f"{day}T16:15:00+00:00"}
+        for k, t, day in ((1, "Race", "2024-03-02"), (2, "Practice 1", "2024-03-01"), (3, "Race", "2030-03-02"))])
+    _page(root, "timing/weather", "a.json", [{"session_key": 1, "date": "2024-03-02T15:00:00+00:00"}])
+    car = lambda minute: [{"session_key": 1, "driver_number": 1, "date": f"2024-03-02T15:{minute:02d}:00.000Z", "speed": 1}]
+    _page(root, "timing/car_data", "a.json", car(5))
+    P.ingest_landing(spark, root, wh)
+    owed = W.units(P.stage_all(spark, wh)["sessions"], "2025-01-01 00:00:00")
+    per = {(r.session_key, r.feed): r["count"] for r in owed.groupBy("session_key", "feed").count().collect()}
+    assert per[1, "car_data"] == 3 and per[2, "weather"] == 1 and (2, "car_data") not in per and 3 not in {k for k, _ in per}
+    work = W.WorkList(spark, wh)
+    assert work.pending(owed).count() == owed.count()
+    work.check(owed, 1)
+    done = lambda: sorted((r.session_key, r.feed, r.window_start.minute) for r in work.status().filter("status = 'done'").collect())
+    assert done() == [(1, "car_data", 0), (1, "weather", 0)]
+    _page(root, "timing/car_data", "b.json", car(40))
+    P.ingest_landing(spark, root, wh)
+    work.check(owed, 2)
+    assert done() == [(1, "car_data", 0), (1, "car_data", 30), (1, "weather", 0)]
+    left = {(r.session_key, r.feed, r.window_start.hour): r.attempts for r in work.pending(owed).collect()}
+    assert left[1, "car_data", 16] == 2 and left[2, "weather", 15] == 2 and work.pending(owed).count() == owed.count() - 3
+
+
+def test_load_exactly_one_session(spark):
+    from racelake.plans import worklist as W
+    root = tempfile.mkdtemp(prefix="racelake-one-")
+    _landing_weekend(f"{root}/landing")
+    wh = P.Warehouse(f"{root}/wh")
+    at = "2025-01-01 00:00:00"
+    load = lambda k, **kw: {r.feed: r.status for r in W.load_session(spark, f"{root}/landing", wh, k, **{"as_of": at, **kw}).collect()}
+    assert set(load(92).values()) == {"skipped"}                        # not a known session yet
+    P.ingest_landing(spark, f"{root}/landing", wh, tables=["sessions"])
+    assert set(load(92, as_of="2024-03-02 16:00:00").values()) == {"skipped"}   # not over yet
+    st = load(92)
+    assert st["of1_laps"] == st["car_data"] == "loaded" and st["weather"] == "absent"
+    load(92)
+    assert spark.read.parquet(wh.path("raw", "car_data")).count() == 8
+    laps = spark.read.parquet(wh.path("raw", "of1_laps"))
+    assert laps.count() == 6 and {r.session_key for r in laps.collect()} == {92}
+    st = load(91, skip_telemetry=True)
+    assert st["car_data"] == "skipped" and st["of1_laps"] == "loaded"
