@@ -21,6 +21,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from racelake.plans.pipeline import read_if_written
+
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 ]
@@ -435,7 +437,7 @@ def _root(spark: SparkSession, sf_dir: str) -> str:
     return scratch_path(spark, f"fixtures-{spark.sparkContext.applicationId}-{key}")
 
 
-def _version(sf_dir: str, name: str) -> str:
+def _version(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Content key of a written adapter: its SQL and its dependencies' SQL,
     plus size and mtime of the base files it reads, so a table written by
     other code or from other data is never reused."""
@@ -444,11 +446,9 @@ def _version(sf_dir: str, name: str) -> str:
         h.update(n.encode())
         h.update(ADAPTERS[n][1].encode())
     for b in _bases([name]):
-        try:
-            st = os.stat(os.path.join(sf_dir, f"{b}.parquet"))
-            h.update(f"{b}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:  # not a local path (object store): key by name only
-            h.update(b.encode())
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{b}.parquet")  # any store that Spark reads
+        st = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
+        h.update(f"{b}:{st.getLen()}:{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
@@ -457,15 +457,12 @@ def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
     checkpoint folder (its direct inputs read from their own written
     tables) and return its path.  Later reads are plain scans with column
     pruning and filter pushdown, and lineage stops at the written table."""
-    path = os.path.join(_root(spark, sf_dir), f"{name}-{_version(sf_dir, name)}")
+    path = os.path.join(_root(spark, sf_dir), f"{name}-{_version(spark, sf_dir, name)}")
     if path in _READY:
         return path
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - committed table present
+    if read_if_written(spark, path) is not None:
         _READY.add(path)
         return path
-    except Exception:  # noqa: BLE001 - not written yet
-        pass
     ctes = []
     for d in ADAPTERS[name][0]:
         src = os.path.join(sf_dir, d + ".parquet") if d in BASE_TABLES else materialise(spark, sf_dir, d)
