@@ -80,6 +80,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_names(documents: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")):
+    """``documents`` with every column but ``keep`` under a name of our own, so that no
+    name clashes with an operator's columns; and the way back to the given names."""
+    given = documents.columns
+    ours = [c if c in keep else f"x{i}" for i, c in enumerate(given)]
+    return documents.toDF(*ours), lambda df: df.select(*ours).toDF(*given)
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> list:
     """Columns that tell rows apart up to exact repeats: the id and a 64-bit hash
     of the text.  Rows that agree in both are copies of one row and always get

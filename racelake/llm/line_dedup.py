@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, row_key, sub_batches, written
+from .common import own_names, release, row_key, sub_batches, written
 
 WHITE = b" \t\n\r\x0b\x0c"
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -198,7 +198,8 @@ def line_dedup_digest(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs
 
 def remove_repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``documents`` with the repeated lines gone from ``text``; same columns, same rows."""
-    names = documents.columns
+    docs, back = own_names(documents)
+    names = docs.columns
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,5 +213,5 @@ def remove_repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         release()
 
-    joined = _with_bitmaps(documents, min_chars, min_docs).select(*names, "__keep")
-    return joined.mapInArrow(run, documents.schema)
+    joined = _with_bitmaps(docs, min_chars, min_docs).select(*names, "__keep")
+    return back(joined.mapInArrow(run, docs.schema))

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, row_key, sub_batches, written
+from .common import own_names, release, row_key, sub_batches, written
 from .components import components
 
 WORDS, THRESHOLD = 5, 80
@@ -306,8 +306,9 @@ def near_duplicates(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
 def keep_first(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """The rows of ``documents`` that are kept, with their own columns unchanged."""
-    gone = grouped_rows(documents, words).where(~F.col("kept")).select(F.col("doc").alias("__gdoc"), F.col("tx").alias("__gtx")).distinct()
+    docs, back = own_names(documents)
+    gone = grouped_rows(docs, words).where(~F.col("kept")).select(F.col("doc").alias("__gdoc"), F.col("tx").alias("__gtx")).distinct()
     key_doc, key_tx = row_key()
-    keyed = documents.withColumns({"__doc": key_doc, "__tx": key_tx})
+    keyed = docs.withColumns({"__doc": key_doc, "__tx": key_tx})
     on = keyed["__doc"].eqNullSafe(gone["__gdoc"]) & (keyed["__tx"] == gone["__gtx"])
-    return keyed.join(gone, on, "left_anti").select(*documents.columns)
+    return back(keyed.join(gone, on, "left_anti"))

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import own_names
+
 SPACE = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -141,10 +143,11 @@ def quality_verdicts(documents: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that pass, with their own columns unchanged."""
     _, kept, _ = _verdict("__q_")
+    docs, back = own_names(documents)
     # a filter isn't moved below a projection that numbers rows; moved there, the
     # optimizer would repeat all metrics inside the condition
-    judged = measured(documents).withColumns({"__q_kept": kept, "__q_row": F.monotonically_increasing_id()})
-    return judged.where(F.col("__q_kept") & (F.col("__q_row") >= 0)).select(*documents.columns)
+    judged = measured(docs).withColumns({"__q_kept": kept, "__q_row": F.monotonically_increasing_id()})
+    return back(judged.where(F.col("__q_kept") & (F.col("__q_row") >= 0)))
 
 
 def oracle() -> str:
