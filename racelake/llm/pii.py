@@ -18,10 +18,12 @@ of the term's documents that hold the entity, drawn to the entity's own share as
 by ``PRIOR`` more documents: few documents count for less, and none are too few.
 co counts documents with both, wherever they stand, and df(t) documents with the
 term anywhere.  PMI / IC nears 1 if the term occurs with that entity alone.
-Terms with a share of at least ``REMOVE`` are removed, those of at least
-``GENERALISE`` become a placeholder, within ``WINDOW`` code points to each side of
-that entity (across lines and other matches).  A term is a run of three or more
-letters outside the base spans, so added spans (kind ``term``) never overlap those.
+A pair is looked at if its term stands within ``WINDOW`` code points of the entity at
+``SIGHTINGS`` places or more (across lines and other matches), in one document or several:
+what was seen together once tells nothing.  Terms with a share of at least ``REMOVE`` are
+removed, those of at least ``GENERALISE`` become a placeholder, wherever they stand in a
+document that holds the entity.  A term is a run of three or more letters outside the base
+spans, so added spans (kind ``term``) never overlap those.
 
 Null text is empty: no spans.  Every row of repeated rows has its own result.
 Null doc_ids stay.  An empty table gives no rows.  Other columns pass through
@@ -33,10 +35,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import own_names, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW, PRIOR, REMOVE, GENERALISE = 48, 5, 0.9, 0.6
+WINDOW, SIGHTINGS, PRIOR, REMOVE, GENERALISE = 48, 2, 5, 0.9, 0.6
 #: Entities times terms of a text up to which all its pairs are counted at once.
 _PAIRS = 200_000
 
@@ -175,11 +177,11 @@ def _holders(occurrences: DataFrame) -> DataFrame:
 
 def _together(near: DataFrame, terms: DataFrame, occurrences: DataFrame) -> DataFrame:
     """(entity, term, co): the documents with both, of the pairs that are near each
-    other anywhere: one for the entities of one document.  For others all pairs of a
-    text are counted at once, before the shuffle; a text of very many gives the
+    other at enough places: one for the entities of one document.  For others all pairs
+    of a text are counted at once, before the shuffle; a text of very many gives the
     wanted ones only."""
     df_e = _holders(occurrences)
-    wanted = near.select("entity", "term").distinct()
+    wanted = near.groupBy("entity", "term").agg(F.count("*").alias("seen")).where(F.col("seen") >= SIGHTINGS).drop("seen")
     alone = wanted.join(df_e.where("df_e = 1"), "entity").select("entity", "term", F.lit(1).cast("long").alias("co"))
     held = occurrences.join(df_e.where("df_e > 1"), "entity").groupBy("rid").agg(F.collect_set("entity").alias("es"))
     words = terms.join(held.select("rid"), "rid", "left_semi").groupBy("rid").agg(F.collect_set("term").alias("ts"))
@@ -214,15 +216,29 @@ def _disclosing(co: DataFrame, occurrences: DataFrame, documents: DataFrame) ->
     return facts.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
+def _everywhere(pairs: DataFrame, terms: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """(rid, start, stop, share): every place of a disclosing term in the documents that
+    hold its entity.  A text of very many entities and terms starts from the pairs, so
+    that no text is multiplied out."""
+    held = occurrences.select("rid", "entity").distinct().join(pairs.select("entity").distinct(), "entity", "left_semi")
+    said = terms.join(pairs.select("term").distinct(), "term", "left_semi")
+    sizes = (held.groupBy("rid").agg(F.count("*").alias("es")).join(said.groupBy("rid").agg(F.count("*").alias("ts")), "rid"))
+    large = sizes.where(F.col("es") * F.col("ts") > _PAIRS).select("rid")
+    few = said.join(large, "rid", "left_anti").join(held, "rid").join(pairs, ["entity", "term"])
+    rest = held.join(large, "rid", "left_semi").join(pairs, "entity").join(said, ["rid", "term"])
+    places = few.select("rid", "start", "stop", "share").unionByName(rest.select("rid", "start", "stop", "share"))
+    return places.groupBy("rid", "start", "stop").agg(F.max("share").alias("share"))
+
+
 def find_spans(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """(rid, kind, start, stop, removed): base spans and, as the last kind, terms.
     ``hits`` need the text of rows with a valid match only."""
     occurrences = written(_occurrences(hits), "pii-occurrences")
     terms = written(_terms(hits, occurrences), "pii-terms")
     near = written(_near_terms(terms, occurrences), "pii-near")
-    pairs = _disclosing(_together(near, terms, occurrences), occurrences, documents)
-    added = (near.join(pairs, ["entity", "term"]).groupBy("rid", "start", "stop").agg(F.max("share").alias("share"))
-             .select("rid", F.lit(len(PATTERNS)).alias("kind"), "start", "stop", (F.col("share") >= REMOVE).alias("removed")))
+    pairs = written(_disclosing(_together(near, terms, occurrences), occurrences, documents), "pii-disclosing")
+    added = _everywhere(pairs, terms, occurrences).select(
+        "rid", F.lit(len(PATTERNS)).alias("kind"), "start", "stop", (F.col("share") >= REMOVE).alias("removed"))
     base = occurrences.select("rid", "kind", "start", "stop", F.lit(False).alias("removed"))
     return base.unionByName(added)
 
@@ -251,7 +267,8 @@ def pii_spans(documents: DataFrame) -> DataFrame:
 def sanitise(documents: DataFrame) -> DataFrame:
     """``documents`` with base spans as [KIND], removed terms gone and generalised
     ones as [TERM] in ``text``; same columns, same rows."""
-    hits = written(_hits(documents), "pii-hits")
+    docs, back = own_names(documents)
+    hits = written(_hits(docs), "pii-hits")
     spans = find_spans(hits, hits)
     label = F.when(F.col("removed"), "").otherwise(
         F.concat(F.lit("["), F.upper(F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))), F.lit("]")))
@@ -261,4 +278,4 @@ def sanitise(documents: DataFrame) -> DataFrame:
              .withColumnRenamed("rid", "__rid"))
     joined = hits.drop("__hits").join(lists, "__rid", "left")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(_replaced(F.col("text"), F.col("__spans")))
-    return joined.withColumn("text", text).select(*documents.columns)
+    return back(joined.withColumn("text", text))

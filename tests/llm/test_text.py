@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from racelake.llm import lang_id, line_dedup, near_dup, pii, quality
@@ -323,12 +324,12 @@ def test_disclosing_terms(spark):
     assert all(not found[i] for i in range(200))
     for i in range(200, 205):
         assert "Zeppelin" in found[i] and not set(found[i]) & set(common)
-    assert found[400] == []  # outside the window
+    assert found[400] == ["Zeppelin"]  # far away, in a document that holds the entity
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert all(clean[i] == texts[i] for i in range(200))
     for i in range(200, 205):
         assert "Zeppelin" not in clean[i] and "zed@" not in clean[i] and "[EMAIL]" in clean[i]
-    assert clean[400].startswith("Zeppelin") and clean[400].endswith("[EMAIL]")
+    assert "Zeppelin" not in clean[400] and clean[400].endswith("[EMAIL]") and "far from the address" in clean[400]
 
 
 def term_words(rows, got):
@@ -338,14 +339,36 @@ def term_words(rows, got):
 
 
 def test_terms_of_rare_entities(spark):
-    """Entities of one or two documents, and a name on the line above."""
+    """Entities of one or two documents, and a name on the line above; a term seen beside
+    its entity once only tells nothing."""
     rows = [(i, "some plain words that stand in every text") for i in range(200)]
-    rows += [(300, "some plain words\nZeppelin\nzed@example.org"), (301, "every text by Quux at 10.1.2.3"), (302, "words by Quux, 10.1.2.3")]
+    rows += [(300, "some plain words\nZeppelin\nzed@example.org\nZeppelin"), (301, "every text by Quux at 10.1.2.3"),
+             (302, "words by Quux, 10.1.2.3"), (303, "we saw zebra at the zoo, write to a@b.cc today")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = term_words(rows, pii.pii_spans(docs).collect())
-    assert found[300] == ["Zeppelin"] and found[301] == found[302] == ["Quux"]
+    assert found[300] == ["Zeppelin", "Zeppelin"] and found[301] == found[302] == ["Quux"] and found[303] == []
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
-    assert clean[300] == "some plain words\n[TERM]\n[EMAIL]" and "Quux" not in clean[301] + clean[302]
+    assert clean[300] == "some plain words\n[TERM]\n[EMAIL]\n[TERM]" and "Quux" not in clean[301] + clean[302]
+    assert clean[303] == "we saw zebra at the zoo, write to [EMAIL] today"
+
+
+def test_terms_are_removed_where_the_evidence_is_strong(spark):
+    rows = [(i, "plain words of every text") for i in range(3000)]
+    rows += [(5000 + i, "Zeppelin zed@example.org\n" + "plain words " * 30 + "Zeppelin") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).where("doc_id >= 5000").collect()}
+    assert set(clean.values()) == {" [EMAIL]\n" + "plain words " * 30}
+
+
+def test_names_that_the_operators_use_themselves(spark):
+    """Columns named like an operator's own pass through all stages untouched."""
+    odd = ["__rid", "__spans", "__hits", "__doc", "__tx", "__keep", "__q_words", "__q_kept", "__gdoc", "x0", "rid", "row"]
+    docs = cases.documents(spark).select("doc_id", "text", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in odd])
+    for stage in (quality.keep_good, line_dedup.remove_repeated_lines, near_dup.keep_first, pii.sanitise):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for c in odd)
 
 
 def test_pairs_of_texts_with_very_many(spark, monkeypatch):
