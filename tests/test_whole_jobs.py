@@ -7,6 +7,7 @@ from racelake import contract
 WHOLE = {
     "topk_semi": "rep_points_progression",
     "match_status": "mart_fact_qualifying",
+    "positions_gained": "rep_positions_gained",
 }
 
 
@@ -16,6 +17,6 @@ def test_whole_job(name):
     assert contract.QUERIES[name] is contract.QUERIES[WHOLE[name]]
 
 
-@pytest.mark.parametrize("name", ["topk_semi_orders", "match_status_counts"])
+@pytest.mark.parametrize("name", ["topk_semi_orders", "match_status_counts", "positions_gained_all"])
 def test_operator_alone_stays(name):
     assert name in contract.QUERIES and name in contract.ORACLE
