@@ -26,6 +26,10 @@ def sf(spark, tmp_path_factory):
     return str(at)
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lap_times_are_those_of_the_adapter(spark, sf):
     got = Counter(tuple(r) for r in fx.load(spark, sf, "fx_lap_times").collect())
     want = Counter(tuple(r) for r in fx.sql_frame(spark, sf, "fx_lap_times").collect())
@@ -34,3 +38,13 @@ def test_lap_times_are_those_of_the_adapter(spark, sf):
 
 def test_lap_times_leave_what_does_not_matter(spark):
     assert "l_shipdate" not in fx.SPARK_FORMS["fx_lap_times"]
+
+
+def test_session_dates_come_by_broadcast(spark, sf):
+    fx.load(spark, sf, "fx_stg_laps")
+    ctes = ", ".join(f"{d} AS (SELECT * FROM parquet.`{fx.materialise(spark, sf, d)}`)" for d in ("fx_timing_laps", "fx_sessions"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(spark.sql(f"WITH {ctes} {fx.SPARK_FORMS['fx_stg_laps']}"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
