@@ -106,7 +106,8 @@ def stg_sessions(raw: DataFrame) -> DataFrame:
 
 
 def stg_of1_laps(raw: DataFrame) -> DataFrame:
-    d = _latest(raw, ["session_key", "driver_number", "lap_number"])
+    # whole rows are sorted once, after the shuffle; a sort before it would drop next to nothing
+    d = _latest(raw.repartition("session_key", "driver_number"), ["session_key", "driver_number", "lap_number"])
     return _src(d.withColumn("lap_start", parse_ts("date_start")).drop("date_start", "_raw_json"), "openf1")
 
 

@@ -1,11 +1,15 @@
 """Laps are moved between tasks as seldom, and as narrow, as the job allows."""
 
 import datetime as dt
+import json
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from racelake import contract
 from racelake import fixtures as fx
+from racelake.contract import q_sources as QS
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"
 LINES = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_shipdate timestamp_ntz, "
@@ -48,3 +52,21 @@ def test_session_dates_come_by_broadcast(spark, sf):
         assert "BroadcastHashJoin" in plan(spark.sql(f"WITH {ctes} {fx.SPARK_FORMS['fx_stg_laps']}"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pages_are_cut_without_a_shuffle(spark):
+    rows = [(k // 250 if k < 500 else None, k, None if k % 3 else 0.5, [k, None]) for k in range(520)]
+    df = spark.createDataFrame(rows, "s long, n long, x double, a array<int>").coalesce(1)
+    pages = QS._flat_pages(df, ["s"], F.struct("s", "n", "x", "a"))
+    assert "Exchange" not in plan(pages)
+    read = [json.loads(r["json"]) for r in pages.collect()]
+    assert all(0 < len(p) <= QS.PAGE_SIZE and len({o.get("s") for o in p}) == 1 for p in read)
+    assert max(map(len, read)) == QS.PAGE_SIZE
+    got = [(o.get("s"), o["n"], o.get("x"), o["a"]) for p in read for o in p]
+    assert sorted(got, key=lambda r: r[1]) == rows
+
+
+def test_timing_laps_are_staged_in_one_pass(spark, sf):
+    df = contract.QUERIES["src_array_compact"](spark, sf)
+    assert "Join" not in plan(df) and plan(df).count("Exchange hashpartitioning") == 1
+    assert df.count() == fx.load(spark, sf, "fx_stg_laps").filter("lap_number % 13 <> 0").count()
