@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from racelake import contract
 from racelake import fixtures as fx
 from racelake.contract import q_sources as QS
+from racelake.plans import models as M
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"
 LINES = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_shipdate timestamp_ntz, "
@@ -70,3 +71,18 @@ def test_timing_laps_are_staged_in_one_pass(spark, sf):
     df = contract.QUERIES["src_array_compact"](spark, sf)
     assert "Join" not in plan(df) and plan(df).count("Exchange hashpartitioning") == 1
     assert df.count() == fx.load(spark, sf, "fx_stg_laps").filter("lap_number % 13 <> 0").count()
+
+
+def test_laps_of_other_sessions_stay_out_of_the_join(spark):
+    laps = spark.createDataFrame([(1999, 1, "d1", n, 1, "1:00.000", 60000) for n in (1, 2)] + [(1999, 1, "d2", 1, 1, "1:01.000", 61000)],
+                                 "season int, round int, driver_id string, lap_number int, lap_position int, lap_time string, lap_time_ms long")
+    numbers = spark.createDataFrame([("d1", 4, 1999)], "jolpica_driver_id string, openf1_driver_number int, season int")
+    smap = spark.createDataFrame([(13, 1999, 1, "Race"), (11, 1999, 1, "Qualifying"), (23, 1999, 2, "Race")],
+                                 "session_key long, season int, round int, canonical_type string")
+    timed = spark.createDataFrame([(s, 4, 1, 60.0, 0) + (1.0, 2.0, 3.0, 4, 5, 6) for s in (11, 13, 23)],
+                                  "session_key long, driver_number int, lap_number int, lap_duration double, is_pit_out_lap int, "
+                                  "duration_sector_1 double, duration_sector_2 double, duration_sector_3 double, i1_speed int, i2_speed int, st_speed int")
+    out = M.fact_laps(laps, numbers, smap, timed)
+    assert "LeftSemi" in plan(out)
+    got = {(r["driver_id"], r["lap_number"]): (r["session_key"], r["of1_lap_duration"]) for r in out.collect()}
+    assert got == {("d1", 1): (13, 60.0), ("d1", 2): (13, None), ("d2", 1): (13, None)}
