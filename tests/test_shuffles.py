@@ -86,3 +86,9 @@ def test_laps_of_other_sessions_stay_out_of_the_join(spark):
     assert "LeftSemi" in plan(out)
     got = {(r["driver_id"], r["lap_number"]): (r["session_key"], r["of1_lap_duration"]) for r in out.collect()}
     assert got == {("d1", 1): (13, 60.0), ("d1", 2): (13, None), ("d2", 1): (13, None)}
+
+
+def test_lap_times_report_reads_its_race_alone(spark, sf):
+    text = plan(contract.QUERIES["rep_lap_times"](spark, sf))
+    scans = [line for line in text.splitlines() if "FileScan" in line and "lap_time_ms#" in line]
+    assert len(scans) >= 3 and all("EqualTo(season,1999)" in line for line in scans)
